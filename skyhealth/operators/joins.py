@@ -1,0 +1,31 @@
+"""Join helpers with an explicit, checked broadcast decision."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side must hold at most this many rows (and is at most a few
+# hundred bytes per row in this package: per-site or per-day aggregates).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` to an aggregate ``small`` broadcasting it only when its
+    row count is proven below ``max_rows``; otherwise fall back to a
+    shuffle join (AQE's skew-join handling splits hot keys there).
+
+    ``small`` is persisted so the count and the join reuse one computation.
+    """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
+
+
+def broadcast_dim(dim: DataFrame) -> DataFrame:
+    """Broadcast a dimension whose size is bounded by construction
+    (category/band tables, a calendar of at most a few tens of thousands of days)."""
+    return F.broadcast(dim)

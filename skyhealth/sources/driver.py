@@ -122,10 +122,13 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pollution_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed raw air quality: raw names (pm2_5, us_aqi), ISO date strings."""
+    """Landed raw air quality: raw names (pm2_5, us_aqi), ISO date strings
+    (unparseable on day-of-year multiples of 53)."""
     p = dirty(pollution_daily(spark, sf_dir), {"pm10": 7, "ozone": 7, "dust": 9})
     return p.select(
-        "site_id", F.date_format("date", "yyyy-MM-dd").alias("date"),
+        "site_id",
+        F.when(F.dayofyear("date") % 53 == 0, F.lit("n/a"))
+        .otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
         F.col("pm25").alias("pm2_5"), "pm10", F.col("aqi").alias("us_aqi"),
         "european_aqi", "ozone", "nitrogen_dioxide", "sulphur_dioxide", "dust",
         "uv_index", "carbon_monoxide", "aerosol_optical_depth")
@@ -150,3 +153,35 @@ def event_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value"),
         k.alias("k"),
     )
+
+
+HOURLY_VALUE_COLUMNS = ["pm10", "pm2_5", "carbon_monoxide", "nitrogen_dioxide",
+                        "sulphur_dioxide", "ozone", "aerosol_optical_depth", "dust",
+                        "uv_index", "us_aqi", "european_aqi"]
+
+
+def hourly_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly air-quality rows (the gap-fill source) from lineitem.
+
+    ``time`` is a local ISO string ``yyyy-MM-ddTHH:mm``; every measure is a
+    2-decimal fixed-point value, so daily means can be computed exactly.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    ts = F.col("l_shipdate").cast("timestamp") + F.make_interval(
+        hours=F.col("l_linenumber").cast("int"))
+    q = F.col("l_quantity")
+    return li.select(
+        (F.col("l_orderkey") % N_SITES).cast("int").alias("site_id"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm").alias("time"),
+        (q * 2 + F.col("l_tax")).alias("pm10"),
+        (q + F.col("l_discount")).alias("pm2_5"),
+        (q * 10).alias("carbon_monoxide"),
+        (q + F.col("l_tax")).alias("nitrogen_dioxide"),
+        (F.col("l_tax") * 100).alias("sulphur_dioxide"),
+        (q * 3).alias("ozone"),
+        (F.col("l_discount") * 5).alias("aerosol_optical_depth"),
+        (q * 4).alias("dust"),
+        F.col("l_linenumber").cast("double").alias("uv_index"),
+        (q * 4 + F.col("l_discount")).alias("us_aqi"),
+        (q * 3).alias("european_aqi"),
+    )
