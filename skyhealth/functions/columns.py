@@ -56,3 +56,15 @@ def or_default(c: str | Column, default: float) -> Column:
 
 def clip(c: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+
+
+def round_half_even(c: Column, digits: int) -> Column:
+    """Half-even rounding of a double the way NumPy/pandas ``.round`` does it:
+    scale, round to the nearest even integer (``rint``), unscale.
+
+    Spark's ``bround`` instead rounds the shortest decimal representation, so
+    the two disagree on values whose binary expansion sits just off a
+    decimal tie; this helper keeps the binary semantics of the reference.
+    """
+    scale = float(10 ** digits)
+    return F.rint(c * F.lit(scale)) / F.lit(scale)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.functions.columns import clip
+from skyhealth.functions.columns import clip, round_half_even
 from skyhealth.functions.constants import LIVE_SOURCE
 
 
@@ -113,7 +113,7 @@ def live_features(df: DataFrame) -> DataFrame:
     no2 = _or(g("nitrogen_dioxide"), F.lit(0.0))
     so2 = _or(g("sulphur_dioxide"), F.lit(0.0))
     oz = _or(g("ozone"), F.lit(0.0))
-    r4 = lambda c: F.bround(c, 4)
+    r4 = lambda c: round_half_even(c, 4)
     nz = lambda c: F.when(_truthy(c), c)  # noqa: E731  (0 -> NULL)
     dust_risk = F.when(hum_min < F.lit(100), wind_max * (F.lit(1) - hum_min / F.lit(100))) \
         .otherwise(F.lit(0.0))

@@ -185,3 +185,41 @@ def hourly_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (q * 4 + F.col("l_discount")).alias("us_aqi"),
         (q * 3).alias("european_aqi"),
     )
+
+
+def weather_slot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed weather-forecast document per event: ``{site_id, run_date,
+    list:[slot]}`` as JSON text, in the provider's nested shape (m/s wind,
+    optional gust and rain). Measures are integers or dyadic fractions."""
+    s = event_slots(spark, sf_dir)
+    k = F.col("k")
+    temp = (k % 40 + 5)
+    slot = F.struct(
+        F.col("dt").alias("dt"),
+        F.struct(temp.alias("temp"), (temp + F.col("event_id") % 3).alias("temp_max"),
+                 (temp - F.col("event_id") % 2).alias("temp_min"),
+                 (temp + 1).alias("feels_like"), k.alias("humidity"),
+                 (k % 20 + 1000).alias("pressure")).alias("main"),
+        F.struct((k * 2.5).alias("speed"),
+                 F.when(F.col("event_type") != "error", k * 3.75).alias("gust")).alias("wind"),
+        F.struct((k % 100).alias("all")).alias("clouds"),
+        F.when(F.col("event_type") == "purchase",
+               F.struct(((k % 8) * 0.25).alias("3h"))).alias("rain"),
+    )
+    return s.select(F.col("event_id"), F.to_json(F.struct(
+        F.col("site_id"), F.col("run_date"), F.array(slot).alias("list"))).alias("payload"))
+
+
+def pollution_slot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed air-pollution-forecast document per event (``list[].components``)."""
+    s = event_slots(spark, sf_dir)
+    k = F.col("k")
+    slot = F.struct(
+        F.col("dt").alias("dt"),
+        F.struct((F.col("event_id") % 5 + 1).cast("int").alias("aqi")).alias("main"),
+        F.struct(F.when(F.col("event_type") != "signup", k).alias("pm2_5"),
+                 (k + 5).alias("pm10"), (k * 2).alias("o3"), (k % 30).alias("no2"),
+                 (k % 7).alias("so2"), (k * 10).alias("co")).alias("components"),
+    )
+    return s.select(F.col("event_id"), F.to_json(F.struct(
+        F.col("site_id"), F.col("run_date"), F.array(slot).alias("list"))).alias("payload"))
