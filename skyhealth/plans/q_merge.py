@@ -1 +1,168 @@
-"""Registered queries."""
+"""Step 7: table maintenance."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyhealth.operators import merge as M
+from skyhealth.plans.daily import gold_features
+from skyhealth.plans.oracle import GOLD_CHAIN, GOLD_COLS, JOINED, live_case, with_ctes
+from skyhealth.plans.q_rules import LIVE_SQL, live_rows
+from skyhealth.plans.registry import register
+from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
+from skyhealth.sources.driver import forecast_log
+
+LIVE_GOLD = """live_gold AS (
+  SELECT site_id, date, temperature, humidity, wind, pressure, cloud_cover,
+    CAST(NULL AS DOUBLE) AS sunshine_duration, temp_max, temp_min, apparent_temp_max,
+    apparent_temp_min, apparent_temp_mean, humidity_max, humidity_min, wind_max, wind_gust_max,
+    precipitation, CAST(NULL AS DOUBLE) AS rain_sum, CAST(NULL AS DOUBLE) AS dew_point,
+    CAST(NULL AS DOUBLE) AS shortwave_radiation, CAST(NULL AS DOUBLE) AS vapour_pressure_deficit,
+    pm25, pm10, aqi, CAST(NULL AS DOUBLE) AS european_aqi, ozone, nitrogen_dioxide, sulphur_dioxide,
+    CAST(NULL AS DOUBLE) AS dust, CAST(NULL AS DOUBLE) AS uv_index,
+    CAST(NULL AS DOUBLE) AS carbon_monoxide, CAST(NULL AS DOUBLE) AS aerosol_optical_depth,
+    heat_index, pollution_level, respiratory_stress, uv_risk, temp_range, heat_stress_peak,
+    dust_risk_index, rain_wash_effect, {cat} AS health_category, source
+  FROM live)""".format(cat=live_case())
+
+MERGE_CHAIN = GOLD_CHAIN + [LIVE_SQL.replace("FROM joined", "FROM joined", 1), LIVE_GOLD]
+
+FLOG = """flog AS (
+  SELECT CAST(ts AS DATE) AS forecast_date, CAST(user_id % 3 + 1 AS INTEGER) AS forecast_horizon,
+    ts AS generated_at, event_id, 'v2.1' AS model_version, cat AS predicted_category,
+    value / 500 AS confidence,
+    CASE WHEN cat = 'Safe Air Day' THEN value / 500 ELSE (1.0 - value / 500) / 4 END AS prob_safe,
+    CASE WHEN cat = 'Moderate Risk Day' THEN value / 500 ELSE (1.0 - value / 500) / 4 END AS prob_moderate,
+    CASE WHEN cat = 'High Respiratory Risk Day' THEN value / 500 ELSE (1.0 - value / 500) / 4 END AS prob_high_resp,
+    CASE WHEN cat = 'Mask Recommended Day' THEN value / 500 ELSE (1.0 - value / 500) / 4 END AS prob_mask,
+    CASE WHEN cat = 'Avoid Outdoor Activity Day' THEN value / 500 ELSE (1.0 - value / 500) / 4 END AS prob_avoid,
+    k / 4 + 10 AS temperature, k AS humidity, k / 2 AS wind, value / 10 AS pm25, value / 2 AS aqi,
+    k / 4 + 10 + k * 0.33 - k / 2 * 0.70 AS heat_index,
+    value / 10 * 0.5 + value / 2 * 0.2 AS pollution_level, value / 10 * 0.4 AS respiratory_stress,
+    k % 9 AS temp_range, k / 4 + 12 AS heat_stress_peak, k / 2 * (1 - k / 100) AS dust_risk_index,
+    k % 5 AS rain_wash_effect
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+          CASE event_type WHEN 'click' THEN 'Safe Air Day' WHEN 'view' THEN 'Moderate Risk Day'
+            WHEN 'purchase' THEN 'High Respiratory Risk Day' WHEN 'signup' THEN 'Mask Recommended Day'
+            WHEN 'error' THEN 'Avoid Outdoor Activity Day' END AS cat
+        FROM events) e)"""
+
+FLOG_ORDER = ["generated_at", "event_id"]
+FKEYS = ["forecast_date", "forecast_horizon"]
+
+
+def _hist_and_live(spark, sf_dir):
+    return gold_features(spark, sf_dir), live_rows(spark, sf_dir)
+
+
+@register("partial_refresh", with_ctes(MERGE_CHAIN, f"""
+SELECT {GOLD_COLS} FROM (
+  SELECT * FROM (
+    SELECT {GOLD_COLS} FROM gold WHERE month(date) <= 6
+    UNION ALL SELECT * EXCLUDE (source), 'csv' AS source FROM gold WHERE month(date) BETWEEN 7 AND 9
+    UNION ALL SELECT * FROM live_gold) cur
+  WHERE source = 'api_daily'
+  UNION ALL SELECT {GOLD_COLS} FROM gold) t"""))
+def partial_refresh(spark, sf_dir):
+    hist, live = _hist_and_live(spark, sf_dir)
+    m = F.month("date")
+    current = (hist.where(m <= 6)
+               .unionByName(hist.where(m.between(7, 9)).withColumn("source", F.lit("csv")))
+               .unionByName(live, allowMissingColumns=True))
+    return M.partial_refresh(current, hist).select(*GOLD_COLUMNS)
+
+
+@register("insert_if_absent", with_ctes(MERGE_CHAIN, f"""
+SELECT {GOLD_COLS} FROM gold UNION ALL SELECT {GOLD_COLS} FROM live_gold"""))
+def insert_if_absent(spark, sf_dir):
+    hist, live = _hist_and_live(spark, sf_dir)
+    target = hist.unionByName(live.where(F.month("date") <= 6), allowMissingColumns=True)
+    once = M.insert_if_absent(target, live, ["site_id", "date", "source"])
+    twice = M.insert_if_absent(once, live, ["site_id", "date", "source"])  # idempotent
+    return twice.select(*GOLD_COLUMNS)
+
+
+LATEST_AB = """fa AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY forecast_date, forecast_horizon ORDER BY generated_at DESC, event_id DESC) AS rn
+      FROM flog WHERE hour(generated_at) < 12) t WHERE rn = 1),
+fb AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY forecast_date, forecast_horizon ORDER BY generated_at DESC, event_id DESC) AS rn
+      FROM flog WHERE hour(generated_at) >= 12) t WHERE rn = 1)"""
+
+
+@register("forecast_upsert", with_ctes([FLOG, LATEST_AB], """
+SELECT * FROM fb UNION ALL
+SELECT * FROM fa WHERE NOT EXISTS (SELECT 1 FROM fb WHERE fb.forecast_date = fa.forecast_date
+  AND fb.forecast_horizon = fa.forecast_horizon)"""))
+def forecast_upsert(spark, sf_dir):
+    log = forecast_log(spark, sf_dir)
+    h = F.hour("generated_at")
+    target = M.latest_per_key(log.where(h < 12), FKEYS, FLOG_ORDER)
+    updates = M.latest_per_key(log.where(h >= 12), FKEYS, FLOG_ORDER)
+    return M.upsert(target, updates, FKEYS).select(*log.columns)
+
+
+@register("rows_needing_prediction", with_ctes(GOLD_CHAIN, f"""
+SELECT {GOLD_COLS} FROM gold g WHERE g.date IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM gold p WHERE p.date <= DATE '1998-06-30' AND p.site_id = g.site_id AND p.date = g.date)"""))
+def rows_needing_prediction(spark, sf_dir):
+    hist = gold_features(spark, sf_dir)
+    predicted = hist.where(F.col("date") <= F.lit("1998-06-30").cast("date")) \
+        .select("site_id", "date", "health_category")
+    return M.rows_to_insert(hist.where(F.col("date").isNotNull()), predicted, ["site_id", "date"])
+
+
+@register("table_copy", with_ctes(GOLD_CHAIN, f"SELECT {GOLD_COLS} FROM gold"))
+def table_copy(spark, sf_dir):
+    src = gold_features(spark, sf_dir).withColumns({
+        "id": F.xxhash64("site_id", "date"),
+        "date_id": F.date_format("date", "yyyyMMdd").cast("int")})
+    return M.copy_table(src).select(*GOLD_COLUMNS)
+
+
+@register("delete_by_predicate", with_ctes(MERGE_CHAIN, f"""
+SELECT {GOLD_COLS} FROM (SELECT {GOLD_COLS} FROM gold UNION ALL SELECT {GOLD_COLS} FROM live_gold) t
+WHERE NOT COALESCE(source = 'api_daily' AND date >= DATE '1998-01-01', FALSE)"""))
+def delete_by_predicate(spark, sf_dir):
+    hist, live = _hist_and_live(spark, sf_dir)
+    table = hist.unionByName(live, allowMissingColumns=True)
+    pred = M.is_live() & (F.col("date") >= F.lit("1998-01-01").cast("date"))
+    return M.delete_where(table, pred).select(*GOLD_COLUMNS)
+
+
+@register("source_priority", with_ctes(MERGE_CHAIN, """
+SELECT site_id, date, source, health_category, aqi, pm25 FROM live_gold
+UNION ALL
+SELECT site_id, date, source, health_category, aqi, pm25 FROM gold g
+WHERE NOT EXISTS (SELECT 1 FROM live_gold l WHERE l.site_id = g.site_id AND l.date = g.date)"""))
+def source_priority(spark, sf_dir):
+    hist, live = _hist_and_live(spark, sf_dir)
+    return M.prefer_source(hist, live, ["site_id", "date"]).select(
+        "site_id", "date", "source", "health_category", "aqi", "pm25")
+
+
+SILVER_W = ["site_id", "date"] + WEATHER_COLUMNS + ["heat_index", "source"]
+SILVER_P = ["site_id", "date"] + POLLUTION_COLUMNS + ["pollution_level", "source"]
+
+
+def _silver_new(spark, sf_dir, cols):
+    hist = gold_features(spark, sf_dir)
+    existing = hist.where(F.col("date") < F.lit("1997-01-01").cast("date")).select(*cols)
+    return M.rows_to_insert(hist.select(*cols), existing, ["site_id", "date"])
+
+
+@register("silver_split_weather", with_ctes(GOLD_CHAIN, f"""
+SELECT {', '.join(SILVER_W)} FROM gold g WHERE NOT EXISTS (
+  SELECT 1 FROM gold e WHERE e.date < DATE '1997-01-01' AND e.site_id = g.site_id AND e.date = g.date)"""))
+def silver_split_weather(spark, sf_dir):
+    return _silver_new(spark, sf_dir, SILVER_W)
+
+
+@register("silver_split_pollution", with_ctes(GOLD_CHAIN, f"""
+SELECT {', '.join(SILVER_P)} FROM gold g WHERE NOT EXISTS (
+  SELECT 1 FROM gold e WHERE e.date < DATE '1997-01-01' AND e.site_id = g.site_id AND e.date = g.date)"""))
+def silver_split_pollution(spark, sf_dir):
+    return _silver_new(spark, sf_dir, SILVER_P)
+
+
+__all__ = ["JOINED"]

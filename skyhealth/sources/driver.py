@@ -223,3 +223,47 @@ def pollution_slot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return s.select(F.col("event_id"), F.to_json(F.struct(
         F.col("site_id"), F.col("run_date"), F.array(slot).alias("list"))).alias("payload"))
+
+
+EVENT_CATEGORY = {"click": "Safe Air Day", "view": "Moderate Risk Day",
+                  "purchase": "High Respiratory Risk Day", "signup": "Mask Recommended Day",
+                  "error": "Avoid Outdoor Activity Day"}
+
+
+def forecast_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast prediction log from events: every event is one generated
+    forecast for (forecast_date, horizon); many versions per key."""
+    e = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("double")
+    cat = None
+    for et, c in EVENT_CATEGORY.items():
+        cat = F.when(F.col("event_type") == et, F.lit(c)) if cat is None else \
+            cat.when(F.col("event_type") == et, F.lit(c))
+    conf = F.col("value") / 500
+    other = (F.lit(1.0) - conf) / 4
+    probs = {name: F.when(cat == c, conf).otherwise(other) for c, name in [
+        ("Safe Air Day", "prob_safe"), ("Moderate Risk Day", "prob_moderate"),
+        ("High Respiratory Risk Day", "prob_high_resp"), ("Mask Recommended Day", "prob_mask"),
+        ("Avoid Outdoor Activity Day", "prob_avoid")]}
+    return e.select(
+        F.col("ts").cast("date").alias("forecast_date"),
+        (F.col("user_id") % 3 + 1).cast("int").alias("forecast_horizon"),
+        F.col("ts").cast("timestamp").alias("generated_at"),
+        F.col("event_id"),
+        F.lit("v2.1").alias("model_version"),
+        cat.alias("predicted_category"),
+        conf.alias("confidence"),
+        *[v.alias(n) for n, v in probs.items()],
+        (k / 4 + 10).alias("temperature"),
+        k.alias("humidity"),
+        (k / 2).alias("wind"),
+        (F.col("value") / 10).alias("pm25"),
+        (F.col("value") / 2).alias("aqi"),
+        (k / 4 + 10 + k * 0.33 - k / 2 * 0.70).alias("heat_index"),
+        (F.col("value") / 10 * 0.5 + F.col("value") / 2 * 0.2).alias("pollution_level"),
+        (F.col("value") / 10 * 0.4).alias("respiratory_stress"),
+        (k % 9).alias("temp_range"),
+        (k / 4 + 12).alias("heat_stress_peak"),
+        (k / 2 * (1 - k / 100)).alias("dust_risk_index"),
+        (k % 5).alias("rain_wash_effect"),
+    )
