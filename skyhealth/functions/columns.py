@@ -68,3 +68,22 @@ def round_half_even(c: Column, digits: int) -> Column:
     """
     scale = float(10 ** digits)
     return F.rint(c * F.lit(scale)) / F.lit(scale)
+
+
+def stable_round(c: Column, digits: int, guard: int = 10) -> Column:
+    """Round an aggregate whose last bits depend on summation order.
+
+    First snap to ``guard`` decimals (absorbs order-dependent ulp noise, so
+    every engine/partitioning sees the same double), then round half-even to
+    ``digits``. Exact decimal ties are then decided identically everywhere.
+    """
+    return round_half_even(round_half_even(c, guard), digits)
+
+
+def round_half_away(c: Column, digits: int) -> Column:
+    """Half-away-from-zero rounding on the scaled binary value (the
+    ``ROUND`` of report tools and C's ``round``), matching ``round_half_even``'s
+    scale-then-round approach rather than Spark's decimal-string ``round``."""
+    scale = float(10 ** digits)
+    scaled = c * F.lit(scale)
+    return F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(0.5)) / F.lit(scale)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyhealth.functions.columns import round_half_even
+from skyhealth.functions.columns import round_half_even, stable_round
 from skyhealth.operators.dims import date_attributes, dim_from_facts, dim_full_range
 from skyhealth.operators.joins import broadcast_dim
 from skyhealth.operators.merge import missing_dimension_rows
@@ -51,7 +51,7 @@ def orphan_dates(spark, sf_dir):
 
 
 @register("fact_by_weekend", with_ctes(GOLD_CHAIN + [DIM], """
-SELECT d.is_weekend, d.day_of_week, COUNT(*) AS days, round_even(AVG(g.aqi), 6) AS avg_aqi,
+SELECT d.is_weekend, d.day_of_week, COUNT(*) AS days, round_even(round_even(AVG(g.aqi), 10), 6) AS avg_aqi,
   COUNT(*) FILTER (WHERE g.health_category = 'Avoid Outdoor Activity Day') AS avoid_days
 FROM gold g JOIN dim d ON g.date = d.date GROUP BY d.is_weekend, d.day_of_week"""))
 def fact_by_weekend(spark, sf_dir):
@@ -60,7 +60,7 @@ def fact_by_weekend(spark, sf_dir):
     j = g.join(broadcast_dim(dim), "date")
     return (j.groupBy("is_weekend", "day_of_week")
             .agg(F.count(F.lit(1)).alias("days"),
-                 round_half_even(F.avg("aqi"), 6).alias("avg_aqi"),
+                 stable_round(F.avg("aqi"), 6).alias("avg_aqi"),
                  F.count_if(F.col("health_category") == "Avoid Outdoor Activity Day")
                  .alias("avoid_days")))
 
