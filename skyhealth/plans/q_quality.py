@@ -1 +1,118 @@
-"""Registered queries."""
+"""Step 11: quality checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyhealth.functions.rules import category_expr
+from skyhealth.operators import quality as Q
+from skyhealth.operators.merge import copy_table
+from skyhealth.plans.daily import gold_features
+from skyhealth.plans.oracle import GOLD_CHAIN, v1_case, with_ctes
+from skyhealth.plans.q_clean import CLEAN_WEATHER_CHAIN
+from skyhealth.plans.q_merge import LIVE_GOLD
+from skyhealth.plans.q_rules import LIVE_SQL, live_rows
+from skyhealth.plans.registry import register
+from skyhealth.schemas import WEATHER_COLUMNS, WEATHER_RENAMES
+from skyhealth.sources.driver import weather_raw
+
+LABELS = f"""labels AS (SELECT site_id, date, health_category AS rule_label,
+  {v1_case()} AS model_label FROM (
+    SELECT *, temperature + 0.33 * humidity - 0.70 * wind AS hi1 FROM gold) g0)"""
+# v1 labels use the v1 heat index (no zero fill) in place of the gold one.
+LABELS = LABELS.replace("COALESCE(NULLIF(heat_index, 0), 0)", "COALESCE(NULLIF(hi1, 0), 0)")
+
+
+def _labels(spark, sf_dir):
+    g = gold_features(spark, sf_dir)
+    v1 = g.withColumn("heat_index", F.col("temperature") + F.lit(0.33) * F.col("humidity")
+                      - F.lit(0.70) * F.col("wind"))
+    return v1.select("site_id", "date", F.col("health_category").alias("rule_label"),
+                     category_expr(v1, "v1").alias("model_label"))
+
+
+@register("confusion_matrix", with_ctes(GOLD_CHAIN + [LABELS], """
+SELECT rule_label, model_label, COUNT(*) AS days FROM labels GROUP BY 1, 2"""))
+def confusion_matrix(spark, sf_dir):
+    return Q.confusion(_labels(spark, sf_dir), "rule_label", "model_label")
+
+
+@register("label_agreement", with_ctes(GOLD_CHAIN + [LABELS], """
+SELECT COUNT(*) AS days, COUNT(*) FILTER (WHERE rule_label = model_label) AS agree_days,
+  round_even(round_even(COUNT(*) FILTER (WHERE rule_label = model_label) / COUNT(*) * 100, 10), 4) AS agreement_pct
+FROM labels"""))
+def label_agreement(spark, sf_dir):
+    return Q.agreement(_labels(spark, sf_dir), "rule_label", "model_label")
+
+
+def _r(x):
+    return f"round_even(round_even({x}, 10), 6)"
+
+
+REPORT = f"""conf AS (SELECT rule_label, model_label, COUNT(*) AS days FROM labels GROUP BY 1, 2),
+t AS (SELECT rule_label AS label, SUM(days) AS support,
+        SUM(CASE WHEN rule_label = model_label THEN days ELSE 0 END) AS tp FROM conf GROUP BY 1),
+p AS (SELECT model_label AS label, SUM(days) AS predicted FROM conf GROUP BY 1),
+per0 AS (SELECT COALESCE(t.label, p.label) AS label, COALESCE(support, 0) AS support,
+           COALESCE(tp, 0) AS tp, COALESCE(predicted, 0) AS predicted
+         FROM t FULL OUTER JOIN p ON t.label = p.label),
+per1 AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS prec,
+           CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rec FROM per0),
+per AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END AS f1 FROM per1),
+tot AS (SELECT SUM(support) AS n, SUM(tp) AS tp, COUNT(*) AS k, SUM(prec) AS sp, SUM(rec) AS sr,
+          SUM(f1) AS sf, SUM(prec * support) AS wp, SUM(rec * support) AS wr, SUM(f1 * support) AS wf FROM per)"""
+
+
+@register("classification_report", with_ctes(GOLD_CHAIN + [LABELS, REPORT], f"""
+SELECT label, {_r('prec')} AS precision, {_r('rec')} AS recall, {_r('f1')} AS f1_score,
+  CAST(support AS BIGINT) AS support FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, {_r('tp / n')}, CAST(n AS BIGINT) FROM tot
+UNION ALL SELECT 'macro avg', {_r('sp / k')}, {_r('sr / k')}, {_r('sf / k')}, CAST(n AS BIGINT) FROM tot
+UNION ALL SELECT 'weighted avg', {_r('wp / n')}, {_r('wr / n')}, {_r('wf / n')}, CAST(n AS BIGINT) FROM tot"""))
+def classification_report(spark, sf_dir):
+    conf = Q.confusion(_labels(spark, sf_dir), "rule_label", "model_label")
+    return Q.classification_report(conf)
+
+
+@register("duplicate_keys", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD], """
+SELECT site_id, date, COUNT(*) AS n FROM (
+  SELECT site_id, date FROM gold UNION ALL SELECT site_id, date FROM live_gold) t
+GROUP BY site_id, date HAVING COUNT(*) > 1"""))
+def duplicate_keys(spark, sf_dir):
+    """A12 on the feature table after live rows were appended (T9 fan-out)."""
+    table = gold_features(spark, sf_dir).unionByName(live_rows(spark, sf_dir),
+                                                      allowMissingColumns=True)
+    return Q.duplicate_keys(table, ["site_id", "date"])
+
+
+@register("row_count_match", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD], """
+SELECT 'environmental_features' AS table_name, (SELECT COUNT(*) FROM gold) AS source_rows,
+  (SELECT COUNT(*) FROM gold) AS target_rows, TRUE AS match
+UNION ALL SELECT 'live_rows', (SELECT COUNT(*) FROM live_gold), (SELECT COUNT(*) FROM live_gold), TRUE"""))
+def row_count_match(spark, sf_dir):
+    hist = gold_features(spark, sf_dir)
+    live = live_rows(spark, sf_dir)
+    return Q.row_count_match({"environmental_features": (hist, copy_table(hist)),
+                              "live_rows": (live, copy_table(live))}).select(
+        "table_name", "source_rows", "target_rows", "match")
+
+
+PROFILE_COLS = ["temperature", "humidity", "wind", "pressure", "cloud_cover", "temp_max",
+                "temp_min", "humidity_min", "wind_max", "precipitation"]
+
+
+@register("profile_numeric", with_ctes(CLEAN_WEATHER_CHAIN, """
+SELECT site_id, column_name, COUNT(value) AS count, COUNT(*) FILTER (WHERE value IS NULL) AS null_count,
+  round_even(round_even(AVG(value), 10), 6) AS mean,
+  round_even(round_even(STDDEV_SAMP(value), 10), 6) AS std, MIN(value) AS min,
+  round_even(round_even(quantile_cont(value, 0.25), 10), 6) AS q25,
+  round_even(round_even(quantile_cont(value, 0.5), 10), 6) AS q50,
+  round_even(round_even(quantile_cont(value, 0.75), 10), 6) AS q75, MAX(value) AS max
+FROM (SELECT site_id, unnest([{names}]) AS column_name, unnest([{cols}]) AS value FROM wraw) u
+GROUP BY site_id, column_name""".replace("{cols}", ", ".join(PROFILE_COLS))
+    .replace("{names}", ", ".join(f"'{c}'" for c in PROFILE_COLS))))
+def profile_numeric(spark, sf_dir):
+    """A18 on the raw (dirty, renamed) weather file."""
+    raw = weather_raw(spark, sf_dir)
+    raw = raw.withColumnsRenamed({k: v for k, v in WEATHER_RENAMES.items() if k in raw.columns})
+    return Q.profile(raw, [c for c in PROFILE_COLS if c in WEATHER_COLUMNS])
