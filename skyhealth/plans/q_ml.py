@@ -1 +1,98 @@
-"""Registered queries."""
+"""Step 12: risk model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyhealth.ml import risk_model as R
+from skyhealth.operators import quality as Q
+from skyhealth.plans.daily import gold_features
+from skyhealth.plans.oracle import GOLD_CHAIN, with_ctes
+from skyhealth.plans.q_forecast import forecast_features_df
+from skyhealth.plans.registry import register
+from skyhealth.session import cut_lineage
+
+_MODELS: dict = {}
+
+FEATS = ["temperature", "humidity", "wind", "heat_index", "pm25", "pm10", "aqi",
+         "pollution_level", "respiratory_stress", "uv_risk", "pressure", "ozone",
+         "nitrogen_dioxide", "temp_range", "heat_stress_peak", "dust_risk_index",
+         "rain_wash_effect"]
+NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in FEATS + ["health_category"])
+SPLIT = f"""split AS (
+  SELECT *, ((CAST(date - DATE '1970-01-01' AS BIGINT) * 1103515245 + CAST(site_id AS BIGINT) * 12345
+             + 42 * 2654435761) % 2147483647) % 10 < 2 AS is_test
+  FROM gold WHERE {NOT_NULL})"""
+
+
+def model_input(spark, sf_dir):
+    """The gold table as the model reads it: materialised once in the shared
+    checkpoint folder (the forest makes many passes; a written table also
+    keeps the wide rule expressions out of every training plan)."""
+    key = ("gold", spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = cut_lineage(gold_features(spark, sf_dir))
+    return _MODELS[key]
+
+
+def trained(spark, sf_dir):
+    """Train once per (session, input) and reuse across the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = R.train(model_input(spark, sf_dir))
+    return _MODELS[key]
+
+
+@register("class_weights", with_ctes(GOLD_CHAIN, """
+SELECT health_category, COUNT(*) AS n_c,
+  SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)) AS weight
+FROM gold GROUP BY health_category"""))
+def class_weights(spark, sf_dir):
+    return R.class_weights(gold_features(spark, sf_dir))
+
+
+@register("stratified_split_counts", with_ctes(GOLD_CHAIN + [SPLIT], """
+SELECT health_category, COUNT(*) FILTER (WHERE NOT is_test) AS n_train,
+  COUNT(*) FILTER (WHERE is_test) AS n_test FROM split GROUP BY health_category"""))
+def stratified_split_counts(spark, sf_dir):
+    g = gold_features(spark, sf_dir)
+    rows = R.stratified_split(R.training_rows(g, R.select_features(g)))
+    return rows.groupBy("health_category").agg(
+        F.count_if(~F.col("is_test")).alias("n_train"), F.count_if(F.col("is_test")).alias("n_test"))
+
+
+@register("rf_feature_importance")
+def rf_feature_importance(spark, sf_dir):
+    model, features, _ = trained(spark, sf_dir)
+    return R.feature_importance(spark, model, features)
+
+
+@register("rf_holdout_report")
+def rf_holdout_report(spark, sf_dir):
+    """A20 on the 20 % hold-out: rule label vs model label."""
+    model, features, rows = trained(spark, sf_dir)
+    scored = R.score(model, rows.where(F.col("is_test")), features)
+    return Q.classification_report(Q.confusion(scored, "health_category", "predicted_category"))
+
+
+@register("rf_scored")
+def rf_scored(spark, sf_dir):
+    """M5: score the days that have no prediction yet (J6 → F17 → transform)."""
+    model, features, _ = trained(spark, sf_dir)
+    g = model_input(spark, sf_dir)
+    todo = g.where(F.col("date") > F.lit("1998-06-30").cast("date"))
+    out = R.score(model, todo.drop("health_category"), features)
+    return out.select("site_id", "date", *features, F.col("predicted_category").alias("health_category"),
+                      "confidence", "model_version")
+
+
+@register("rf_forecast_probs")
+def rf_forecast_probs(spark, sf_dir):
+    """M6: 3-day forecast scoring with per-class probabilities."""
+    model, features, _ = trained(spark, sf_dir)
+    ff = forecast_features_df(spark, sf_dir)
+    out = R.score(model, ff, features)
+    return out.select("site_id", "run_date", F.col("date").alias("forecast_date"),
+                      F.col("horizon").alias("forecast_horizon"), "predicted_category", "confidence",
+                      "prob_safe", "prob_moderate", "prob_high_resp", "prob_mask", "prob_avoid",
+                      "model_version")

@@ -1 +1,27 @@
-"""Registered queries."""
+"""Step 13: streaming landing (X1, X2), read back as batch results."""
+
+from __future__ import annotations
+
+from skyhealth.plans.registry import register
+from skyhealth.streaming.rollup import run_insert_if_absent, run_rollup
+
+
+@register("stream_daily_rollup", """
+SELECT CAST(ts AS DATE) AS date, CAST(user_id % 10 AS INTEGER) AS site_id, COUNT(*) AS n_slots,
+  CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS mean_value,
+  MAX(value) AS max_value, MIN(value) AS min_value,
+  SUM(CASE WHEN event_type = 'purchase'
+      THEN (CAST(json_extract_string(props, '$.k') AS DOUBLE) % 8) * 0.25 ELSE 0.0 END) AS precipitation
+FROM events GROUP BY 1, 2""")
+def stream_daily_rollup(spark, sf_dir):
+    out = run_rollup(spark, f"{sf_dir.rstrip('/')}/events*.parquet", mode="complete")
+    return spark.read.parquet(out)
+
+
+@register("stream_insert_if_absent", """
+SELECT CAST(user_id % 10 AS INTEGER) AS site_id, CAST(ts AS DATE) AS date,
+  MIN(event_id) AS first_event_id, COUNT(*) AS n_events
+FROM events GROUP BY 1, 2""")
+def stream_insert_if_absent(spark, sf_dir):
+    out = run_insert_if_absent(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
+    return spark.read.parquet(out)

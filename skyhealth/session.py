@@ -42,6 +42,9 @@ def get_spark(master: str | None = None, app: str = "skyhealth",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor; size its heap.
+        conf["spark.driver.memory"] = os.environ.get("SKYHEALTH_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
