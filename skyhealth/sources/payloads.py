@@ -80,7 +80,12 @@ def explode_pollution_slots(payload: DataFrame, tz: str = "UTC") -> DataFrame:
 def explode_hourly_columnar(payload: DataFrame) -> DataFrame:
     """``hourly`` dict of parallel arrays → rows; empty/missing → no rows."""
     keep = [c for c in payload.columns if c != "hourly"]
-    zipped = F.arrays_zip(*[F.col(f"hourly.{v}").alias(v) for v in ["time"] + HOURLY_VARIABLES])
+    n = F.size("hourly.time")
+    # A variable the provider omitted becomes NULLs (arrays_zip of a NULL array is NULL).
+    arrays = [F.col("hourly.time").alias("time")] + [
+        F.coalesce(F.col(f"hourly.{v}"), F.array_repeat(F.lit(None).cast("double"), n)).alias(v)
+        for v in HOURLY_VARIABLES]
+    zipped = F.arrays_zip(*arrays)
     return (payload.where(F.col("hourly.time").isNotNull())
             .select(*keep, F.inline(zipped)))
 
