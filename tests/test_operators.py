@@ -166,3 +166,18 @@ def test_duplicate_keys(spark):
     df = spark.createDataFrame([(0, D(2024, 1, 1)), (0, D(2024, 1, 1)), (0, D(2024, 1, 2))],
                                "site_id int, date date")
     assert [(r.date.day, r.n) for r in duplicate_keys(df, ["site_id", "date"]).collect()] == [(1, 2)]
+
+
+def test_replace_table_reads_itself(spark):
+    from skyhealth.sources.tables import replace_table, write_if_not_empty
+    base = tempfile.mkdtemp(prefix="skyhealth-table-")
+    path = os.path.join(base, "features")
+    spark.createDataFrame([(0, D(2024, 1, 1), None), (0, D(2024, 1, 2), "api_daily")],
+                          "site_id int, date date, source string").write.parquet(path)
+    current = spark.read.parquet(path)
+    new = spark.createDataFrame([(0, D(2024, 1, 1), None)], "site_id int, date date, source string")
+    replace_table(spark, merge.partial_refresh(current, new), path, keep_old=True)
+    got = sorted((r.date.day, r.source) for r in spark.read.parquet(path).collect())
+    assert got == [(1, None), (2, "api_daily")]
+    empty = spark.createDataFrame([], "date date")
+    assert write_if_not_empty(empty, os.path.join(base, "missing")) is False
