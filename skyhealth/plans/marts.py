@@ -125,18 +125,26 @@ def days_until_safe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def relative_windows(df: DataFrame, presets: Sequence[int] = (7, 30, 90, 180, 365),
                      keys: Sequence[str] = ("site_id",)) -> DataFrame:
     """Presets "last N days" back from each key's max date, both ends
-    inclusive (N + 1 days). One scan: each row is tagged with every preset
-    it falls into, then aggregated."""
+    inclusive (N + 1 days). One pass: conditional aggregates per preset on
+    the rows themselves (no row multiplication), then the per-key result is
+    unpivoted to one row per preset."""
     keys = list(keys)
     mx = df.groupBy(*keys).agg(F.max("date").alias("__max"))
-    j = join_small(df, mx, keys, "inner")
-    tagged = j.select(*keys, "date", "aqi",
-                      F.explode(F.array(*[F.lit(n) for n in presets])).alias("preset_days"),
-                      "__max")
-    inside = tagged.where(F.col("date") >= F.date_sub(F.col("__max"), F.col("preset_days")))
-    return inside.groupBy(*keys, "preset_days").agg(
-        F.count(F.lit(1)).alias("days"), F.min("date").alias("from_date"),
-        F.max("date").alias("to_date"), stable_round(F.avg("aqi"), 6).alias("avg_aqi"))
+    j = join_small(df.select(*keys, "date", "aqi"), mx, keys, "inner")
+    aggs = []
+    for n in presets:
+        inside = F.col("date") >= F.date_sub(F.col("__max"), n)
+        aggs += [F.count_if(inside).alias(f"days_{n}"),
+                 F.min(F.when(inside, F.col("date"))).alias(f"from_{n}"),
+                 F.max(F.when(inside, F.col("date"))).alias(f"to_{n}"),
+                 stable_round(F.avg(F.when(inside, F.col("aqi"))), 6).alias(f"aqi_{n}")]
+    wide = j.groupBy(*keys).agg(*aggs)
+    per = F.explode(F.array(*[F.struct(F.lit(n).alias("preset_days"),
+                                       F.col(f"days_{n}").alias("days"),
+                                       F.col(f"from_{n}").alias("from_date"),
+                                       F.col(f"to_{n}").alias("to_date"),
+                                       F.col(f"aqi_{n}").alias("avg_aqi")) for n in presets]))
+    return wide.select(*keys, per.alias("p")).select(*keys, "p.*").where(F.col("days") > 0)
 
 
 def card_label(d: Column) -> Column:

@@ -96,3 +96,13 @@ def rf_forecast_probs(spark, sf_dir):
                       F.col("horizon").alias("forecast_horizon"), "predicted_category", "confidence",
                       "prob_safe", "prob_moderate", "prob_high_resp", "prob_mask", "prob_avoid",
                       "model_version")
+
+
+@register("rf_live_scored")
+def rf_live_scored(spark, sf_dir):
+    """M7: score today's live rows (same code path as batch scoring)."""
+    from skyhealth.plans.q_rules import live_rows
+    model, features, _ = trained(spark, sf_dir)
+    live = live_rows(spark, sf_dir).drop("health_category")
+    return R.score(model, live, features).select(
+        "site_id", "date", "predicted_category", "confidence", "model_version")

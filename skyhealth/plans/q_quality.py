@@ -116,3 +116,20 @@ def profile_numeric(spark, sf_dir):
     raw = weather_raw(spark, sf_dir)
     raw = raw.withColumnsRenamed({k: v for k, v in WEATHER_RENAMES.items() if k in raw.columns})
     return Q.profile(raw, [c for c in PROFILE_COLS if c in WEATHER_COLUMNS])
+
+
+@register("rule_model_matrix", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD, LABELS], """
+SELECT ef.health_category AS rule_label, rp.model_label, COUNT(*) AS days
+FROM (SELECT site_id, date, health_category FROM gold
+      UNION ALL SELECT site_id, date, health_category FROM live_gold) ef
+JOIN labels rp ON rp.site_id = ef.site_id AND rp.date = ef.date
+GROUP BY 1, 2"""))
+def rule_model_matrix(spark, sf_dir):
+    """J8 + A9: feature table (historical and live rows) joined to the
+    prediction table on (site, date); a date holding both a historical and a
+    live row fans out, as in the warehouse check (T9)."""
+    ef = gold_features(spark, sf_dir).unionByName(live_rows(spark, sf_dir),
+                                                   allowMissingColumns=True)
+    rp = _labels(spark, sf_dir).select("site_id", "date", "model_label")
+    j = ef.select("site_id", "date", "health_category").join(rp, ["site_id", "date"], "inner")
+    return Q.confusion(j, "health_category", "model_label")

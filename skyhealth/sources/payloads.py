@@ -24,8 +24,14 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
-    return df.withColumn("__doc", F.from_json(F.col(col), schema)).select("*", "__doc.*") \
-        .drop("__doc", col)
+    """Parse a JSON text column into top-level columns.
+
+    The parse runs inside a generator (``inline`` of a one-element array),
+    so each document is parsed exactly once; plain ``from_json(...).field``
+    projections get rewritten into one pruned parse per extracted field.
+    """
+    keep = [c for c in df.columns if c != col]
+    return df.select(*keep, F.inline(F.array(F.from_json(F.col(col), schema))))
 
 
 def epoch_to_date(dt: Column, tz: str = "UTC") -> Column:
@@ -108,8 +114,8 @@ def unwrap_days(payload: DataFrame, day_schema: T.StructType, col: str = "payloa
     schema = T.StructType([T.StructField("fetched_at", T.StringType(), True),
                            T.StructField("days", T.ArrayType(day_schema), True)])
     keep = [c for c in payload.columns if c != col]
-    doc = payload.select(*keep, F.from_json(F.col(col), schema).alias("doc"))
-    return (doc.select(*keep, "doc.fetched_at", F.explode("doc.days").alias("d"))
+    doc = parse_json_column(payload, col, schema)
+    return (doc.select(*keep, "fetched_at", F.explode("days").alias("d"))
             .select(*keep, "fetched_at", "d.*")
             .withColumn("date", F.to_date("date")))
 
