@@ -181,3 +181,31 @@ def test_replace_table_reads_itself(spark):
     assert got == [(1, None), (2, "api_daily")]
     empty = spark.createDataFrame([], "date date")
     assert write_if_not_empty(empty, os.path.join(base, "missing")) is False
+
+
+def test_join_small_falls_back_to_shuffle_join(spark):
+    from skyhealth.operators.joins import join_small
+    big = spark.createDataFrame([(0, 1.0), (1, 2.0)], "site_id int, x double")
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "site_id int, tag string")
+    bc = join_small(big, small, ["site_id"], "inner")
+    sm = join_small(big, small, ["site_id"], "inner", max_rows=0)
+    assert sorted(map(tuple, bc.collect())) == sorted(map(tuple, sm.collect()))
+    # above the bound no broadcast hint is added (the planner/AQE decide on statistics)
+    assert "broadcast" not in sm._jdf.queryExecution().logical().toString().lower()
+
+
+def test_stream_rollup_append_waits_for_watermark(spark):
+    from skyhealth.streaming.rollup import run_rollup
+    d = tempfile.mkdtemp(prefix="skyhealth-stream-")
+    rows = [(i, dt.datetime(2024, 1, 1 + i // 4, i % 24), i % 10, "purchase" if i % 2 else "click",
+             float(i), json.dumps({"k": i})) for i in range(40)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                "value double, props string").coalesce(1).write.parquet(
+        os.path.join(d, "events_landing"))
+    src = os.path.join(d, "events_landing")
+    complete = spark.read.parquet(run_rollup(spark, src, mode="complete"))
+    append = spark.read.parquet(run_rollup(spark, src, mode="append", watermark="2 days"))
+    assert complete.agg(F.sum("n_slots")).collect()[0][0] == 40
+    # append mode withholds the days the watermark has not passed yet
+    assert append.count() < complete.count()
+    assert append.join(complete, ["date", "site_id", "n_slots"], "left_anti").count() == 0
