@@ -78,6 +78,17 @@ def with_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     return join_small(df, class_weights(df, label).select(label, "weight"), [label], "inner")
 
 
+def _stats_memory_mb() -> int:
+    """Memory for node statistics per pass: an eighth of the JVM heap,
+    between 256 MB and 2 GB (more nodes per pass = fewer passes)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    heap_mb = 1024
+    if sc is not None:
+        heap_mb = int(sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024))
+    return max(256, min(2048, heap_mb // 8))
+
+
 def build_pipeline(features: Sequence[str], num_trees: int = NUM_TREES,
                    max_depth: int = MAX_DEPTH) -> Pipeline:
     """M3: the reference forest. ``min_samples_split`` has no Spark
@@ -93,7 +104,7 @@ def build_pipeline(features: Sequence[str], num_trees: int = NUM_TREES,
                                 # Throughput knobs only (no effect on the fitted model):
                                 # more nodes per pass over the data, node ids cached
                                 # on executors instead of shipping trees every pass.
-                                maxMemoryInMB=2048, cacheNodeIds=True)
+                                maxMemoryInMB=_stats_memory_mb(), cacheNodeIds=True)
     return Pipeline(stages=[indexer, assembler, rf])
 
 

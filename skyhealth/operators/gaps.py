@@ -105,7 +105,8 @@ def chunk_dates(dates: DataFrame, size: int = GAP_CHUNK_DAYS, keys=("site_id",))
 def exact_mean(c: str, scale: int | None) -> Column:
     if scale is None:
         return F.avg(c)
-    return (F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double")
+    unit = float(10 ** scale)
+    return (F.sum(F.rint(F.col(c) * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
             / F.count(c).cast("double"))
 
 

@@ -6,6 +6,7 @@ and, when given, the equivalent DuckDB SQL over the raw driver tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
@@ -16,7 +17,16 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            # The engine's contract is a UTC session (dates of epoch slots,
+            # timestamp rendering); enforce it for callers' own sessions.
+            if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -24,10 +24,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def exact_sum(c: str, scale: int = 2) -> Column:
+    """Exact sum of a fixed-point-valued double column (``scale`` decimals):
+    the values are summed as 64-bit integers in units of 10^-scale, so the
+    result is the same in any order and on any partitioning."""
+    unit = float(10 ** scale)
+    return F.sum(F.rint(F.col(c) * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
+
+
 def exact_avg(c: str, scale: int = 2) -> Column:
     """Order-independent mean of a fixed-point-valued double column."""
-    return (F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double")
-            / F.count(c).cast("double"))
+    return exact_sum(c, scale) / F.count(c).cast("double")
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

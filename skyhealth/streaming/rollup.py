@@ -47,8 +47,8 @@ def daily_rollup(slots: DataFrame) -> DataFrame:
     """Tumbling one-day windows per site."""
     return (slots.groupBy(F.window("ts", "1 day").alias("w"), "site_id")
             .agg(F.count(F.lit(1)).alias("n_slots"),
-                 (F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
-                  / F.count("value").cast("double")).alias("mean_value"),
+                 (F.sum(F.rint(F.col("value") * F.lit(100.0)).cast("long")).cast("double")
+                  / F.lit(100.0) / F.count("value").cast("double")).alias("mean_value"),
                  F.max("value").alias("max_value"), F.min("value").alias("min_value"),
                  F.sum("rain_3h").alias("precipitation"))
             .select(F.col("w.start").cast("date").alias("date"), "site_id", "n_slots",
