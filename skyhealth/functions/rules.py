@@ -99,10 +99,11 @@ def storm_flag(v: dict) -> Column:
     )
 
 
-def category_expr(df: DataFrame, profile: str | RuleProfile = "v2.1") -> Column:
+def category_expr(df: DataFrame, profile: str | RuleProfile = "v2.1",
+                  inputs: dict | None = None) -> Column:
     """Column expression giving exactly one category per row."""
     p = PROFILES[profile] if isinstance(profile, str) else profile
-    v = _inputs(df, p)
+    v = inputs if inputs is not None else _inputs(df, p)
     if p.rain_damping:
         factor = F.greatest(F.lit(RAIN_FACTOR_FLOOR),
                             F.lit(1) - v["rain_wash_effect"] * F.lit(RAIN_FACTOR_PER_MM))
@@ -121,7 +122,18 @@ def category_expr(df: DataFrame, profile: str | RuleProfile = "v2.1") -> Column:
 
 def classify(df: DataFrame, profile: str | RuleProfile = "v2.1",
              out: str = "health_category") -> DataFrame:
-    return df.withColumn(out, category_expr(df, profile))
+    """Add the category column.
+
+    The defaulted rule inputs are projected once as columns and the CASE
+    chain refers to them, which keeps the optimised expression small (the
+    inputs are themselves feature expressions) and evaluates each once.
+    """
+    p = PROFILES[profile] if isinstance(profile, str) else profile
+    v = _inputs(df, p)
+    staged = df.withColumns({f"__rule_{n}": e for n, e in v.items()})
+    cols = {n: F.col(f"__rule_{n}") for n in v}
+    return (staged.withColumn(out, category_expr(staged, p, cols))
+            .drop(*[f"__rule_{n}" for n in v]))
 
 
 def storm_column(df: DataFrame) -> Column:

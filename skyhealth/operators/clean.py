@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,24 +29,29 @@ def parse_date(c: Column | str) -> Column:
 
 def median_fill(df: DataFrame, cols: Iterable[str], keys=("site_id",),
                 approximate: bool = False) -> DataFrame:
-    """A5: replace NULLs by the per-key median of the column.
-
-    Exact ``median`` (interpolated, NULL-skipping) is a partial aggregate
-    over value counts, so the shuffle carries distinct values per key, not
-    rows. ``approximate=True`` uses ``percentile_approx`` for very long
-    per-key histories. The per-key medians are a one-row-per-key table,
-    joined back with a checked broadcast.
+    """A5: replace NULLs by the per-key median of the column (exact,
+    interpolated, NULL-skipping; ``approximate=True`` uses
+    ``percentile_approx``).
+
+    Per site the input is a daily series, so the per-key group is bounded by
+    the calendar (one row per site and day): the median is a window
+    aggregate over the site's partition — one shuffle by site, one pass
+    over the input, no join. Without keys (one global median) the medians
+    are a one-row aggregate joined back with a checked broadcast, so the
+    whole table never lands in one task.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     keys = list(keys)
-    agg = [(F.percentile_approx(c, 0.5) if approximate else F.median(c)).alias(f"__med_{c}")
-           for c in cols]
-    med = df.groupBy(*keys).agg(*agg)
-    out = join_small(df, med, keys, "left")
+    med = (lambda c: F.percentile_approx(c, 0.5)) if approximate else (lambda c: F.median(c))
+    if keys:
+        w = Window.partitionBy(*keys)
+        return df.withColumns({c: F.coalesce(F.col(c), med(c).over(w)) for c in cols})
+    meds = df.agg(*[med(c).alias(f"__med_{c}") for c in cols]).withColumn("__one", F.lit(1))
+    out = join_small(df.withColumn("__one", F.lit(1)), meds, ["__one"], "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})
-    return out.drop(*[f"__med_{c}" for c in cols])
+    return out.drop("__one", *[f"__med_{c}" for c in cols])
 
 
 def clean_weather(raw: DataFrame, keys=("site_id",)) -> DataFrame:
