@@ -15,7 +15,6 @@ from skyhealth.functions.aqi import severity
 from skyhealth.functions.columns import round_half_away, round_half_even, stable_round
 from skyhealth.functions.constants import (CATEGORIES, NO_FORECAST, NO_SAFE_DAY, SAFE,
                                            SAFE_SHARE_WARNING_PCT)
-from skyhealth.operators.joins import join_small
 
 
 def category_dim(spark) -> DataFrame:
@@ -129,8 +128,9 @@ def relative_windows(df: DataFrame, presets: Sequence[int] = (7, 30, 90, 180, 36
     the rows themselves (no row multiplication), then the per-key result is
     unpivoted to one row per preset."""
     keys = list(keys)
-    mx = df.groupBy(*keys).agg(F.max("date").alias("__max"))
-    j = join_small(df.select(*keys, "date", "aqi"), mx, keys, "inner")
+    # Each key's max date as a window over its daily rows (bounded by the calendar).
+    j = df.select(*keys, "date", "aqi").withColumn(
+        "__max", F.max("date").over(Window.partitionBy(*keys)))
     aggs = []
     for n in presets:
         inside = F.col("date") >= F.date_sub(F.col("__max"), n)
