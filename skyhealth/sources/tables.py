@@ -102,3 +102,5 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     fs.rename(jvm.org.apache.hadoop.fs.Path(staged), tgt)
     if not keep_old and fs.exists(old):
         fs.delete(old, True)
+    # Readers created after the swap must list the new files, not cached ones.
+    spark.catalog.refreshByPath(target)
