@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyhealth.functions.constants import LIVE_SOURCE
 from skyhealth.operators.gaps import keep_last
+from skyhealth.operators.joins import BROADCAST_MAX_ROWS
 
 
 def is_live(source: str = "source") -> Column:
@@ -29,9 +31,23 @@ def partial_refresh(current: DataFrame, new_historical: DataFrame) -> DataFrame:
     return kept.unionByName(new_historical, allowMissingColumns=True)
 
 
-def rows_to_insert(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is absent from ``target`` (left anti)."""
-    return new.join(target.select(*keys).distinct(), list(keys), "left_anti")
+def rows_to_insert(new: DataFrame, target: DataFrame, keys: Sequence[str],
+                   max_new_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``new`` whose key is absent from ``target`` (left anti).
+
+    A daily append is small next to the history it lands in. When the new
+    keys are proven few (counted, at most ``max_new_keys``) they are
+    broadcast to semi-join the target, so the history is scanned once and
+    never shuffled (and a date-partitioned target is pruned); only the
+    matching keys meet ``new`` in the anti-join. Otherwise a plain
+    shuffle anti-join runs.
+    """
+    keys = list(keys)
+    new_keys = new.select(*keys).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    if new_keys.count() <= max_new_keys:
+        present = target.select(*keys).join(F.broadcast(new_keys), keys, "left_semi").distinct()
+        return new.join(F.broadcast(present), keys, "left_anti")
+    return new.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
