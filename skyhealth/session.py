@@ -24,8 +24,18 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
+    # AQE sizes post-shuffle partitions from runtime statistics: start from a
+    # high partition count (below) and let small shuffles — most of ours are
+    # post-partial-aggregation — coalesce to ~advisory-size partitions.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
+# Initial shuffle partitions on a cluster (AQE coalesces downwards; it cannot
+# split a too-large partition except for skewed joins). 100 TB of raw rows at
+# ~25 GB per partition before coalescing would be far too coarse, so the
+# default is sized for the largest raw shuffle (full-row dedupe of raw files).
+CLUSTER_SHUFFLE_PARTITIONS = 8000
+
 
 def get_spark(master: str | None = None, app: str = "skyhealth",
               shuffle_partitions: int | None = None,
@@ -47,6 +57,12 @@ def get_spark(master: str | None = None, app: str = "skyhealth",
         conf["spark.driver.memory"] = os.environ.get("SKYHEALTH_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not (master and master.startswith("local")):
+        conf["spark.sql.shuffle.partitions"] = os.environ.get(
+            "SKYHEALTH_SHUFFLE_PARTITIONS", str(CLUSTER_SHUFFLE_PARTITIONS))
+        # On a cluster coalesce to the advisory size rather than to maximum
+        # parallelism (thousands of tiny post-aggregation tasks otherwise).
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
