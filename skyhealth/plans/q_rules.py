@@ -93,15 +93,21 @@ live AS (SELECT site_id, date,
 
 
 def live_rows(spark, sf_dir):
-    """Live daily rows: the first day of each month plays today's API record."""
+    """Landed live rows for the table-maintenance scenarios: the API record
+    of the first day of each month plays "today's" row next to history."""
     j = join_daily(weather_daily(spark, sf_dir), pollution_daily(spark, sf_dir))
     return classify(live_features(j.where(F.dayofmonth("date") == 1)), "live")
 
 
-@register("live_features", with_ctes([WD, PD, JOINED, LIVE_SQL],
+LIVE_SQL_ALL_DAYS = LIVE_SQL.replace(" WHERE dayofmonth(date) = 1", "")
+
+
+@register("live_features", with_ctes([WD, PD, JOINED, LIVE_SQL_ALL_DAYS],
                                      f"SELECT *, {live_case()} AS health_category FROM live"))
 def live_features_q(spark, sf_dir):
-    return live_rows(spark, sf_dir)
+    """F14 + F12 on every day's weather and air-quality record (whole table)."""
+    j = join_daily(weather_daily(spark, sf_dir), pollution_daily(spark, sf_dir))
+    return classify(live_features(j), "live")
 
 
 AQI_SCALE_SQL = """CASE
