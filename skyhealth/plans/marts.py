@@ -156,3 +156,11 @@ def percent_label(x: Column) -> Column:
     """0.873 → ``87%``; NULL → ``N/A``."""
     return F.coalesce(F.concat(round_half_away(x * 100, 0).cast("int").cast("string"), F.lit("%")),
                       F.lit("N/A"))
+
+
+def measure_label(x: Column, unit: str = "", decimals: int = 1) -> Column:
+    """a measure for display — ``23.4 °C``, ``87 µg/m³``; NULL → ``N/A``.
+    Rounded half away from zero on the scaled value (report-tool ROUND)."""
+    text = F.format_number(round_half_away(x, decimals), decimals)
+    text = F.regexp_replace(text, ",", "")
+    return F.coalesce(F.concat(text, F.lit(f" {unit}" if unit else "")), F.lit("N/A"))

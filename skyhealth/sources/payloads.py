@@ -146,5 +146,23 @@ def latest_record_asof(records: DataFrame, calendar: DataFrame, keys: list[str],
 
 __all__ = ["read_json", "parse_json_column", "explode_weather_slots", "explode_pollution_slots",
            "explode_hourly_columnar", "wrap_days", "unwrap_days", "latest_record_asof",
+           "latest_landed_record",
            "epoch_to_date", "WEATHER_SLOTS_PAYLOAD", "POLLUTION_SLOTS_PAYLOAD",
            "HOURLY_COLUMNAR_PAYLOAD"]
+
+
+def latest_landed_record(spark: SparkSession, pattern: str, schema: T.StructType,
+                         as_of: str, keys: list[str] | None = None) -> DataFrame:
+    """S7 over files: among landed one-record files named ``<prefix>_YYYYMMDD.json``
+    take, per key, the file dated ``as_of`` or else the latest earlier one.
+
+    The file date comes from the file name (``_metadata.file_path``); the
+    pick is a ``max_by`` aggregate, so it never sorts the landing folder.
+    """
+    keys = keys or ["site_id"]
+    df = read_json(spark, pattern, schema)
+    file_day = F.to_date(F.regexp_extract("source_file", r"_(\d{8})\.json$", 1), "yyyyMMdd")
+    cand = df.withColumn("file_date", file_day).where(F.col("file_date") <= F.lit(as_of).cast("date"))
+    payload = [c for c in cand.columns if c not in keys]
+    return (cand.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("file_date")).alias("r"))
+            .select(*keys, "r.*"))

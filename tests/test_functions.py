@@ -125,3 +125,12 @@ def test_weekend_flag(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 6),), (dt.date(2024, 1, 8),)], "date date")
     got = [(r.day_of_week, r.is_weekend) for r in date_attributes(df).collect()]
     assert got == [("Saturday", True), ("Monday", False)]
+
+
+def test_measure_and_percent_labels(spark):
+    from skyhealth.plans.marts import card_label, measure_label, percent_label
+    df = spark.createDataFrame([(23.46, 0.873, dt.date(2026, 1, 5)), (None, None, dt.date(2026, 1, 6))],
+                               "t double, c double, d date")
+    got = [tuple(r) for r in df.select(measure_label(F.col("t"), "°C"), percent_label(F.col("c")),
+                                       card_label(F.col("d"))).collect()]
+    assert got == [("23.5 °C", "87%", "Mon 05 Jan"), ("N/A", "N/A", "Tue 06 Jan")]

@@ -209,3 +209,17 @@ def test_stream_rollup_append_waits_for_watermark(spark):
     # append mode withholds the days the watermark has not passed yet
     assert append.count() < complete.count()
     assert append.join(complete, ["date", "site_id", "n_slots"], "left_anti").count() == 0
+
+
+def test_latest_landed_record_by_file_date(spark):
+    from pyspark.sql import types as T
+    d = tempfile.mkdtemp(prefix="skyhealth-landing-")
+    for day, aqi in (("20240101", 10), ("20240103", 30), ("20240105", 50)):
+        with open(os.path.join(d, f"pollution_api_{day}.json"), "w") as f:
+            f.write(json.dumps({"site_id": 0, "aqi": aqi}) + "\n")
+    schema = T.StructType([T.StructField("site_id", T.IntegerType()), T.StructField("aqi", T.IntegerType())])
+    pick = lambda as_of: P.latest_landed_record(spark, os.path.join(d, "pollution_api_*.json"),
+                                                schema, as_of).collect()[0]
+    assert pick("2024-01-03").aqi == 30          # exact-date file
+    assert pick("2024-01-04").aqi == 30          # else the latest earlier file
+    assert str(pick("2024-01-09").file_date) == "2024-01-05"
