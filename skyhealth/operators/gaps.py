@@ -33,8 +33,9 @@ def date_difference(a: DataFrame, b: DataFrame, keys=("site_id",)) -> DataFrame:
 
 
 def calendar(start: Column, end: Column) -> Column:
-    """One element per day from start to end inclusive."""
-    return F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY")))
+    """One element per day from start to end inclusive; an empty range
+    (start after end, e.g. two date sets that do not overlap) gives no rows."""
+    return F.explode(F.when(start <= end, F.sequence(start, end, F.expr("INTERVAL 1 DAY"))))
 
 
 def overlap_ranges(weather: DataFrame, pollution: DataFrame, keys=("site_id",)) -> DataFrame:
