@@ -25,7 +25,7 @@ LIVE_GOLD = """live_gold AS (
     dust_risk_index, rain_wash_effect, {cat} AS health_category, source
   FROM live)""".format(cat=live_case())
 
-MERGE_CHAIN = GOLD_CHAIN + [LIVE_SQL.replace("FROM joined", "FROM joined", 1), LIVE_GOLD]
+MERGE_CHAIN = GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD]
 
 FLOG = """flog AS (
   SELECT CAST(ts AS DATE) AS forecast_date, CAST(user_id % 3 + 1 AS INTEGER) AS forecast_horizon,
