@@ -31,6 +31,7 @@ from skyhealth.operators.gaps import missing_dates
 from skyhealth.plans.daily import build_features, join_daily
 from skyhealth.plans.forecast import engineer
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
+from skyhealth.session import cut_lineage
 from skyhealth.sources.tables import replace_table, write_if_not_empty, write_table
 
 KEYS = ["site_id", "date"]
@@ -78,7 +79,9 @@ def _append_new(spark: SparkSession, rows: DataFrame, path: str, keys) -> None:
 
 def historical_load(spark: SparkSession, weather_raw: DataFrame, pollution_raw: DataFrame,
                     wh: Warehouse) -> None:
-    weather, pollution = clean_weather(weather_raw), clean_pollution(pollution_raw)
+    # Cleaned inputs feed the gap report and the join: stage them once.
+    weather = cut_lineage(clean_weather(weather_raw))
+    pollution = cut_lineage(clean_pollution(pollution_raw))
     write_if_not_empty(missing_dates(weather, pollution), wh.missing, fmt="parquet")   # K3
     gold = build_features(join_daily(weather, pollution))
     current = _read_or_none(spark, wh.features)

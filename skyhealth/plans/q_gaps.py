@@ -9,6 +9,7 @@ from skyhealth.plans.oracle import avg_dec, with_ctes
 from skyhealth.plans.q_clean import (CLEAN_POLLUTION_CHAIN, CLEAN_WEATHER_CHAIN, P_COLS,
                                      clean_pollution_df, clean_weather_df)
 from skyhealth.plans.registry import register
+from skyhealth.session import cut_lineage
 from skyhealth.sources.driver import HOURLY_VALUE_COLUMNS, hourly_air_quality
 
 CLEAN_BOTH = CLEAN_WEATHER_CHAIN + CLEAN_POLLUTION_CHAIN
@@ -44,8 +45,9 @@ def _fetched_daily(spark, sf_dir):
     return gaps.hourly_to_daily(hourly_air_quality(spark, sf_dir), HOURLY_VALUE_COLUMNS, scale=2)
 
 
-def _missing(spark, sf_dir):
-    return gaps.missing_dates(clean_weather_df(spark, sf_dir), clean_pollution_df(spark, sf_dir))
+def _missing(spark, sf_dir, pollution=None):
+    return gaps.missing_dates(clean_weather_df(spark, sf_dir),
+                              pollution if pollution is not None else clean_pollution_df(spark, sf_dir))
 
 
 @register("missing_dates", with_ctes(CLEAN_BOTH + [MISSING], "SELECT site_id, date FROM missing"))
@@ -112,8 +114,12 @@ gapfilled AS (SELECT k.site_id, k.date, {fills} FROM merged k JOIN gmed m ON k.s
 @register("gap_fill_merge", with_ctes(CLEAN_BOTH + [MISSING, HOURLY, GAP_FILL],
                                       "SELECT * FROM gapfilled"))
 def gap_fill_merge(spark, sf_dir):
-    return gaps.gap_fill_merge(clean_pollution_df(spark, sf_dir), _fetched_daily(spark, sf_dir),
-                               _missing(spark, sf_dir))
+    # The cleaned air-quality table feeds the gap list, the merge and the
+    # medians: stage it once in the shared checkpoint folder (as the
+    # staging table it is) instead of re-deriving it from raw three times.
+    pollution = cut_lineage(clean_pollution_df(spark, sf_dir))
+    return gaps.gap_fill_merge(pollution, _fetched_daily(spark, sf_dir),
+                               _missing(spark, sf_dir, pollution))
 
 
 @register("gap_still_missing", with_ctes(CLEAN_BOTH + [MISSING, HOURLY], """
