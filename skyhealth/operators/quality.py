@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyhealth.functions.columns import stable_round
+from skyhealth.session import cut_lineage
 
 
 def confusion(df: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -33,6 +34,9 @@ def classification_report(conf: DataFrame, digits: int = 6) -> DataFrame:
     weighted averages — derived from the confusion table, like sklearn's
     report (0 where a ratio is undefined)."""
     r = lambda c: stable_round(c, digits)
+    # The report reads the (tiny) confusion table in several branches; stage
+    # it once so the labelling plan above it runs a single time.
+    conf = cut_lineage(conf)
     t = conf.groupBy(F.col("rule_label").alias("label")).agg(
         F.sum("days").alias("support"),
         F.sum(F.when(F.col("rule_label") == F.col("model_label"), F.col("days")).otherwise(0)).alias("tp"))
