@@ -223,3 +223,12 @@ def test_latest_landed_record_by_file_date(spark):
     assert pick("2024-01-03").aqi == 30          # exact-date file
     assert pick("2024-01-04").aqi == 30          # else the latest earlier file
     assert str(pick("2024-01-09").file_date) == "2024-01-05"
+
+
+def test_median_fill_approximate_and_global(spark):
+    df = spark.createDataFrame([(0, 1.0), (0, 3.0), (0, 5.0), (0, None), (1, 7.0), (1, None)],
+                               "site_id int, x double")
+    approx = sorted((r.site_id, r.x) for r in median_fill(df, ["x"], approximate=True).collect())
+    assert approx == [(0, 1.0), (0, 3.0), (0, 3.0), (0, 5.0), (1, 7.0), (1, 7.0)]
+    glob = sorted(r.x for r in median_fill(df.drop("site_id"), ["x"], keys=()).collect())
+    assert glob == [1.0, 3.0, 4.0, 4.0, 5.0, 7.0]        # global median of 1, 3, 5, 7
