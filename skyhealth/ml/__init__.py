@@ -1 +1 @@
-
+"""Spark ML risk model."""

@@ -1 +1 @@
-
+"""Structured Streaming landing jobs."""
