@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import decontaminate
+from skyhealth.llm import bpe, decontaminate, sharding, token_counts
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judge(read_table(spark, sf_dir, "documents"),
                                 read_table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op7_sharding", sharding.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(token_counts.flat_blocks(read_table(spark, sf_dir, "documents")))
