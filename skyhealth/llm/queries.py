@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import bpe, decontaminate, sharding, token_counts
+from skyhealth.llm import bpe, chat, decontaminate, quality, sharding, token_counts
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(token_counts.flat_blocks(read_table(spark, sf_dir, "documents")))
+
+
+@query("op2_chat", chat.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+@query("op5_quality", quality.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents")).drop("text")
