@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import bpe, chat, decontaminate, quality, sharding, token_counts
+from skyhealth.llm import bpe, chat, decontaminate, language, quality, sharding, simhash, token_counts
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality", quality.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents")).drop("text")
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
