@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import bpe, chat, decontaminate, language, quality, sharding, simhash, token_counts
+from skyhealth.llm import bpe, chat, decontaminate, language, quality, sharding, simhash, suffix_dedup, token_counts
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query("op1_suffix_dedup", suffix_dedup.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
