@@ -311,7 +311,7 @@ def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int
                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     base = own.withColumn("seq", F.row_number().over(W.partitionBy("k").orderBy("text")))
     found = (base.mapInArrow(_runs_of(depth, gram), RUNS).repartition("g").sortWithinPartitions("g", "sig", "k", "at")
-             .mapInArrow(_split(depth), FOUND).repartition("k"))
+             .mapInArrow(_split(depth), FOUND))
     open_runs = found.where("open").groupBy("k").agg(F.collect_list(F.struct("at", "g", "lo", "hi")).alias("open_runs"))
     equal = (base.join(open_runs.hint("merge"), "k").mapInArrow(_suffixes(depth), "g long, k long, at long, lo int, hashes binary")
              .repartition("g").sortWithinPartitions("g", "k", "at").mapInArrow(_equal, "k long, at long, lo int, hi int"))
