@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,3 +68,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def by_key(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Iterator[dict]:
+    """Columns of a stream sorted by ``key``, cut only between its values.
+    Numeric columns come as arrays, others as Arrow columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch[key].to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(k, k[-1], "left"))
+        if cut or (held and held[-1][key][0].as_py() != k[0]):
+            parts = [*held, batch.slice(0, cut)]
+            if sum(p.num_rows for p in parts):
+                yield _columns(parts, names)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield _columns(held, names)
+
+
+def _columns(parts: list[pa.RecordBatch], names: list[str]) -> dict:
+    table = pa.Table.from_batches(parts)
+    return {c: table[c] if pa.types.is_binary(table.schema.field(c).type) else table[c].to_numpy() for c in names}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import bpe, chat, decontaminate, language, quality, sharding, simhash, suffix_dedup, token_counts
+from skyhealth.llm import (bpe, chat, context_tree, decontaminate, language, quality, sharding, simhash,
+                           suffix_dedup, token_counts)
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), with_text=False)
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op4_context_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read_table(spark, sf_dir, "documents"))

@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import blobs, mix64, runs
+from skyhealth.llm.byte_hash import ByteHash
+from skyhealth.llm.common import blobs, by_key, mix64
 
 DEPTH = 100
 GRAM = 50
@@ -44,40 +45,17 @@ PIECE = 1 << 20
 LOWEST = -(1 << 63)
 PLACE = (1 << 32) - 1  # low half of ``at``: position; high half: place among rows of one doc_id
 
-_ODD = 0x5851F42D4C957F2D
-_TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
 RUNS = "g long, sig long, k long, at long, again boolean"
 FOUND = "k long, at long, lo int, hi int, g long, open boolean"
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out, size = np.ones(n, np.uint64), 1
-    while size < n:
-        m = min(size, n - size)
-        out[size:size + m] = out[:m] * np.uint64(pow(base, size, 1 << 64))
-        size += m
-    return out
-
-
-class Slice:
+class Slice(ByteHash):
     """Some bytes of a batch: whole texts, or one piece of a long text.
     ``docs`` and ``shift`` tell each segment's row and its first byte there."""
 
-    _up = _down = np.zeros(0, np.uint64)
-
     def __init__(self, data: np.ndarray, docs: np.ndarray, shift: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        super().__init__(data)
         self.docs, self.shift, self.starts, self.ends = docs, shift, starts, ends
-        n = len(data)
-        if len(Slice._up) < n + 1:
-            Slice._up = _powers(_ODD, n + 1)
-            Slice._down = _powers(pow(_ODD, -1, 1 << 64), n + 1)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_TABLE[data] * Slice._down[:n], out=self.sums[1:])
-
-    def hash(self, first: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-        """Hash of the bytes from each ``first`` on, the same wherever they lie."""
-        h = (self.sums[first + size] - self.sums[first]) * Slice._up[first]
-        return mix64(h ^ (np.asarray(size, np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
     def windows(self, depth: int) -> np.ndarray:
         """Window starts, in order."""
@@ -155,32 +133,11 @@ def _runs_of(depth: int, gram: int):
     return over
 
 
-def _by_digit(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict]:
-    """Columns of a sorted stream, cut only between values of ``g``."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        g = batch["g"].to_numpy(zero_copy_only=False)
-        cut = int(np.searchsorted(g, g[-1], "left"))
-        if cut or (held and held[-1]["g"][0].as_py() != g[0]):
-            yield _columns([*held, batch.slice(0, cut)], names)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield _columns(held, names)
-
-
-def _columns(parts: list[pa.RecordBatch], names: list[str]) -> dict:
-    table = pa.Table.from_batches(parts)
-    return {c: table[c].combine_chunks() if c == "hashes" else table[c].to_numpy() for c in names}
-
-
 def _split(depth: int):
     """Pass 2 over the sorted runs: repeats, and runs still open."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _by_digit(batches, ["g", "sig", "k", "at", "again"]):
+        for r in by_key(batches, "g", ["g", "sig", "k", "at", "again"]):
             if not len(r["g"]):
                 continue
             alone = r["again"].astype(bool)
@@ -237,10 +194,10 @@ def _suffixes(depth: int):
 def _equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pass 3: suffixes of one digit with equal offset and hash; all but the
     first of each group are repeats, given back as ranges of starts."""
-    for r in _by_digit(batches, ["g", "k", "at", "lo", "hashes"]):
+    for r in by_key(batches, "g", ["g", "k", "at", "lo", "hashes"]):
         if not len(r["g"]):
             continue
-        data, offsets = blobs(r["hashes"])
+        data, offsets = blobs(r["hashes"].combine_chunks())
         count = np.diff(offsets) // 8
         h = np.frombuffer(data.tobytes(), np.uint64)
         row = np.repeat(np.arange(len(count)), count)
