@@ -43,7 +43,7 @@ DEPTH = 5
 #: Depth of the contexts whose trees are solved apart.
 ROOT = 2
 FOLDS, HELD_OUT = 5, 1
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 40 << 20
 GROUP_BYTES = 1 << 20
 _LOWER = np.frombuffer(ASCII_LOWER, np.uint8)
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
