@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyhealth.llm.common import schema_of
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Text split at a time.
 CHUNK_CHARS = 1 << 20
@@ -143,9 +145,7 @@ def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> D
             yield pa.RecordBatch.from_pydict(
                 {c: batch[c] for c in cols} | {c: pa.array(v, pa.list_(more[c])) for c, v in found.items()})
 
-    spec = docs.schema
-    return docs.select(*cols).mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in cols] + [f"{c} array<int>" for c in more]))
+    return docs.select(*cols).mapInArrow(over, schema_of(docs, cols, ", ".join(f"{c} array<int>" for c in more)))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -159,33 +159,33 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             back = [own.decode(ids or []) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in cols} | {"decoded": pa.array(back, pa.binary())})
 
-    spec = encoded.schema
-    return encoded.select(*cols).mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in cols] + ["decoded binary"]))
+    return encoded.select(*cols).mapInArrow(over, schema_of(encoded, cols, "decoded binary"))
 
 
-def digests(docs: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, keep: list[str], with_ids: bool = False, path: str | None = None) -> DataFrame:
     """Encode and decode in one pass over the batches: the ``keep`` columns,
-    the token count and the digests of ids and of the decoded bytes."""
+    the token count, the digests of ids and of the decoded bytes, and the ids
+    themselves if asked."""
     path = path or default_path()
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            n, of_ids, of_text = [], [], []
+            n, of_ids, of_text, kept = [], [], [], []
             for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
                 of_text.append(hashlib.sha256(own.decode(ids.tolist())).hexdigest())
+                if with_ids:
+                    kept.append(ids.astype(np.int32))
             yield pa.RecordBatch.from_pydict(
                 {c: batch[c] for c in keep}
                 | {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()),
-                   "decoded_sha256": pa.array(of_text, pa.string())})
+                   "decoded_sha256": pa.array(of_text, pa.string())}
+                | ({"ids": pa.array(kept, pa.list_(pa.int32()))} if with_ids else {}))
 
-    spec = docs.schema
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in keep]
-        + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]))
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, schema_of(
+        docs, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")))
 
 
 def round_trips(encoded: DataFrame) -> DataFrame:

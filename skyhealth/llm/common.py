@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyhealth.session import scratch_path
 
@@ -30,9 +31,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z only (``lower`` would fold other letters as well)."""
-    return F.translate(c, UPPER, LOWER)
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that no name of theirs can clash
+    with an operator's, beside ``text``."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col("text"))
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
+def schema_of(df: DataFrame, keep: list[str], ddl: str) -> T.StructType:
+    """The ``keep`` columns of ``df`` and those of ``ddl``."""
+    return T.StructType([df.schema[c] for c in keep] + T.StructType.fromDDL(ddl).fields)
 
 
 def blobs(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import ASCII_LOWER
+from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, unpacked
 
 WINDOW = 13
 #: Words keep ASCII letters, digits and every non-ASCII character.
@@ -156,7 +156,6 @@ def judge(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
     total = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     n_blocks = 1 + int(total // block_bytes)
     items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
-    spec = docs.schema
     inner = [c for c in dict.fromkeys([*keep, "text"])]
     out = docs.select(*inner).withColumns({
         "hits": F.lit(None).cast("array<struct<first:int,end:int>>"),
@@ -165,16 +164,15 @@ def judge(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
         rows = items.where(F.col("block") == b).select("item_id", "text").collect()
         last = b == n_blocks - 1
         cols = keep if last else inner
-        schema = ", ".join([f"`{c}` {spec[c].dataType.simpleString()}" for c in cols]
-                           + ([VERDICT] if last else [VERDICT.split("boolean, ")[1]]))
+        schema = schema_of(docs, cols, VERDICT if last else VERDICT.split("boolean, ")[1])
         out = out.mapInArrow(_scan(Windows([(r.item_id, r.text) for r in rows], window), last, cols), schema)
     return out
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without the contaminated ones, columns unchanged."""
-    kept = judge(docs, benchmark, docs.columns, window)
-    return kept.where(~F.col("contaminated")).select(*docs.columns)
+    kept = judge(packed(docs), benchmark, ["row"], window).where(~F.col("contaminated"))
+    return unpacked(kept, docs.columns)
 
 
 SQL = r"""

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from xxhash import xxh64_intdigest
 
-from skyhealth.llm.common import ASCII_LOWER, blobs, groups_of_docs
+from skyhealth.llm.common import ASCII_LOWER, blobs, groups_of_docs, schema_of
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -57,6 +57,4 @@ def fingerprinted(docs: DataFrame, keep: list[str], size: int = SHINGLE_WORDS) -
             fp = fingerprints(*blobs(batch["text"]), size)
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {"fp": pa.array(fp.view(np.int64))})
 
-    spec = docs.schema
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in keep] + ["fp long"]))
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, schema_of(docs, keep, "fp long"))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyhealth.llm.common import packed, schema_of, unpacked
+
 #: Normalised bytes learned per language. The sample is broadcast (this much a
 #: language) and each worker builds the automata.
 LEARN_BYTES = 1 << 15
@@ -192,9 +194,8 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, bytes], ...], keep: list[
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {
                 "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores)})
 
-    spec = docs.schema
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in keep] + ["lang_pred string", "score double"]))
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(
+        over, schema_of(docs, keep, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame, learn_bytes: int = LEARN_BYTES) -> DataFrame:
@@ -205,7 +206,5 @@ def identify(docs: DataFrame, learn_bytes: int = LEARN_BYTES) -> DataFrame:
 
 def keep_identified(docs: DataFrame, learn_bytes: int = LEARN_BYTES) -> DataFrame:
     """The documents with a language, columns unchanged; ``und`` goes."""
-    found = predict(docs.withColumnsRenamed({c: f"_{i}" for i, c in enumerate(docs.columns) if c in ("lang_pred", "score")}),
-                    learn(docs, learn_bytes), [f"_{i}" if c in ("lang_pred", "score") else c for i, c in enumerate(docs.columns)])
-    return found.where(F.col("lang_pred") != "und").select(*[
-        F.col(f"_{i}").alias(c) if c in ("lang_pred", "score") else F.col(c) for i, c in enumerate(docs.columns)])
+    found = predict(packed(docs), learn(docs, learn_bytes), ["row"])
+    return unpacked(found.where(F.col("lang_pred") != "und"), docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyhealth.llm.byte_hash import ByteHash
-from skyhealth.llm.common import blobs, by_key, mix64
+from skyhealth.llm.common import blobs, by_key, mix64, schema_of
 
 DEPTH = 100
 GRAM = 50
@@ -274,8 +274,8 @@ def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int
              .repartition("g").sortWithinPartitions("g", "k", "at").mapInArrow(_equal, "k long, at long, lo int, hi int"))
     spans = (found.where("not open").select("k", "at", "lo", "hi").unionByName(equal)
              .groupBy("k").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("spans")))
-    schema = (f"row {own.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-              "removed array<struct<first:bigint,end:bigint>>, kept_text string")
+    schema = schema_of(own, ["row"], "n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+                                     "removed array<struct<first:bigint,end:bigint>>, kept_text string")
     return base.join(spans.hint("merge"), "k", "left").mapInArrow(_cut(depth, ["row"], with_text), schema)
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyhealth.llm import bpe
+from skyhealth.llm.common import schema_of
 
 #: The rank file's ids end at 50255, so this one is free and fits 16 bits.
 END_OF_DOCUMENT = 50256
@@ -102,9 +103,7 @@ def scan_blocks(blocks: DataFrame, separator: int = END_OF_DOCUMENT, dtype: str
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in cols} | {
                 "n_sep": pa.array(n_sep, pa.int64()), "pieces": pa.array(pieces, pa.list_(pa.int64()))})
 
-    spec = blocks.schema
-    return blocks.select(*cols, "tokens").mapInArrow(over, ", ".join(
-        [f"`{c}` {spec[c].dataType.simpleString()}" for c in cols] + ["n_sep long", "pieces array<long>"]))
+    return blocks.select(*cols, "tokens").mapInArrow(over, schema_of(blocks, cols, "n_sep long, pieces array<long>"))
 
 
 def count(blocks: DataFrame, separator: int = END_OF_DOCUMENT, dtype: str = DTYPE) -> DataFrame:
