@@ -27,13 +27,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import schema_of
+from skyhealth.llm.common import schema_of, small
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Text split at a time.
 CHUNK_CHARS = 1 << 20
 #: Pieces a worker keeps with their ids before it starts afresh.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 150_000
 
 
 def byte_characters() -> list[str]:
@@ -136,7 +136,7 @@ def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> D
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in small(batches):
             found: dict[str, list] = {c: [] for c in more}
             texts = [t or "" for t in batch["text"].to_pylist()]
             found["ids"] = [ids.astype(np.int32) for ids in own.encode(texts)]
@@ -170,7 +170,7 @@ def digests(docs: DataFrame, keep: list[str], with_ids: bool = False, path: str
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in small(batches):
             n, of_ids, of_text, kept = [], [], [], []
             for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
                 n.append(len(ids))

@@ -65,6 +65,15 @@ def groups_of_docs(offsets: np.ndarray, most: int):
         first = end
 
 
+def small(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of ``text``, so that what
+    Python makes of the texts at a time stays small."""
+    for batch in batches:
+        _, offsets = blobs(batch["text"])
+        for first, end in groups_of_docs(offsets, most):
+            yield batch.slice(first, end - first)
+
+
 def runs(keys: np.ndarray) -> np.ndarray:
     """Start indices of the runs of equal values in a sorted array."""
     return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)

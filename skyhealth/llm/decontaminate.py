@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, unpacked
+from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, small, unpacked
 
 WINDOW = 13
 #: Words keep ASCII letters, digits and every non-ASCII character.
@@ -103,7 +103,7 @@ def _scan(block: Windows, last: bool, keep: list[str]):
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = block.vocab.get
-        for batch in batches:
+        for batch in small(batches):
             texts = batch["text"].to_pylist()
             ids, first = [], [0]
             for text in texts:

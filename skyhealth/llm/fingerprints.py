@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from xxhash import xxh64_intdigest
 
-from skyhealth.llm.common import ASCII_LOWER, blobs, groups_of_docs, schema_of
+from skyhealth.llm.common import ASCII_LOWER, blobs, groups_of_docs, schema_of, small
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -53,7 +53,7 @@ def fingerprinted(docs: DataFrame, keep: list[str], size: int = SHINGLE_WORDS) -
     number)."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             fp = fingerprints(*blobs(batch["text"]), size)
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {"fp": pa.array(fp.view(np.int64))})
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import packed, schema_of, unpacked
+from skyhealth.llm.common import packed, schema_of, small, unpacked
 
 #: Normalised bytes learned per language. The sample is broadcast (this much a
 #: language) and each worker builds the automata.
@@ -139,7 +139,7 @@ class Model:
             np.add.at(out[:, k], owner, count)
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def model(samples: tuple[tuple[str, bytes], ...]) -> Model:
     """One model per Python worker."""
     return Model(samples)
@@ -174,7 +174,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, bytes], ...], keep: list[
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(shared.value)
         bits = np.array(own.bits)
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             lettered = np.array([bool(_LETTER.search(t)) for t in texts], bool) & (len(own.names) > 0)
             names, scores = ["und"] * len(texts), np.zeros(len(texts))

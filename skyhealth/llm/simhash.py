@@ -42,7 +42,7 @@ def correlated_parts(bits: np.ndarray, parts: int) -> list[np.ndarray]:
     """Bit positions in ``parts`` groups of near-equal size. Each group starts
     at the free bit with the strongest tie and takes the free bit most
     correlated with it so far, again and again."""
-    x = bits - bits.mean(axis=0)
+    x = bits - bits.mean(axis=0) if len(bits) else bits
     scale = np.sqrt((x * x).sum(axis=0))
     tie = np.abs(x.T @ x) / np.maximum(np.outer(scale, scale), 1e-9)
     np.fill_diagonal(tie, 0)

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyhealth.llm import bpe
-from skyhealth.llm.common import schema_of
+from skyhealth.llm.common import schema_of, small
 
 #: The rank file's ids end at 50255, so this one is free and fits 16 bits.
 END_OF_DOCUMENT = 50256
@@ -69,7 +69,7 @@ def flat_blocks(docs: DataFrame, path: str | None = None, block_tokens: int = BL
                 "file_id": pa.array([file_id], pa.int64()), "block_no": pa.array([block_no - 1], pa.int64()),
                 "tokens": pa.array([stream.tobytes()], pa.binary()), "doc_ids": pa.array([here], pa.list_(pa.int64()))})
 
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), own.encode(texts)):
                 waiting += [ids.astype(DTYPE), mark]
