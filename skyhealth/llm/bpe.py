@@ -33,7 +33,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Text split at a time.
 CHUNK_CHARS = 1 << 20
 #: Pieces a worker keeps with their ids before it starts afresh.
-KNOWN_PIECES = 150_000
+KNOWN_PIECES = 100_000
 
 
 def byte_characters() -> list[str]:

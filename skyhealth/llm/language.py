@@ -17,7 +17,6 @@ only the named columns are read.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ from skyhealth.llm.common import packed, schema_of, small, unpacked
 
 #: Normalised bytes learned per language. The sample is broadcast (this much a
 #: language) and each worker builds the automata.
-LEARN_BYTES = 1 << 15
+LEARN_BYTES = 1 << 14
 BLOCK = 1024
 GROUP_BYTES = 4 << 20
 FOLDS, HELD_OUT = 4, 2
@@ -51,38 +50,39 @@ def normal(text: str) -> bytes:
 
 def automaton(text: bytes, codes: np.ndarray, width: int) -> np.ndarray:
     """Suffix automaton of ``text`` as a table: row s, column code, the next
-    state; where there is none, the state after starting afresh with that
-    symbol, plus FRESH. Column 0 pads and stays."""
-    nexts: list[dict[int, int]] = [{}]
+    state. A step that starts a phrase carries FRESH: those from the root, and
+    where a state has no next one, the root's step. Column 0 pads and stays."""
+    table = np.full((2 * len(text) + 1, width), -1, np.int32)
     link, length, last = [-1], [0], 0
     for c in codes[np.frombuffer(text, np.uint8)].tolist():
-        cur = len(nexts)
-        nexts.append({})
+        cur = len(link)
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in nexts[p]:
-            nexts[p][c] = cur
+        while p >= 0 and table[p, c] < 0:
+            table[p, c] = cur
             p = link[p]
         if p >= 0:
-            q = nexts[p][c]
+            q = int(table[p, c])
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = len(nexts)
-                nexts.append(dict(nexts[q]))
+                clone = len(link)
+                table[clone] = table[q]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and nexts[p].get(c) == q:
-                    nexts[p][c] = clone
+                while p >= 0 and table[p, c] == q:
+                    table[p, c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(nexts), width), -1, np.int32)
-    for s, step in enumerate(nexts):
-        table[s, list(step)] = list(step.values())
-    table = np.where(table < 0, np.maximum(table[0], 0) + FRESH, table).astype(np.int32)
-    table[:, 0] = np.arange(len(nexts))
+    table = table[:len(link)].copy()
+    start = np.maximum(table[0], 0) + FRESH
+    for first in range(0, len(table), 4096):
+        part = table[first:first + 4096]
+        np.copyto(part, start, where=part < 0)
+    table[0] = start
+    table[:, 0] = np.arange(len(link))
     return table
 
 
@@ -128,7 +128,7 @@ class Model:
         grid, owner, length = np.ascontiguousarray(grid[order].T), owner[order], length[order]
         alive = len(owner) - np.searchsorted(length[::-1], np.arange(BLOCK), "right")
         for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(owner), np.int32), np.ones(len(owner), np.int64)
+            state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int64)
             for t in range(BLOCK):
                 n = alive[t]
                 if not n:
@@ -139,10 +139,15 @@ class Model:
             np.add.at(out[:, k], owner, count)
 
 
-@functools.lru_cache(maxsize=1)
+_held: dict[tuple, Model] = {}
+
+
 def model(samples: tuple[tuple[str, bytes], ...]) -> Model:
-    """One model per Python worker."""
-    return Model(samples)
+    """The worker's one model; another sample's goes before it is built."""
+    if samples not in _held:
+        _held.clear()
+        _held[samples] = Model(samples)
+    return _held[samples]
 
 
 def learn(docs: DataFrame, learn_bytes: int = LEARN_BYTES) -> tuple[tuple[str, bytes], ...]:
@@ -150,19 +155,24 @@ def learn(docs: DataFrame, learn_bytes: int = LEARN_BYTES) -> tuple[tuple[str, b
     of normalised text. Rows are drawn by a hash of the text at a rate that
     gives each language about twice that, so little reaches the driver."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.select("lang", "text")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    rows = rows.where(F.col("text").rlike(r"\p{L}")).select("lang", "text")
     coin = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
+    start = F.substring("text", 1, learn_bytes)
+    # A language of few, long texts may have none drawn; its first one serves.
+    langs = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"), F.min_by(start, coin).alias("first")).collect()
+    sizes = {r.lang: r.n for r in langs}
     rate = F.lit(0.0)
     for lang, n in sizes.items():
         rate = F.when(F.col("lang") == lang, min(1.0, 3 * learn_bytes / max(n, 1))).otherwise(rate)
     drawn = (rows.where(coin < rate).groupBy("lang", "text").agg(F.min(coin).alias("coin"))
-             .select("lang", "coin", F.substring("text", 1, learn_bytes).alias("text")).orderBy("lang", "coin").toLocalIterator())
+             .select("lang", "coin", start.alias("text")).orderBy("lang", "coin").toLocalIterator())
     samples: dict[str, bytes] = {}
     for r in drawn:
         have = samples.setdefault(r.lang, b"")
         if len(have) < learn_bytes:
             samples[r.lang] = (have + b" " + normal(r.text))[:learn_bytes]
+    for r in langs:
+        samples.setdefault(r.lang, normal(r.first)[:learn_bytes])
     return tuple((lang, samples[lang]) for lang in sorted(samples) if samples[lang].strip())
 
 
