@@ -24,15 +24,6 @@ def keep_existing(df: DataFrame, keep: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in keep if c in df.columns])
 
 
-def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Conform to a target schema: add missing as NULL, cast, reorder, drop extras."""
-    cols = []
-    for f in schema.fields:
-        src = F.col(f.name) if f.name in df.columns else F.lit(None)
-        cols.append(src.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
-
-
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """NaN -> NULL on floating columns so rules see one kind of missing."""
     targets = cols if cols is not None else [

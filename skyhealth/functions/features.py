@@ -89,64 +89,54 @@ def _or(c: Column, d: Column) -> Column:
     return F.when(_truthy(c), c).otherwise(d)
 
 
+#: Inputs of a live row and what stands in for a missing or zero one: a number,
+#: another input, or the heat index.
+LIVE_INPUTS = {
+    "temperature": 0.0, "humidity": 0.0, "wind": 0.0, "precipitation": 0.0,
+    "pm25": 0.0, "pm10": 0.0, "aqi": 0.0, "ozone": 0.0, "nitrogen_dioxide": 0.0, "sulphur_dioxide": 0.0,
+    "temp_max": "temperature", "temp_min": "temperature", "humidity_min": "humidity", "wind_max": "wind",
+    "apparent_temp_max": "heat_index",
+}
+PLAIN, ROUNDED, NULL_ZERO, NULL_ZERO_ROUNDED = (False, False), (False, True), (True, False), (True, True)
+#: Columns of a live row: name, what it is made of, and whether zero becomes
+#: NULL (T12) and the value is rounded to 4 decimals.
+LIVE_COLUMNS = [
+    ("temperature", "temperature", ROUNDED), ("humidity", "humidity", ROUNDED), ("wind", "wind", ROUNDED),
+    ("pressure", "pressure", PLAIN), ("cloud_cover", "cloud_cover", PLAIN),
+    ("temp_max", "temp_max", NULL_ZERO_ROUNDED), ("temp_min", "temp_min", NULL_ZERO_ROUNDED), ("temp_range", "temp_range", ROUNDED),
+    ("apparent_temp_max", "apparent_temp_max", ROUNDED), ("apparent_temp_min", "apparent_temp_min", PLAIN),
+    ("apparent_temp_mean", "apparent_temp_mean", PLAIN), ("humidity_max", "humidity_max", PLAIN),
+    ("humidity_min", "humidity_min", NULL_ZERO_ROUNDED), ("wind_max", "wind_max", NULL_ZERO_ROUNDED),
+    ("wind_gust_max", "wind_gust_max", PLAIN), ("precipitation", "precipitation", ROUNDED),
+    ("pm25", "pm25", PLAIN), ("pm10", "pm10", NULL_ZERO), ("aqi", "aqi", PLAIN), ("ozone", "ozone", NULL_ZERO),
+    ("nitrogen_dioxide", "nitrogen_dioxide", NULL_ZERO), ("sulphur_dioxide", "sulphur_dioxide", NULL_ZERO),
+    ("heat_index", "heat_index", ROUNDED), ("pollution_level", "pollution_level", ROUNDED),
+    ("respiratory_stress", "respiratory_stress", ROUNDED), ("uv_risk", "uv_risk", PLAIN),
+    ("heat_stress_peak", "apparent_temp_max", ROUNDED), ("dust_risk_index", "dust_risk", ROUNDED),
+    ("rain_wash_effect", "rain_wash", ROUNDED), ("source", "source", PLAIN),
+]
+
+
 def live_features(df: DataFrame) -> DataFrame:
-    """build a live daily row from the day's weather + pollution record.
-
-    Max/min measures fall back to the means, apparent_temp_max to the heat
-    index formula; several outputs map 0 to NULL (T12); values rounded to 4
-    decimals half-even.
-    """
-    g = lambda n: F.col(n) if n in df.columns else F.lit(None).cast("double")
-    temp = _or(g("temperature"), F.lit(0.0))
-    hum = _or(g("humidity"), F.lit(0.0))
-    wind = _or(g("wind"), F.lit(0.0))
-    temp_max = _or(g("temp_max"), temp)
-    temp_min = _or(g("temp_min"), temp)
-    hum_min = _or(g("humidity_min"), hum)
-    wind_max = _or(g("wind_max"), wind)
-    hi = heat_index(temp, hum, wind)
-    app_max = _or(g("apparent_temp_max"), hi)
-    precip = _or(g("precipitation"), F.lit(0.0))
-    pm25 = _or(g("pm25"), F.lit(0.0))
-    pm10 = _or(g("pm10"), F.lit(0.0))
-    aqi = _or(g("aqi"), F.lit(0.0))
-    no2 = _or(g("nitrogen_dioxide"), F.lit(0.0))
-    so2 = _or(g("sulphur_dioxide"), F.lit(0.0))
-    oz = _or(g("ozone"), F.lit(0.0))
-    r4 = lambda c: round_half_even(c, 4)
-    nz = lambda c: F.when(_truthy(c), c)  # noqa: E731  (0 -> NULL)
-    dust_risk = F.when(hum_min < F.lit(100), wind_max * (F.lit(1) - hum_min / F.lit(100))) \
-        .otherwise(F.lit(0.0))
-    return df.select(
-        *[c for c in ("site_id", "date") if c in df.columns],
-        r4(temp).alias("temperature"),
-        r4(hum).alias("humidity"),
-        r4(wind).alias("wind"),
-        g("pressure").alias("pressure"),
-        g("cloud_cover").alias("cloud_cover"),
-        r4(nz(temp_max)).alias("temp_max"),
-        r4(nz(temp_min)).alias("temp_min"),
-        r4(temp_max - temp_min).alias("temp_range"),
-        r4(app_max).alias("apparent_temp_max"),
-        g("apparent_temp_min").alias("apparent_temp_min"),
-        g("apparent_temp_mean").alias("apparent_temp_mean"),
-        g("humidity_max").alias("humidity_max"),
-        r4(nz(hum_min)).alias("humidity_min"),
-        r4(nz(wind_max)).alias("wind_max"),
-        g("wind_gust_max").alias("wind_gust_max"),
-        r4(precip).alias("precipitation"),
-        pm25.alias("pm25"),
-        nz(pm10).alias("pm10"),
-        aqi.alias("aqi"),
-        nz(oz).alias("ozone"),
-        nz(no2).alias("nitrogen_dioxide"),
-        nz(so2).alias("sulphur_dioxide"),
-        r4(hi).alias("heat_index"),
-        r4(pollution_level(pm25, pm10, aqi)).alias("pollution_level"),
-        r4(respiratory_stress(pm25, oz, no2, so2)).alias("respiratory_stress"),
-        F.lit(0.0).alias("uv_risk"),
-        r4(app_max).alias("heat_stress_peak"),
-        r4(dust_risk).alias("dust_risk_index"),
-        r4(F.least(precip, F.lit(20.0))).alias("rain_wash_effect"),
-        F.lit(LIVE_SOURCE).alias("source"),
-    )
+    """a live daily row from the day's weather and pollution record, as
+    ``LIVE_INPUTS`` and ``LIVE_COLUMNS`` say."""
+    def given(name):
+        return F.col(name) if name in df.columns else F.lit(None).cast("double")
+
+    v = {name: _or(given(name), F.lit(stand_in)) for name, stand_in in LIVE_INPUTS.items() if not isinstance(stand_in, str)}
+    v["heat_index"] = heat_index(v["temperature"], v["humidity"], v["wind"])
+    v |= {name: _or(given(name), v[other]) for name, other in LIVE_INPUTS.items() if isinstance(other, str)}
+    v["temp_range"] = v["temp_max"] - v["temp_min"]
+    v["pollution_level"] = pollution_level(v["pm25"], v["pm10"], v["aqi"])
+    v["respiratory_stress"] = respiratory_stress(v["pm25"], v["ozone"], v["nitrogen_dioxide"], v["sulphur_dioxide"])
+    v["uv_risk"] = F.lit(0.0)
+    v["dust_risk"] = F.when(v["humidity_min"] < 100, v["wind_max"] * (F.lit(1) - v["humidity_min"] / F.lit(100))).otherwise(F.lit(0.0))
+    v["rain_wash"] = F.least(v["precipitation"], F.lit(20.0))
+    v["source"] = F.lit(LIVE_SOURCE)
+
+    out = [F.col(c) for c in ("site_id", "date") if c in df.columns]
+    for name, made_of, (null_zero, rounded) in LIVE_COLUMNS:
+        value = v[made_of] if made_of in v else given(made_of)
+        value = F.when(_truthy(value), value) if null_zero else value
+        out.append((round_half_even(value, 4) if rounded else value).alias(name))
+    return df.select(*out)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from skyhealth.functions.columns import round_half_even, zero_fill
 from skyhealth.functions.constants import MODEL_VERSION, PROB_COLUMNS
-from skyhealth.operators.joins import join_small
 from skyhealth.schemas import MODEL_FEATURES_BASE, MODEL_FEATURES_OPTIONAL
 
 TARGET = "health_category"
@@ -44,23 +43,33 @@ def training_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(features) + [TARGET])
 
 
-def split_hash(keys: Sequence[str], seed: int = SEED) -> Column:
-    """Deterministic per-row bucket 0..9 from the row key (integer mixing
-    expressible in any SQL engine): no shuffle, no sort, no driver state."""
-    day = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    site = F.col(keys[0]).cast("long")
-    h = F.pmod(day * F.lit(1103515245) + site * F.lit(12345) + F.lit(seed) * F.lit(2654435761),
-               F.lit(2147483647))
-    return F.pmod(h, F.lit(10))
+SPLIT_BUCKETS = 1 << 16
 
 
-def stratified_split(df: DataFrame, keys: Sequence[str] = ("site_id", "date"),
-                     test_fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
-    """M2: tag each row train/test. The bucket is a hash of the row key, so
-    every class is split in the same proportion in expectation (stratified)
-    and the assignment is reproducible and shuffle-free at any scale."""
-    test = split_hash(keys, seed) < F.lit(int(round(test_fraction * 10)))
-    return df.withColumn("is_test", test)
+def split_hash(keys: Sequence[str], seed: int = SEED) -> Column:
+    """Bucket of a row by its key."""
+    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(SPLIT_BUCKETS))
+
+
+def stratified_split(df: DataFrame, keys: Sequence[str] = ("site_id", "date"), test_fraction: float = TEST_FRACTION,
+                     seed: int = SEED, label: str = TARGET) -> DataFrame:
+    """M2: tag each row train or test so that every class gives exactly
+    ``round(test_fraction * n_c)`` rows. Counts per class and hash bucket are
+    summed up to the bucket that holds the cut; only that bucket's rows are
+    ranked, so no class is sorted."""
+    rows = df.withColumn("__h", split_hash(keys, seed))
+    counts = rows.groupBy(label, "__h").agg(F.count(F.lit(1)).alias("n"))
+    up_to = Window.partitionBy(label).orderBy("__h")
+    cuts = (counts.withColumns({"s": F.sum("n").over(up_to),
+                                "want": F.round(F.sum("n").over(Window.partitionBy(label)) * F.lit(test_fraction))})
+            .where(F.col("s") >= F.col("want")).groupBy(label)
+            .agg(F.min(F.struct("__h", (F.col("want") - F.col("s") + F.col("n")).alias("need"))).alias("c"))
+            .select(label, F.col("c.__h").alias("__cut"), F.col("c.need").alias("__need")))
+    rows = rows.join(cuts, label)
+    apart = rows.where(F.col("__h") != F.col("__cut")).withColumn("is_test", F.col("__h") < F.col("__cut"))
+    place = F.row_number().over(Window.partitionBy(label, "__h").orderBy(*keys))
+    at_cut = rows.where(F.col("__h") == F.col("__cut")).withColumn("is_test", place <= F.col("__need"))
+    return apart.unionByName(at_cut).select(*df.columns, "is_test")
 
 
 def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -75,18 +84,12 @@ def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
-    return join_small(df, class_weights(df, label).select(label, "weight"), [label], "inner")
+    return df.join(class_weights(df, label).select(label, "weight"), [label], "inner")
 
 
-def _stats_memory_mb() -> int:
-    """Memory for node statistics per pass: an eighth of the JVM heap,
-    between 256 MB and 2 GB (more nodes per pass = fewer passes)."""
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    heap_mb = 1024
-    if sc is not None:
-        heap_mb = int(sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024))
-    return max(256, min(2048, heap_mb // 8))
+#: Spark groups the nodes of a pass by this limit and draws their feature
+#: subsets in that order, so another value gives another forest: a constant.
+STATS_MEMORY_MB = 1024
 
 
 def build_pipeline(features: Sequence[str], num_trees: int = NUM_TREES,
@@ -101,10 +104,7 @@ def build_pipeline(features: Sequence[str], num_trees: int = NUM_TREES,
                                 minInstancesPerNode=(MIN_SAMPLES_SPLIT + 1) // 2,
                                 featureSubsetStrategy="sqrt", weightCol="weight", seed=SEED,
                                 labelCol="label", featuresCol="features",
-                                # Throughput knobs only (no effect on the fitted model):
-                                # more nodes per pass over the data, node ids cached
-                                # on executors instead of shipping trees every pass.
-                                maxMemoryInMB=_stats_memory_mb(), cacheNodeIds=True)
+                                maxMemoryInMB=STATS_MEMORY_MB, cacheNodeIds=True)
     return Pipeline(stages=[indexer, assembler, rf])
 
 

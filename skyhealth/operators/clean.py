@@ -7,14 +7,14 @@ the remaining columns per site.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyhealth.functions.columns import keep_existing, nan_to_null
-from skyhealth.operators.joins import join_small
 from skyhealth.schemas import (POLLUTION_COLUMNS, POLLUTION_RENAMES,
                                WEATHER_COLUMNS, WEATHER_CRITICAL,
                                WEATHER_RENAMES)
@@ -33,25 +33,22 @@ def median_fill(df: DataFrame, cols: Iterable[str], keys=("site_id",),
     interpolated, NULL-skipping; ``approximate=True`` uses
     ``percentile_approx``).
 
-    Per site the input is a daily series, so the per-key group is bounded by
-    the calendar (one row per site and day): the median is a window
-    aggregate over the site's partition — one shuffle by site, one pass
-    over the input, no join. Without keys (one global median) the medians
-    are a one-row aggregate joined back with a checked broadcast, so the
-    whole table never lands in one task.
+    The medians are an aggregate (one small row per key) joined back, so no
+    task holds all rows of a site.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     keys = list(keys)
     med = (lambda c: F.percentile_approx(c, 0.5)) if approximate else (lambda c: F.median(c))
+    meds = df.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(*[med(c).alias(f"__med_{c}") for c in cols])
     if keys:
-        w = Window.partitionBy(*keys)
-        return df.withColumns({c: F.coalesce(F.col(c), med(c).over(w)) for c in cols})
-    meds = df.agg(*[med(c).alias(f"__med_{c}") for c in cols]).withColumn("__one", F.lit(1))
-    out = join_small(df.withColumn("__one", F.lit(1)), meds, ["__one"], "left")
+        same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+        out = df.join(meds, same, "left")
+    else:
+        out = df.crossJoin(F.broadcast(meds))    # one row
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})
-    return out.drop("__one", *[f"__med_{c}" for c in cols])
+    return out.drop(*[f"__key_{k}" for k in keys], *[f"__med_{c}" for c in cols])
 
 
 def clean_weather(raw: DataFrame, keys=("site_id",)) -> DataFrame:

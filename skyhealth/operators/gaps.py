@@ -27,11 +27,6 @@ def common_dates(a: DataFrame, b: DataFrame, keys=("site_id",)) -> DataFrame:
     return date_set(a, keys).intersect(date_set(b, keys))
 
 
-def date_difference(a: DataFrame, b: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Dates of ``a`` absent from ``b``."""
-    return date_set(a, keys).join(date_set(b, keys), list(keys) + ["date"], "left_anti")
-
-
 def calendar(start: Column, end: Column) -> Column:
     """One element per day from start to end inclusive; an empty range
     (start after end, e.g. two date sets that do not overlap) gives no rows."""
@@ -156,7 +151,3 @@ def still_missing(missing: DataFrame, fetched_daily: DataFrame, keys=("site_id",
     """Days still missing after a fill (report)."""
     keys = list(keys)
     return missing.join(date_set(fetched_daily, keys), keys + ["date"], "left_anti")
-
-
-def distinct_dates(df: DataFrame, keys: Iterable[str] = ("site_id",)) -> DataFrame:
-    return date_set(df, tuple(keys))

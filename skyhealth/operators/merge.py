@@ -10,13 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyhealth.functions.constants import LIVE_SOURCE
 from skyhealth.operators.gaps import keep_last
-from skyhealth.operators.joins import BROADCAST_MAX_ROWS
 
 
 def is_live(source: str = "source") -> Column:
@@ -31,23 +29,10 @@ def partial_refresh(current: DataFrame, new_historical: DataFrame) -> DataFrame:
     return kept.unionByName(new_historical, allowMissingColumns=True)
 
 
-def rows_to_insert(new: DataFrame, target: DataFrame, keys: Sequence[str],
-                   max_new_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``new`` whose key is absent from ``target`` (left anti).
-
-    A daily append is small next to the history it lands in. When the new
-    keys are proven few (counted, at most ``max_new_keys``) they are
-    broadcast to semi-join the target, so the history is scanned once and
-    never shuffled (and a date-partitioned target is pruned); only the
-    matching keys meet ``new`` in the anti-join. Otherwise a plain
-    shuffle anti-join runs.
-    """
-    keys = list(keys)
-    new_keys = new.select(*keys).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    if new_keys.count() <= max_new_keys:
-        present = target.select(*keys).join(F.broadcast(new_keys), keys, "left_semi").distinct()
-        return new.join(F.broadcast(present), keys, "left_anti")
-    return new.join(target.select(*keys).distinct(), keys, "left_anti")
+def rows_to_insert(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key is absent from ``target``. A plain
+    anti-join on the key; AQE broadcasts whichever side turns out small."""
+    return new.join(target.select(*keys), list(keys), "left_anti")
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,17 +42,24 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) ->
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order: Sequence[str] | None = None) -> DataFrame:
-    """K6: MERGE on ``keys`` — matched rows take the update's values,
-    unmatched updates are inserted, other target rows stay.
+    """K6: MERGE on ``keys`` — matched rows take the update's values in the
+    columns the update has and keep the others, unmatched updates are inserted,
+    other target rows stay.
 
     Several updates for one key: the greatest ``order`` tuple wins (default:
     the last one by an explicit ordinal the caller supplies).
     """
     order = list(order or [])
-    t = target.withColumn("__prio", F.lit(0))
-    u = updates.withColumn("__prio", F.lit(1))
-    both = t.unionByName(u, allowMissingColumns=True)
-    return keep_last(both, keys, ["__prio"] + order).drop("__prio")
+    rest = [c for c in target.columns if c not in updates.columns]
+    both = target.withColumn("__prio", F.lit(0)).unionByName(
+        updates.withColumn("__prio", F.lit(1)), allowMissingColumns=True)
+    if not rest:
+        return keep_last(both, keys, ["__prio"] + order).drop("__prio")
+    listed = [c for c in both.columns if c not in (*keys, *rest, "__prio")]
+    merged = both.groupBy(*keys).agg(
+        F.max_by(F.struct(*listed), F.struct("__prio", *order)).alias("l"),
+        F.max_by(F.struct(*rest), F.when(F.col("__prio") == 0, F.struct("__prio", *order))).alias("r"))
+    return merged.select(*keys, "l.*", "r.*").select(*[c for c in both.columns if c != "__prio"])
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:

@@ -79,19 +79,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def row_count_match(pairs: Mapping[str, tuple[DataFrame, DataFrame]],
                     checksum: bool = False) -> DataFrame:
     """Row counts of source and target per table, and whether they
-    match; optionally an order-independent content checksum per side."""
+    match; optionally an order-independent content checksum per side, which
+    must match as well."""
     out = None
     for name, (src, dst) in pairs.items():
-        def side(df, tag):
-            aggs = [F.count(F.lit(1)).alias(f"{tag}_rows")]
-            if checksum:
-                aggs.append(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias(f"{tag}_checksum"))
-            return df.agg(*aggs).withColumn("table_name", F.lit(name))
-        s, d = side(src, "source"), side(dst, "target")
-        row = s.join(d, "table_name")
-        row = row.withColumn("match", F.col("source_rows") == F.col("target_rows"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        for tag, df in (("source", src), ("target", dst)):
+            content = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)") if checksum else F.lit(0).cast("decimal(38,0)")
+            side = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(content), F.lit(0)).alias("x"))
+            side = side.select(F.lit(name).alias("table_name"), F.lit(tag).alias("side"), "n", F.col("x").cast("decimal(38,0)").alias("x"))
+            out = side if out is None else out.unionByName(side)
+    of = lambda tag, c: F.max(F.when(F.col("side") == tag, F.col(c)))
+    sides = out.groupBy("table_name").agg(
+        *[of(tag, c).alias(f"{tag}_{label}") for tag in ("source", "target") for c, label in (("n", "rows"), ("x", "checksum"))])
+    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("source_checksum") == F.col("target_checksum"))
+    return sides.withColumn("match", same)
 
 
 def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site_id",),

@@ -29,10 +29,10 @@ from skyhealth.operators.clean import clean_pollution, clean_weather
 from skyhealth.operators.dims import dim_from_facts
 from skyhealth.operators.gaps import missing_dates
 from skyhealth.plans.daily import build_features, join_daily
-from skyhealth.plans.forecast import engineer
+from skyhealth.plans.forecast import engineer, require_rows
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
 from skyhealth.session import cut_lineage
-from skyhealth.sources.tables import replace_table, write_if_not_empty, write_table
+from skyhealth.sources.tables import read_if_exists, replace_partitions, replace_table, write_if_not_empty, write_table
 
 KEYS = ["site_id", "date"]
 FORECAST_KEYS = ["site_id", "forecast_date", "forecast_horizon"]
@@ -62,17 +62,9 @@ class Warehouse:
     def missing(self): return self.path("staging/missing_pollution_dates")   # noqa: E704
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return None
-    return spark.read.parquet(path)
-
-
 def _append_new(spark: SparkSession, rows: DataFrame, path: str, keys) -> None:
     """Append only rows whose key is not in the table yet."""
-    current = _read_or_none(spark, path)
+    current = read_if_exists(spark, path)
     new = rows if current is None else M.rows_to_insert(rows, current, keys)
     write_table(new, path, mode="append")
 
@@ -84,11 +76,11 @@ def historical_load(spark: SparkSession, weather_raw: DataFrame, pollution_raw:
     pollution = cut_lineage(clean_pollution(pollution_raw))
     write_if_not_empty(missing_dates(weather, pollution), wh.missing, fmt="parquet")   # K3
     gold = build_features(join_daily(weather, pollution))
-    current = _read_or_none(spark, wh.features)
+    current = read_if_exists(spark, wh.features)
     content = gold if current is None else M.partial_refresh(current, gold)
     replace_table(spark, content.select(*GOLD_COLUMNS), wh.features)                  # K4
     ef = spark.read.parquet(wh.features)
-    existing = _read_or_none(spark, wh.dim_date)
+    existing = read_if_exists(spark, wh.dim_date)
     write_table(dim_from_facts(ef, existing=existing), wh.dim_date, mode="append")     # J7/K8
     _append_new(spark, ef.select(*KEYS, *WEATHER_COLUMNS, "heat_index", "source"),
                 wh.silver_weather, KEYS)                                               # P17
@@ -115,7 +107,7 @@ def score_new_days(spark: SparkSession, wh: Warehouse, model, features,
                    run_ts: Column | None = None) -> None:
     """J6 → F17 → transform → append (M5)."""
     ef = spark.read.parquet(wh.features).where(F.col("date").isNotNull())
-    done = _read_or_none(spark, wh.predictions)
+    done = read_if_exists(spark, wh.predictions)
     todo = ef if done is None else M.rows_to_insert(ef, done, KEYS)
     scored = R.score(model, todo.drop("health_category"), features, run_ts)
     cols = [*KEYS, *features, F.col("predicted_category").alias("health_category"), "model_version"]
@@ -128,7 +120,7 @@ def forecast_run(spark: SparkSession, weather_fc: DataFrame, pollution_fc: DataF
                  wh: Warehouse, model, features, run_ts: Column,
                  model_version: str = MODEL_VERSION) -> None:
     """Forecast features → scored probabilities → MERGE on (site, date, horizon) (K6)."""
-    ff = engineer(weather_fc, pollution_fc, run_ts)
+    ff = require_rows(engineer(weather_fc, pollution_fc, run_ts), "the joined forecasts")
     scored = R.score(model, ff, features, model_version=model_version)
     rows = scored.select(
         "site_id", F.col("date").alias("forecast_date"),
@@ -137,6 +129,10 @@ def forecast_run(spark: SparkSession, weather_fc: DataFrame, pollution_fc: DataF
         "prob_safe", "prob_moderate", "prob_high_resp", "prob_mask", "prob_avoid",
         *[c for c in ff.columns if c not in ("site_id", "run_date", "date", "horizon",
                                              "processed_at")])
-    current = _read_or_none(spark, wh.forecasts)
-    merged = rows if current is None else M.upsert(current, rows, FORECAST_KEYS, ["generated_at"])
-    replace_table(spark, merged, wh.forecasts)
+    # Only the months that the run has days of are read and rewritten.
+    rows = cut_lineage(rows.withColumn("month", F.year("forecast_date") * 100 + F.month("forecast_date")))
+    current = read_if_exists(spark, wh.forecasts)
+    if current is not None:
+        touched = current.join(rows.select("month").distinct(), "month", "left_semi")
+        rows = M.upsert(touched, rows, [*FORECAST_KEYS, "month"], ["generated_at"])
+    replace_partitions(rows, wh.forecasts, ["month"])

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyhealth.operators.clean import clean_pollution, clean_weather, typed_conversion
 from skyhealth.plans.oracle import PD, WD, with_ctes
-from skyhealth.plans.registry import register
+from skyhealth.plans.registry import ORACLES, register
+from skyhealth.session import scratch_path
 from skyhealth.sources.driver import pollution_raw, read_table, weather_raw
+from skyhealth.sources.tables import read_weather_csv, write_table
 
 W_NONCRIT = ["pressure", "cloud_cover", "temp_max", "temp_min", "apparent_temp_max",
              "apparent_temp_min", "apparent_temp_mean", "humidity_max", "humidity_min",
@@ -68,6 +72,15 @@ def clean_weather_median_fill(spark, sf_dir):
     return clean_weather_df(spark, sf_dir)
 
 
+@register("clean_weather_from_csv", ORACLES["clean_weather_median_fill"])
+def clean_weather_from_csv(spark, sf_dir):
+    """S1 → P1-P8 over a landed CSV whose columns come in another order."""
+    raw = weather_raw(spark, sf_dir)
+    path = scratch_path(spark, f"weather-csv-{uuid.uuid4().hex[:12]}")
+    write_table(raw.select(*reversed(raw.columns)), path, "csv", options={"header": "true"})
+    return clean_weather(read_weather_csv(spark, path).select(*raw.columns))
+
+
 @register("clean_pollution_median_fill", with_ctes(CLEAN_POLLUTION_CHAIN, "SELECT * FROM pclean"))
 def clean_pollution_median_fill(spark, sf_dir):
     return clean_pollution_df(spark, sf_dir)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from skyhealth.functions.columns import stable_round
 from skyhealth.operators.dims import date_attributes, dim_from_facts, dim_full_range
-from skyhealth.operators.joins import join_small
 from skyhealth.operators.merge import missing_dimension_rows
 from skyhealth.plans.daily import gold_features
 from skyhealth.plans.oracle import GOLD_CHAIN, with_ctes
@@ -57,7 +56,7 @@ FROM gold g JOIN dim d ON g.date = d.date GROUP BY d.is_weekend, d.day_of_week""
 def fact_by_weekend(spark, sf_dir):
     g = gold_features(spark, sf_dir)
     dim = dim_from_facts(g)          # one row per calendar day; size checked before broadcast
-    j = join_small(g, dim, ["date"], "inner")
+    j = g.join(dim, ["date"], "inner")
     return (j.groupBy("is_weekend", "day_of_week")
             .agg(F.count(F.lit(1)).alias("days"),
                  stable_round(F.avg("aqi"), 6).alias("avg_aqi"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyhealth.operators import merge as M
@@ -9,6 +11,8 @@ from skyhealth.plans.daily import gold_features
 from skyhealth.plans.oracle import GOLD_CHAIN, GOLD_COLS, JOINED, live_case, with_ctes
 from skyhealth.plans.q_rules import LIVE_SQL, live_rows
 from skyhealth.plans.registry import register
+from skyhealth.session import scratch_path
+from skyhealth.sources.tables import write_table
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
 from skyhealth.sources.driver import forecast_log
 
@@ -77,9 +81,7 @@ SELECT {GOLD_COLS} FROM gold UNION ALL SELECT {GOLD_COLS} FROM live_gold"""))
 def insert_if_absent(spark, sf_dir):
     hist, live = _hist_and_live(spark, sf_dir)
     target = hist.unionByName(live.where(F.month("date") <= 6), allowMissingColumns=True)
-    once = M.insert_if_absent(target, live, ["site_id", "date", "source"])
-    twice = M.insert_if_absent(once, live, ["site_id", "date", "source"])  # idempotent
-    return twice.select(*GOLD_COLUMNS)
+    return M.insert_if_absent(target, live, ["site_id", "date", "source"]).select(*GOLD_COLUMNS)
 
 
 LATEST_AB = """fa AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
@@ -102,6 +104,21 @@ def forecast_upsert(spark, sf_dir):
     return M.upsert(target, updates, FKEYS).select(*log.columns)
 
 
+@register("forecast_upsert_partial", with_ctes([FLOG, LATEST_AB], """
+SELECT fb.* EXCLUDE (model_version), fa.model_version FROM fb LEFT JOIN fa
+  ON fb.forecast_date = fa.forecast_date AND fb.forecast_horizon = fa.forecast_horizon
+UNION ALL
+SELECT fa.* EXCLUDE (model_version), fa.model_version FROM fa WHERE NOT EXISTS (SELECT 1 FROM fb
+  WHERE fb.forecast_date = fa.forecast_date AND fb.forecast_horizon = fa.forecast_horizon)"""))
+def forecast_upsert_partial(spark, sf_dir):
+    """K6 with an update that lacks a column: matched rows keep the target's."""
+    log = forecast_log(spark, sf_dir)
+    h = F.hour("generated_at")
+    target = M.latest_per_key(log.where(h < 12), FKEYS, FLOG_ORDER)
+    updates = M.latest_per_key(log.where(h >= 12), FKEYS, FLOG_ORDER).drop("model_version")
+    return M.upsert(target, updates, FKEYS).select(*log.columns)
+
+
 @register("rows_needing_prediction", with_ctes(GOLD_CHAIN, f"""
 SELECT {GOLD_COLS} FROM gold g WHERE g.date IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM gold p WHERE p.date <= DATE '1998-06-30' AND p.site_id = g.site_id AND p.date = g.date)"""))
@@ -117,7 +134,9 @@ def table_copy(spark, sf_dir):
     src = gold_features(spark, sf_dir).withColumns({
         "id": F.xxhash64("site_id", "date"),
         "date_id": F.date_format("date", "yyyyMMdd").cast("int")})
-    return M.copy_table(src).select(*GOLD_COLUMNS)
+    path = scratch_path(spark, f"table-copy-{uuid.uuid4().hex[:12]}")
+    write_table(M.copy_table(src), path)
+    return spark.read.parquet(path).select(*GOLD_COLUMNS)
 
 
 @register("delete_by_predicate", with_ctes(MERGE_CHAIN, f"""

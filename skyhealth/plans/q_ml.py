@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from skyhealth.ml import risk_model as R
 from skyhealth.operators import quality as Q
-from skyhealth.plans.daily import gold_features
+from skyhealth.functions.constants import PROB_COLUMNS
+from skyhealth.functions.features import live_features
+from skyhealth.operators.merge import rows_to_insert
+from skyhealth.plans.daily import gold_features, join_daily
 from skyhealth.plans.oracle import GOLD_CHAIN, with_ctes
 from skyhealth.plans.q_forecast import forecast_features_df
 from skyhealth.plans.registry import register
 from skyhealth.session import cut_lineage
+from skyhealth.sources.driver import pollution_daily, weather_daily
 
 _MODELS: dict = {}
 
@@ -19,12 +23,6 @@ FEATS = ["temperature", "humidity", "wind", "heat_index", "pm25", "pm10", "aqi",
          "nitrogen_dioxide", "temp_range", "heat_stress_peak", "dust_risk_index",
          "rain_wash_effect"]
 NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in FEATS + ["health_category"])
-SPLIT = f"""split AS (
-  SELECT *, ((CAST(date - DATE '1970-01-01' AS BIGINT) * 1103515245 + CAST(site_id AS BIGINT) * 12345
-             + 42 * 2654435761) % 2147483647) % 10 < 2 AS is_test
-  FROM gold WHERE {NOT_NULL})"""
-
-
 def model_input(spark, sf_dir):
     """The gold table as the model reads it: materialised once in the shared
     checkpoint folder (the forest makes many passes; a written table also
@@ -51,9 +49,9 @@ def class_weights(spark, sf_dir):
     return R.class_weights(gold_features(spark, sf_dir))
 
 
-@register("stratified_split_counts", with_ctes(GOLD_CHAIN + [SPLIT], """
-SELECT health_category, COUNT(*) FILTER (WHERE NOT is_test) AS n_train,
-  COUNT(*) FILTER (WHERE is_test) AS n_test FROM split GROUP BY health_category"""))
+@register("stratified_split_counts", with_ctes(GOLD_CHAIN, f"""
+SELECT health_category, COUNT(*) - CAST(round(0.2 * COUNT(*)) AS BIGINT) AS n_train,
+  CAST(round(0.2 * COUNT(*)) AS BIGINT) AS n_test FROM gold WHERE {NOT_NULL} GROUP BY health_category"""))
 def stratified_split_counts(spark, sf_dir):
     g = gold_features(spark, sf_dir)
     rows = R.stratified_split(R.training_rows(g, R.select_features(g)))
@@ -75,12 +73,18 @@ def rf_holdout_report(spark, sf_dir):
     return Q.classification_report(Q.confusion(scored, "health_category", "predicted_category"))
 
 
+def predicted_days(gold):
+    """The landed prediction table of the scoring scenario: the days up to the
+    middle of 1998, of every site."""
+    return gold.where(F.col("date") <= F.lit("1998-06-30").cast("date")).select("site_id", "date")
+
+
 @register("rf_scored")
 def rf_scored(spark, sf_dir):
     """M5: score the days that have no prediction yet (J6 → F17 → transform)."""
     model, features, _ = trained(spark, sf_dir)
     g = model_input(spark, sf_dir)
-    todo = g.where(F.col("date") > F.lit("1998-06-30").cast("date"))
+    todo = rows_to_insert(g.where(F.col("date").isNotNull()), predicted_days(g), ["site_id", "date"])
     out = R.score(model, todo.drop("health_category"), features)
     return out.select("site_id", "date", *features, F.col("predicted_category").alias("health_category"),
                       "confidence", "model_version")
@@ -100,9 +104,29 @@ def rf_forecast_probs(spark, sf_dir):
 
 @register("rf_live_scored")
 def rf_live_scored(spark, sf_dir):
-    """M7: score today's live rows (same code path as batch scoring)."""
-    from skyhealth.plans.q_rules import live_rows
+    """M7: score every day's live row (same code path as batch scoring)."""
     model, features, _ = trained(spark, sf_dir)
-    live = live_rows(spark, sf_dir).drop("health_category")
+    live = live_features(join_daily(weather_daily(spark, sf_dir), pollution_daily(spark, sf_dir)))
     return R.score(model, live, features).select(
         "site_id", "date", "predicted_category", "confidence", "model_version")
+
+
+@register("rf_scored_keys", with_ctes(GOLD_CHAIN, """
+SELECT site_id, date, 1 AS n FROM gold g WHERE date IS NOT NULL AND date > DATE '1998-06-30'"""))
+def rf_scored_keys(spark, sf_dir):
+    """J6 → M5 scores exactly the days without a prediction, each once."""
+    return rf_scored(spark, sf_dir).groupBy("site_id", "date").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@register("rf_probability_checks", """
+SELECT 0 AS bad_sum, 0 AS bad_confidence, 0 AS bad_label""")
+def rf_probability_checks(spark, sf_dir):
+    """Forecast scores: probabilities add up to 1, the confidence is the
+    largest of them, and the label is the class that has it."""
+    p = rf_forecast_probs(spark, sf_dir)
+    probs = [F.col(c) for c in PROB_COLUMNS.values()]
+    top = F.greatest(*probs)
+    own = F.coalesce(*[F.when(F.col("predicted_category") == k, F.col(c)) for k, c in PROB_COLUMNS.items()])
+    return p.agg(F.count_if(F.abs(sum(probs[1:], probs[0]) - 1) > 1e-3).cast("int").alias("bad_sum"),
+                 F.count_if(F.abs(top - F.col("confidence")) > 1e-3).cast("int").alias("bad_confidence"),
+                 F.count_if(own < top - 1e-3).cast("int").alias("bad_label"))

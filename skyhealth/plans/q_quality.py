@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyhealth.functions.rules import category_expr
@@ -13,6 +15,8 @@ from skyhealth.plans.q_clean import CLEAN_WEATHER_CHAIN
 from skyhealth.plans.q_merge import LIVE_GOLD
 from skyhealth.plans.q_rules import LIVE_SQL, live_rows
 from skyhealth.plans.registry import register
+from skyhealth.session import scratch_path
+from skyhealth.sources.tables import write_table
 from skyhealth.schemas import WEATHER_COLUMNS, WEATHER_RENAMES
 from skyhealth.sources.driver import weather_raw
 
@@ -86,15 +90,19 @@ def duplicate_keys(spark, sf_dir):
 
 
 @register("row_count_match", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD], """
-SELECT 'environmental_features' AS table_name, (SELECT COUNT(*) FROM gold) AS source_rows,
-  (SELECT COUNT(*) FROM gold) AS target_rows, TRUE AS match
-UNION ALL SELECT 'live_rows', (SELECT COUNT(*) FROM live_gold), (SELECT COUNT(*) FROM live_gold), TRUE"""))
+SELECT table_name, source_rows, target_rows, source_rows = target_rows AS match FROM (
+  SELECT 'environmental_features' AS table_name, (SELECT COUNT(*) FROM gold) AS source_rows,
+    (SELECT COUNT(*) FROM (SELECT DISTINCT site_id, date FROM gold)) AS target_rows
+  UNION ALL SELECT 'live_rows', (SELECT COUNT(*) FROM live_gold),
+    (SELECT COUNT(*) FROM (SELECT DISTINCT site_id, date FROM live_gold)))"""))
 def row_count_match(spark, sf_dir):
-    hist = gold_features(spark, sf_dir)
-    live = live_rows(spark, sf_dir)
-    return Q.row_count_match({"environmental_features": (hist, copy_table(hist)),
-                              "live_rows": (live, copy_table(live))}).select(
-        "table_name", "source_rows", "target_rows", "match")
+    """Each table is copied (written), read back and compared by rows and content."""
+    pairs = {}
+    for name, table in (("environmental_features", gold_features(spark, sf_dir)), ("live_rows", live_rows(spark, sf_dir))):
+        path = scratch_path(spark, f"copy-{name}-{uuid.uuid4().hex[:12]}")
+        write_table(copy_table(table), path)
+        pairs[name] = (table, spark.read.parquet(path))
+    return Q.row_count_match(pairs, checksum=True).select("table_name", "source_rows", "target_rows", "match")
 
 
 PROFILE_COLS = ["temperature", "humidity", "wind", "pressure", "cloud_cover", "temp_max",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from skyhealth.plans.registry import register
-from skyhealth.streaming.rollup import run_insert_if_absent, run_rollup
+from skyhealth.session import scratch_path
+from skyhealth.streaming.rollup import daily_events, run_insert_if_absent, run_rollup
 
 
 @register("stream_daily_rollup", """
@@ -14,8 +17,8 @@ SELECT CAST(ts AS DATE) AS date, CAST(user_id % 10 AS INTEGER) AS site_id, COUNT
       THEN (CAST(json_extract_string(props, '$.k') AS DOUBLE) % 8) * 0.25 ELSE 0.0 END) AS precipitation
 FROM events GROUP BY 1, 2""")
 def stream_daily_rollup(spark, sf_dir):
-    out = run_rollup(spark, f"{sf_dir.rstrip('/')}/events*.parquet", mode="complete")
-    return spark.read.parquet(out)
+    out = run_rollup(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
+    return spark.read.parquet(out).drop("month")
 
 
 @register("stream_insert_if_absent", """
@@ -23,5 +26,8 @@ SELECT CAST(user_id % 10 AS INTEGER) AS site_id, CAST(ts AS DATE) AS date,
   MIN(event_id) AS first_event_id, COUNT(*) AS n_events
 FROM events GROUP BY 1, 2""")
 def stream_insert_if_absent(spark, sf_dir):
-    out = run_insert_if_absent(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
-    return spark.read.parquet(out)
+    """Events land in several files, one a micro-batch."""
+    landing = scratch_path(spark, f"landing-{uuid.uuid4().hex[:12]}")
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events.repartition(4, "event_id").write.parquet(landing)
+    return daily_events(spark.read.parquet(run_insert_if_absent(spark, landing, max_files=1)))

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------- fixed values
+# Column names, renames, keep lists, features and view columns of the data
+# contract; all lists to the end of this module.
 KEYS = ["site_id", "date"]
 
 WEATHER_COLUMNS = [

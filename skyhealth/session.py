@@ -30,10 +30,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
-# Initial shuffle partitions on a cluster (AQE coalesces downwards; it cannot
-# split a too-large partition except for skewed joins). 100 TB of raw rows at
-# ~25 GB per partition before coalescing would be far too coarse, so the
-# default is sized for the largest raw shuffle (full-row dedupe of raw files).
+# Initial shuffle partitions on a cluster. AQE coalesces them downwards but can
+# split only those of joins, so a shuffle of S bytes wants S / 256 MB of them: a
+# raw shuffle of 100 TB wants 400,000, set by SKYHEALTH_SHUFFLE_PARTITIONS. The
+# default suits shuffles of up to 2 TB, which the daily aggregates stay under.
 CLUSTER_SHUFFLE_PARTITIONS = 8000
 
 
@@ -54,7 +54,7 @@ def get_spark(master: str | None = None, app: str = "skyhealth",
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         # Local mode: the driver JVM is the only executor; size its heap.
-        conf["spark.driver.memory"] = os.environ.get("SKYHEALTH_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("SKYHEALTH_DRIVER_MEMORY", "8g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     elif not (master and master.startswith("local")):
@@ -81,6 +81,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="skyhealth-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -113,8 +113,8 @@ def dirty(df: DataFrame, null_rules: dict) -> DataFrame:
     doy = F.dayofyear("date")
     df = df.withColumns({c: F.when(doy % m == 0, F.lit(None).cast("double")).otherwise(F.col(c))
                          for c, m in null_rules.items()})
-    dup = df.where(F.dayofmonth("date") == 5)
-    return df.unionByName(dup)
+    copies = F.when(F.dayofmonth("date") == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return df.withColumn("__copy", F.explode(copies)).drop("__copy")
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,7 +161,7 @@ def latest_landed_record(spark: SparkSession, pattern: str, schema: T.StructType
     """
     keys = keys or ["site_id"]
     df = read_json(spark, pattern, schema)
-    file_day = F.to_date(F.regexp_extract("source_file", r"_(\d{8})\.json$", 1), "yyyyMMdd")
+    file_day = F.try_to_date(F.nullif(F.regexp_extract("source_file", r"_(\d{8})\.json$", 1), F.lit("")), "yyyyMMdd")
     cand = df.withColumn("file_date", file_day).where(F.col("file_date") <= F.lit(as_of).cast("date"))
     payload = [c for c in cand.columns if c not in keys]
     return (cand.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("file_date")).alias("r"))

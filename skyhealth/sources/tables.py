@@ -30,17 +30,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
     """Historical weather CSV (raw names, tz-suffixed date strings)."""
-    return read_csv(spark, path, WEATHER_RAW_SCHEMA)
+    return read_named_csv(spark, path, WEATHER_RAW_SCHEMA)
 
 
 def read_pollution_csv(spark: SparkSession, path: str) -> DataFrame:
     """Historical air-quality CSV (pm2_5, us_aqi, ISO dates)."""
-    return read_csv(spark, path, POLLUTION_RAW_SCHEMA)
+    return read_named_csv(spark, path, POLLUTION_RAW_SCHEMA)
 
 
 def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Processed-feature file; unparseable dates are dropped."""
-    df = read_csv(spark, path, schema)
+    df = read_named_csv(spark, path, schema) if schema is not None else read_csv(spark, path)
     return (df.withColumn("date", F.to_date(F.try_to_timestamp(F.col("date").cast("string"))))
             .dropna(subset=["date"]))
 
@@ -84,6 +84,31 @@ def write_if_not_empty(df: DataFrame, target: str, fmt: str = "csv") -> bool:
     return True
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``; None where nothing is there. Any other
+    failure to read rises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(path)
+
+
+def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions that ``df`` has rows of (K4, K6); ``df`` may
+    read those partitions itself, as its files are moved in after the job."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(target))
+    df.sparkSession.catalog.refreshByPath(target)
+
+
+def read_named_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Header CSV read by column name, in any order (S1, S2): every column is
+    taken as a string, cast with ``try_cast``, and NULL where the file has none."""
+    raw = read_csv(spark, path, all_strings=True)
+    return raw.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
+                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+
+
 def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet",
                   partition_by: Sequence[str] | None = None, keep_old: bool = False) -> None:
     """K4/K7/K8: replace a table's content with ``df``, which may read the
@@ -97,10 +122,19 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     staged = target.rstrip("/") + f".staging-{tag}"
     write_table(df, staged, fmt, "overwrite", partition_by)
     old = jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + f".old-{tag}")
-    if fs.exists(tgt):
-        fs.rename(tgt, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), tgt)
-    if not keep_old and fs.exists(old):
+    had = fs.exists(tgt)
+    if had and not fs.rename(tgt, old):
+        raise OSError(f"{target} could not be set aside; the new content is in {staged}")
+    moved = False
+    try:
+        moved = fs.rename(jvm.org.apache.hadoop.fs.Path(staged), tgt)
+    finally:
+        # Put the old content back, also where the rename raised an error.
+        if not moved and had and not fs.rename(old, tgt):
+            raise OSError(f"{target} is in {old.toString()} and its new content in {staged}; neither could be moved")
+    if not moved:
+        raise OSError(f"{staged} could not be moved to {target}, which is unchanged")
+    if had and not keep_old:
         fs.delete(old, True)
     # Readers created after the swap must list the new files, not cached ones.
     spark.catalog.refreshByPath(target)

@@ -1,9 +1,9 @@
 """Incremental landing with Structured Streaming.
 
 X1 rolls intra-day slot records up to daily tumbling windows per site with
-a watermark for late slots. X2 appends daily rows idempotently
-(insert-if-absent) from ``foreachBatch``, so replays after a failure never
-duplicate a key. Both run with ``trigger(availableNow=True)`` for
+a watermark for late slots. X2 appends events idempotently
+(insert-if-absent by event_id) from ``foreachBatch``, so replays never
+duplicate an event and late ones are never lost; days are summed on read. Both run with ``trigger(availableNow=True)`` for
 scheduled daily jobs; the same code runs continuously with a processing
 trigger.
 """
@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyhealth.operators.merge import rows_to_insert
-from skyhealth.session import scratch_path
+from skyhealth.operators.merge import rows_to_insert, upsert
+from skyhealth.session import cut_lineage, scratch_path
+from skyhealth.sources.tables import read_if_exists, replace_partitions
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType(), True),
@@ -31,16 +32,19 @@ EVENTS_SCHEMA = T.StructType([
 N_SLOT_SITES = 10
 
 
-def slot_stream(spark: SparkSession, path: str, watermark: str = "2 days") -> DataFrame:
-    """Landed slot records as a stream (file source, explicit schema)."""
-    s = spark.readStream.schema(EVENTS_SCHEMA).parquet(path)
+def slot_stream(spark: SparkSession, path: str, watermark: str | None = "2 days",
+                max_files: int | None = None) -> DataFrame:
+    """Landed slot records as a stream (file source, explicit schema);
+    ``max_files`` bounds the files of a micro-batch."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    s = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
     ts = F.col("ts").cast("timestamp")          # NTZ → session-zone timestamp (T6)
     k = F.get_json_object("props", "$.k").cast("double")
-    return (s.select((F.col("user_id") % N_SLOT_SITES).cast("int").alias("site_id"),
+    slots = (s.select((F.col("user_id") % N_SLOT_SITES).cast("int").alias("site_id"),
                      F.col("event_id"), ts.alias("ts"), F.col("event_type"), F.col("value"),
                      F.when(F.col("event_type") == "purchase", (k % 8) * 0.25)
-                     .otherwise(F.lit(0.0)).alias("rain_3h"))
-            .withWatermark("ts", watermark))
+                     .otherwise(F.lit(0.0)).alias("rain_3h")))
+    return slots.withWatermark("ts", watermark) if watermark else slots
 
 
 def daily_rollup(slots: DataFrame) -> DataFrame:
@@ -55,57 +59,63 @@ def daily_rollup(slots: DataFrame) -> DataFrame:
                     "mean_value", "max_value", "min_value", "precipitation"))
 
 
-def run_rollup(spark: SparkSession, path: str, mode: str = "complete",
-               watermark: str = "2 days") -> str:
+def run_rollup(spark: SparkSession, path: str, mode: str = "update",
+               watermark: str = "2 days", max_files: int | None = None) -> str:
     """Run X1 to completion (availableNow) and return the output path.
 
-    ``mode="append"`` emits a day only once the watermark has passed it
-    (bounded state, production setting); ``"complete"`` rewrites the whole
-    result each micro-batch through ``foreachBatch``.
+    ``mode="append"`` emits a day only once the watermark has passed it;
+    ``"update"`` merges the days and sites a micro-batch changed into the
+    table, rewriting only their months. The watermark bounds the state of both.
     """
     run = uuid.uuid4().hex[:12]
     out, ckpt = scratch_path(spark, f"rollup-{run}/out"), scratch_path(spark, f"rollup-{run}/ckpt")
-    agg = daily_rollup(slot_stream(spark, path, watermark))
+    agg = daily_rollup(slot_stream(spark, path, watermark, max_files))
     w = agg.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
     if mode == "append":
         q = w.outputMode("append").format("parquet").option("path", out).start()
     else:
-        q = (w.outputMode("complete")
-             .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(out)).start())
+        q = w.outputMode("update").foreachBatch(_merge_batch(out, ["site_id", "date"])).start()
     q.awaitTermination()
     return out
 
 
-def _insert_batch(target_path: str, keys: list[str]):
+def _merge_batch(target_path: str, keys: list[str]):
+    """Upsert of a micro-batch; a replayed batch gives the same table."""
     def fn(batch: DataFrame, _epoch: int) -> None:
-        spark = batch.sparkSession
-        daily = (batch.groupBy("site_id", F.col("ts").cast("date").alias("date"))
-                 .agg(F.min("event_id").alias("first_event_id"),
-                      F.count(F.lit(1)).alias("n_events")))
-        try:
-            current = spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001 — first batch: no table yet
-            current = None
-        new = daily if current is None else rows_to_insert(daily, current, keys)
+        batch = cut_lineage(batch.withColumn("month", F.year("date") * 100 + F.month("date")))
+        current = read_if_exists(batch.sparkSession, target_path)
+        if current is not None:
+            touched = current.join(batch.select("month").distinct(), "month", "left_semi")
+            batch = upsert(touched.select(*batch.columns), batch, keys)
+        replace_partitions(batch, target_path, ["month"])
+    return fn
+
+
+def _insert_batch(target_path: str):
+    def fn(batch: DataFrame, _epoch: int) -> None:
+        # One row an event: a day's later events are new rows of their own.
+        events = batch.withColumn("date", F.col("ts").cast("date")).dropDuplicates(["event_id"])
+        current = read_if_exists(batch.sparkSession, target_path)
+        new = events if current is None else rows_to_insert(events, current, ["event_id"])
         new.write.mode("append").parquet(target_path)
     return fn
 
 
 def run_insert_if_absent(spark: SparkSession, path: str, target_path: str | None = None,
-                         replays: int = 2) -> str:
-    """Stream → per-batch insert-if-absent into a parquet table.
-
-    The stream is run ``replays`` times with fresh checkpoints (a re-run of
-    the same landed files); the anti-join makes the result identical to one
-    run. Within a run, ``dropDuplicatesWithinWatermark`` drops re-delivered
-    events.
-    """
+                         max_files: int | None = None) -> str:
+    """Stream → per-batch insert-if-absent of events into a parquet table,
+    whichever files, order or days they come in. Running it again over the same
+    files, or over more of them, adds only events the table lacks."""
     run = uuid.uuid4().hex[:12]
     target = target_path or scratch_path(spark, f"insert-{run}/table")
-    for i in range(replays):
-        ckpt = scratch_path(spark, f"insert-{run}/ckpt-{i}")
-        s = (slot_stream(spark, path).dropDuplicatesWithinWatermark(["event_id"]))
-        q = (s.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-             .foreachBatch(_insert_batch(target, ["site_id", "date"])).start())
-        q.awaitTermination()
+    q = (slot_stream(spark, path, None, max_files).writeStream
+         .option("checkpointLocation", scratch_path(spark, f"insert-{run}/ckpt"))
+         .trigger(availableNow=True).foreachBatch(_insert_batch(target)).start())
+    q.awaitTermination()
     return target
+
+
+def daily_events(events: DataFrame) -> DataFrame:
+    """X2's table read by day: first event and count per site and day."""
+    return events.groupBy("site_id", "date").agg(
+        F.min("event_id").alias("first_event_id"), F.count(F.lit(1)).alias("n_events"))

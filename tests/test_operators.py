@@ -5,6 +5,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from skyhealth.operators import gaps, merge, slots
@@ -183,15 +185,42 @@ def test_replace_table_reads_itself(spark):
     assert write_if_not_empty(empty, os.path.join(base, "missing")) is False
 
 
-def test_join_small_falls_back_to_shuffle_join(spark):
-    from skyhealth.operators.joins import join_small
-    big = spark.createDataFrame([(0, 1.0), (1, 2.0)], "site_id int, x double")
-    small = spark.createDataFrame([(0, "a"), (1, "b")], "site_id int, tag string")
-    bc = join_small(big, small, ["site_id"], "inner")
-    sm = join_small(big, small, ["site_id"], "inner", max_rows=0)
-    assert sorted(map(tuple, bc.collect())) == sorted(map(tuple, sm.collect()))
-    # above the bound no broadcast hint is added (the planner/AQE decide on statistics)
-    assert "broadcast" not in sm._jdf.queryExecution().logical().toString().lower()
+def test_csv_is_read_by_header(spark):
+    from skyhealth.sources.tables import read_weather_csv
+    d = tempfile.mkdtemp(prefix="skyhealth-csv-")
+    with open(os.path.join(d, "w.csv"), "w") as f:
+        f.write("relative_humidity_2m_mean,date,temperature_2m_mean,unknown\n50,2020-01-01 00:00:00+00:00,10.5,x\n"
+                "n/a,2020-01-02 00:00:00+00:00,,y\n")
+    a, b = read_weather_csv(spark, d).orderBy("date").collect()
+    assert (a.date, a.temperature_2m_mean, a.relative_humidity_2m_mean, a.site_id) == ("2020-01-01 00:00:00+00:00", 10.5, 50.0, None)
+    assert b.temperature_2m_mean is None and b.relative_humidity_2m_mean is None
+
+
+def test_upsert_keeps_columns_the_update_lacks(spark):
+    from skyhealth.operators.merge import upsert
+    target = spark.createDataFrame([(1, "a", "keep"), (2, "b", "stay")], "k int, v string, extra string")
+    updates = spark.createDataFrame([(1, "new"), (3, "c")], "k int, v string")
+    got = sorted(tuple(r) for r in upsert(target, updates, ["k"]).select("k", "v", "extra").collect())
+    assert got == [(1, "new", "keep"), (2, "b", "stay"), (3, "c", None)]
+
+
+def test_failed_swap_leaves_the_old_table(spark, monkeypatch):
+    from skyhealth.sources import tables
+    path = os.path.join(tempfile.mkdtemp(prefix="skyhealth-swap-"), "t")
+    tables.write_table(spark.range(3), path)
+    monkeypatch.setattr(tables, "write_table", lambda *a, **k: None)      # nothing gets staged
+    with pytest.raises(Exception):
+        tables.replace_table(spark, spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_partitions_replaced_are_only_those_touched(spark):
+    from skyhealth.sources.tables import replace_partitions
+    path = os.path.join(tempfile.mkdtemp(prefix="skyhealth-parts-"), "t")
+    replace_partitions(spark.createDataFrame([(1, 10), (2, 20)], "m int, v int"), path, ["m"])
+    current = spark.read.parquet(path)
+    replace_partitions(current.where("m = 2").selectExpr("m", "v + 1 AS v"), path, ["m"])
+    assert sorted((r.m, r.v) for r in spark.read.parquet(path).collect()) == [(1, 10), (2, 21)]
 
 
 def test_stream_rollup_append_waits_for_watermark(spark):
@@ -203,7 +232,7 @@ def test_stream_rollup_append_waits_for_watermark(spark):
                                 "value double, props string").coalesce(1).write.parquet(
         os.path.join(d, "events_landing"))
     src = os.path.join(d, "events_landing")
-    complete = spark.read.parquet(run_rollup(spark, src, mode="complete"))
+    complete = spark.read.parquet(run_rollup(spark, src, max_files=1))
     append = spark.read.parquet(run_rollup(spark, src, mode="append", watermark="2 days"))
     assert complete.agg(F.sum("n_slots")).collect()[0][0] == 40
     # append mode withholds the days the watermark has not passed yet
@@ -235,7 +264,7 @@ def test_median_fill_approximate_and_global(spark):
 
 
 def test_stream_insert_if_absent_replay_safe(spark):
-    from skyhealth.streaming.rollup import run_insert_if_absent
+    from skyhealth.streaming.rollup import daily_events, run_insert_if_absent
     d = tempfile.mkdtemp(prefix="skyhealth-x2-")
     rows = [(i, dt.datetime(2024, 1, 1 + i % 3, i % 24), i % 2, "click", 1.0, json.dumps({"k": i}))
             for i in range(30)]
@@ -243,8 +272,23 @@ def test_stream_insert_if_absent_replay_safe(spark):
     spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
                                 "value double, props string").coalesce(1).write.parquet(src)
     target = os.path.join(d, "table")
-    run_insert_if_absent(spark, src, target, replays=2)
-    run_insert_if_absent(spark, src, target, replays=1)       # a later re-run of the same files
-    out = spark.read.parquet(target)
+    for _ in range(3):                                        # re-runs of the same files
+        run_insert_if_absent(spark, src, target)
+    out = daily_events(spark.read.parquet(target))
     assert out.count() == out.select("site_id", "date").distinct().count() == 6
     assert out.agg(F.sum("n_events")).collect()[0][0] == 30
+
+
+def test_stream_insert_if_absent_keeps_late_events(spark, sf_small):
+    """Half of the events land, then the other half, of the same days; both replayed."""
+    from skyhealth.streaming.rollup import daily_events, run_insert_if_absent
+    d = tempfile.mkdtemp(prefix="skyhealth-late-")
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    half = F.pmod(F.col("event_id"), F.lit(2)) == 0
+    first, second, target = (os.path.join(d, x) for x in ("first", "second", "table"))
+    events.where(half).write.parquet(first)
+    events.where(~half).repartition(3).write.parquet(second)
+    for src in (first, second, first, second):
+        run_insert_if_absent(spark, src, target, max_files=1)
+    got = daily_events(spark.read.parquet(target))
+    assert got.agg(F.sum("n_events")).first()[0] == events.count()
