@@ -11,7 +11,7 @@ from skyhealth.plans.oracle import PD, WD, with_ctes
 from skyhealth.plans.registry import ORACLES, register
 from skyhealth.session import scratch_path
 from skyhealth.sources.driver import pollution_raw, read_table, weather_raw
-from skyhealth.sources.tables import read_weather_csv, write_table
+from skyhealth.sources.tables import read_named_csv, read_weather_csv, write_table
 
 W_NONCRIT = ["pressure", "cloud_cover", "temp_max", "temp_min", "apparent_temp_max",
              "apparent_temp_min", "apparent_temp_mean", "humidity_max", "humidity_min",
@@ -72,6 +72,15 @@ def clean_weather_median_fill(spark, sf_dir):
     return clean_weather_df(spark, sf_dir)
 
 
+@register("clean_weather_csv_sink", ORACLES["clean_weather_median_fill"])
+def clean_weather_csv_sink(spark, sf_dir):
+    """K1: cleaned rows overwrite a CSV, read back by header."""
+    clean = clean_weather_df(spark, sf_dir)
+    path = scratch_path(spark, f"clean-csv-{uuid.uuid4().hex[:12]}")
+    write_table(clean, path, "csv", options={"header": "true"})
+    return read_named_csv(spark, path, clean.schema)
+
+
 @register("clean_weather_from_csv", ORACLES["clean_weather_median_fill"])
 def clean_weather_from_csv(spark, sf_dir):
     """S1 → P1-P8 over a landed CSV whose columns come in another order."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyhealth.operators import gaps
@@ -9,8 +11,9 @@ from skyhealth.plans.oracle import avg_dec, with_ctes
 from skyhealth.plans.q_clean import (CLEAN_POLLUTION_CHAIN, CLEAN_WEATHER_CHAIN, P_COLS,
                                      clean_pollution_df, clean_weather_df)
 from skyhealth.plans.registry import register
-from skyhealth.session import cut_lineage
+from skyhealth.session import cut_lineage, scratch_path
 from skyhealth.sources.driver import HOURLY_VALUE_COLUMNS, hourly_air_quality
+from skyhealth.sources.tables import write_if_not_empty
 
 CLEAN_BOTH = CLEAN_WEATHER_CHAIN + CLEAN_POLLUTION_CHAIN
 
@@ -55,6 +58,16 @@ def missing_dates(spark, sf_dir):
     return _missing(spark, sf_dir)
 
 
+@register("missing_date_list", with_ctes(CLEAN_BOTH + [MISSING], "SELECT site_id, date FROM missing"))
+def missing_date_list(spark, sf_dir):
+    """K3: the list is written where it has rows, and read back."""
+    path = scratch_path(spark, f"missing-{uuid.uuid4().hex[:12]}")
+    missing = _missing(spark, sf_dir)
+    if write_if_not_empty(missing, path, "parquet"):
+        return spark.read.parquet(path)
+    return missing
+
+
 @register("common_dates", with_ctes(CLEAN_BOTH, """
 SELECT DISTINCT w.site_id, w.date FROM wclean w JOIN pclean p ON w.site_id = p.site_id AND w.date = p.date"""))
 def common_dates(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from skyhealth.functions.aqi import mapping_lookup
@@ -15,6 +17,7 @@ from skyhealth.plans.q_rules import LIVE_SQL, V1_FEAT, _map_sql, health_category
 from skyhealth.plans.q_windows import LATEST, latest_forecast_df
 from skyhealth.plans.registry import register
 from skyhealth.sources.driver import forecast_log
+from skyhealth.sources.tables import run_query
 
 WEEK = "CAST(date_trunc('week', forecast_date) AS DATE)"
 
@@ -49,6 +52,17 @@ def range_kpis(spark, sf_dir):
     return MT.range_kpis(gold_features(spark, sf_dir), "1996-01-01", "1997-12-31")
 
 
+@register("range_rows_by_parameter", with_ctes(GOLD_CHAIN, """
+SELECT site_id, health_category, COUNT(*) AS days, MAX(aqi) AS max_aqi FROM gold
+WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' GROUP BY 1, 2"""))
+def range_rows_by_parameter(spark, sf_dir):
+    """The dates are bound as parameters."""
+    return run_query(spark, """
+        SELECT site_id, health_category, COUNT(*) AS days, MAX(aqi) AS max_aqi FROM {gold}
+        WHERE date BETWEEN :first AND :last GROUP BY site_id, health_category""",
+                     {"first": dt.date(1996, 1, 1), "last": dt.date(1997, 12, 31)}, gold=gold_features(spark, sf_dir))
+
+
 @register("coverage", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD, FLOG], """
 SELECT 'environmental_features' AS table_name, MIN(date) AS min_date, MAX(date) AS max_date,
   COUNT(*) AS row_count FROM (SELECT date FROM gold UNION ALL SELECT date FROM live_gold) t

@@ -55,9 +55,11 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet",
     return reader.load() if fmt == "jdbc" else reader.load(source)
 
 
-def run_query(spark: SparkSession, sql: str, args: Mapping | None = None) -> DataFrame:
-    """Parameterised SQL (named ``:param`` markers bound, never formatted in)."""
-    return spark.sql(sql, args=dict(args or {}))
+def run_query(spark: SparkSession, sql: str, args: Mapping | None = None,
+              **frames: DataFrame) -> DataFrame:
+    """Parameterised SQL (named ``:param`` markers bound, never formatted
+    in); ``{name}`` stands for the frame given by that name."""
+    return spark.sql(sql, args=dict(args or {}), **frames)
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",
