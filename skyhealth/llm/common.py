@@ -109,6 +109,36 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Ite
         yield _columns(held, names)
 
 
+def by_key_in_parts(batches: Iterator[pa.RecordBatch], key: str, names: list[str], most: int) -> Iterator[tuple[dict, bool]]:
+    """As ``by_key``, but a value with over ``most`` rows waiting comes in
+    parts, alone and marked True, so that no more are ever held."""
+    held: list[pa.RecordBatch] = []
+    streamed = None
+    for batch in batches:
+        while batch.num_rows:
+            k = batch[key].to_numpy(zero_copy_only=False)
+            if streamed is not None:
+                end = int(np.searchsorted(k, streamed, "right")) if k[0] == streamed else 0
+                if end:
+                    yield _columns([batch.slice(0, end)], names), True
+                batch = batch.slice(end)
+                if batch.num_rows:
+                    streamed = None
+                continue
+            cut = int(np.searchsorted(k, k[-1], "left"))
+            if cut or (held and held[-1][key][0].as_py() != k[0]):
+                parts = [*held, batch.slice(0, cut)]
+                yield _columns(parts, names), False
+                held = []
+            held.append(batch.slice(cut))
+            if sum(p.num_rows for p in held) > most:
+                yield _columns(held, names), True
+                held, streamed = [], k[-1]
+            break
+    if held:
+        yield _columns(held, names), False
+
+
 def _columns(parts: list[pa.RecordBatch], names: list[str]) -> dict:
     table = pa.Table.from_batches(parts)
     return {c: table[c] if pa.types.is_binary(table.schema.field(c).type) else table[c].to_numpy() for c in names}

@@ -13,14 +13,19 @@ share the piece, and one row stands for the whole run of them:
 * pass 3 deals the suffixes of the few runs that still share a piece by the
   rest of their window, to the full depth.
 
+A piece with more than ``MOST_RUNS`` rows is streamed, not held: its open runs
+go to pass 3 as single suffixes, dealt by piece, offset and rest together, with
+those equal within an Arrow batch folded, so its suffixes spread over all tasks.
+
 Digits are hashes of the bytes they stand for (64 bits for the piece and 52 or
 64 more for the rest, compared together). Runs equal within an Arrow batch are
 folded before the shuffle, so a text or passage that a third of all rows hold
 reaches the sort about once per batch.
 
 Edge cases: a null text is empty; a text shorter than ``DEPTH`` has no window;
-null doc_ids count as the smallest; rows that share a doc_id are ordered by
-text, equal ones one after the other, so a repeated row is a repeat of the first;
+null doc_ids come before all others (down to -2^62), in the order of a hash of
+the text; rows that share a doc_id are ordered by text, equal ones one after the
+other, so a repeated row is a repeat of the first;
 an empty table gives no rows; extra columns are carried, whatever their names.
 """
 
@@ -36,12 +41,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyhealth.llm.byte_hash import ByteHash
-from skyhealth.llm.common import blobs, by_key, mix64, schema_of
+from skyhealth.llm.common import blobs, by_key, by_key_in_parts, mix64, schema_of
 
 DEPTH = 100
 GRAM = 50
 #: Bytes hashed at a time; also the window starts of one piece of a longer text.
 PIECE = 1 << 20
+#: Rows of one piece that a task holds at a time.
+MOST_RUNS = 1 << 16
 LOWEST = -(1 << 63)
 PLACE = (1 << 32) - 1  # low half of ``at``: position; high half: place among rows of one doc_id
 
@@ -63,18 +70,18 @@ class Slice(ByteHash):
         return np.repeat(self.starts - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
 
 
-def slices(data: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[Slice]:
+def slices(data: np.ndarray, offsets: np.ndarray, depth: int, piece: int = PIECE) -> Iterator[Slice]:
     n, first = len(offsets) - 1, 0
     while first < n:
         size = offsets[first + 1] - offsets[first]
-        if size > PIECE + depth:
-            for at in range(0, size - depth + 1, PIECE):
-                end = min(size, at + PIECE + depth - 1)
+        if size > piece + depth:
+            for at in range(0, size - depth + 1, piece):
+                end = min(size, at + piece + depth - 1)
                 yield Slice(data[offsets[first] + at:offsets[first] + end], np.array([first]), np.array([at]),
                             np.array([0]), np.array([end - at]))
             first += 1
             continue
-        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE, "right")) - 1)
+        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + piece, "right")) - 1)
         base = offsets[first]
         yield Slice(data[base:offsets[end]], np.arange(first, end), np.zeros(end - first, np.int64),
                     offsets[first:end] - base, offsets[first + 1:end + 1] - base)
@@ -109,10 +116,10 @@ def find_runs(part: Slice, depth: int, gram: int) -> dict[str, np.ndarray] | Non
             "o_lo": anchor - hi, "o_hi": anchor - lo, "span": part.hash(lo, hi - lo + depth)}
 
 
-def _runs_of(depth: int, gram: int):
+def _runs_of(depth: int, gram: int, piece: int):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [r for p in slices(*blobs(batch["text"]), depth) if (r := find_runs(p, depth, gram))]
+            found = [r for p in slices(*blobs(batch["text"]), depth, piece) if (r := find_runs(p, depth, gram))]
             if not found:
                 continue
             r = {c: np.concatenate([f[c] for f in found]) for c in found[0]}
@@ -133,32 +140,56 @@ def _runs_of(depth: int, gram: int):
     return over
 
 
-def _split(depth: int):
-    """Pass 2 over the sorted runs: repeats, and runs still open."""
+def _split(depth: int, most_runs: int):
+    """Pass 2 over the sorted runs: repeats, and runs still open. The lowest
+    bit of an open run's digit tells whether the digit has over ``most_runs``."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in by_key(batches, "g", ["g", "sig", "k", "at", "again"]):
+        before = None
+        for r, large in by_key_in_parts(batches, "g", ["g", "sig", "k", "at", "again"], most_runs):
             if not len(r["g"]):
                 continue
             alone = r["again"].astype(bool)
             new_g = np.r_[True, r["g"][1:] != r["g"][:-1]]
             new = new_g | np.r_[True, r["sig"][1:] != r["sig"][:-1]] | alone
+            if large:
+                # Parts of one digit; the first row may go on with the last part's run.
+                new[0] = alone[0] or (r["g"][0], r["sig"][0]) != before
+                before = r["g"][-1], r["sig"][-1]
             digit = np.cumsum(new_g) - 1
             classes = np.bincount(digit[new & ~alone], minlength=digit[-1] + 1)
-            is_open = new & ~alone & (classes[digit] > 1)
+            is_open = new & ~alone & (large | (classes[digit] > 1))
             out = np.flatnonzero(is_open | ~new | alone)
             at, ends = r["at"][out], r["sig"][out] & 4095
             place = at & PLACE
             yield pa.RecordBatch.from_pydict({
                 "k": pa.array(r["k"][out]), "at": pa.array(at),
                 "lo": pa.array((place - (ends & 63)).astype(np.int32)), "hi": pa.array((place - (ends >> 6)).astype(np.int32)),
-                "g": pa.array(np.where(is_open[out], r["g"][out], 0)), "open": pa.array(is_open[out])})
+                "g": pa.array(np.where(is_open[out], r["g"][out] & -2 | large, 0)), "open": pa.array(is_open[out])})
 
     return over
 
 
-def _suffixes(depth: int):
-    """The full-depth hashes of the suffixes of open runs, a run a row."""
+def _singles(found: list[tuple]) -> dict[str, list | pa.Array]:
+    """A batch's suffixes of large digits (digit, k, anchor, first start,
+    hashes), a row each. Of equal ones all but the first are repeats already:
+    they carry no hash and go anywhere."""
+    count = [len(f[4]) for f in found]
+    g, k, at, lo = (np.repeat(np.array(c, np.int64), count) for c in list(zip(*found))[:4])
+    h = np.concatenate([f[4] for f in found])
+    start = lo + np.arange(len(lo)) - np.repeat(np.r_[0, np.cumsum(count)[:-1]], count)
+    key = mix64(mix64(g.view(np.uint64) ^ ((at & PLACE) - start).view(np.uint64)) ^ h)
+    order = np.lexsort((at, k, key))
+    again = np.zeros(len(key), bool)
+    again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    key = np.where(again, mix64(k.view(np.uint64) ^ at.view(np.uint64)), key)
+    return {"g": pa.array(key.view(np.int64)), "k": pa.array(k), "at": pa.array(at), "lo": pa.array(start.astype(np.int32)),
+            "hashes": pa.array([b"" if a else x.tobytes() for a, x in zip(again, h)], pa.binary())}
+
+
+def _suffixes(depth: int, piece: int):
+    """The full-depth hashes of the suffixes of open runs, a run a row; those
+    of large digits a suffix a row."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +201,8 @@ def _suffixes(depth: int):
                     wanted[d] = own
             out: dict[str, list] = {c: [] for c in ("g", "k", "at", "lo", "hashes")}
             ks = batch["k"].to_pylist()
-            for part in slices(*blobs(batch["text"]), depth):
+            large: list[tuple] = []
+            for part in slices(*blobs(batch["text"]), depth, piece):
                 if not any(d in wanted for d in part.docs.tolist()):
                     continue
                 places = np.arange(max(0, len(part.sums) - depth))
@@ -178,22 +210,30 @@ def _suffixes(depth: int):
                 for d, shift, start, end in zip(part.docs.tolist(), part.shift.tolist(), part.starts.tolist(), part.ends.tolist()):
                     for r in wanted.get(d, ()):
                         lo, hi = r["lo"] - shift, r["hi"] - shift
-                        if 0 <= lo and start + hi + depth <= end:
+                        if lo < 0 or start + hi + depth > end:
+                            continue
+                        own = hashes[start + lo:start + hi + 1]
+                        if r["g"] & 1:
+                            large.append((r["g"], ks[d], r["at"], r["lo"], own))
+                        else:
                             out["g"].append(r["g"])
                             out["k"].append(ks[d])
                             out["at"].append(r["at"])
                             out["lo"].append(r["lo"])
-                            out["hashes"].append(hashes[start + lo:start + hi + 1].tobytes())
+                            out["hashes"].append(own.tobytes())
             yield pa.RecordBatch.from_pydict({
                 "g": pa.array(out["g"], pa.int64()), "k": pa.array(out["k"], pa.int64()), "at": pa.array(out["at"], pa.int64()),
                 "lo": pa.array(out["lo"], pa.int32()), "hashes": pa.array(out["hashes"], pa.binary())})
+            if large:
+                yield pa.RecordBatch.from_pydict(_singles(large))
 
     return over
 
 
 def _equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pass 3: suffixes of one digit with equal offset and hash; all but the
-    first of each group are repeats, given back as ranges of starts."""
+    first of each group are repeats, given back as ranges of starts. A row
+    without a hash is a repeat already."""
     for r in by_key(batches, "g", ["g", "k", "at", "lo", "hashes"]):
         if not len(r["g"]):
             continue
@@ -212,9 +252,12 @@ def _equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])]) if len(at) else at
         last = np.r_[first[1:], len(at)] - 1 if len(at) else at
         lo, hi = at[first], at[last]
+        known = np.flatnonzero(count == 0)
+        rows = np.r_[row[lo], known]
         yield pa.RecordBatch.from_pydict({
-            "k": pa.array(r["k"][row[lo]]), "at": pa.array(r["at"][row[lo]]),
-            "lo": pa.array(start[lo].astype(np.int32)), "hi": pa.array(start[hi].astype(np.int32))})
+            "k": pa.array(r["k"][rows]), "at": pa.array(r["at"][rows]),
+            "lo": pa.array(np.r_[start[lo], r["lo"][known]].astype(np.int32)),
+            "hi": pa.array(np.r_[start[hi], r["lo"][known]].astype(np.int32))})
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +298,8 @@ def _cut(depth: int, keep: list[str], with_text: bool):
     return over
 
 
-def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
+def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int = GRAM, piece: int = PIECE,
+          most_runs: int = MOST_RUNS) -> DataFrame:
     """Every row of ``docs`` as the struct ``row``, with n_bytes, n_removed,
     n_spans, kept_sha256, the ``removed`` byte spans, and ``kept_text`` if asked.
 
@@ -263,14 +307,15 @@ def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int
     if not gram <= depth < gram + 64:
         raise ValueError("gram must be at most depth and over depth - 64")
     rest = [c for c in docs.columns if c != "text"]
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k"),
+    nobody = F.lit(LOWEST) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), nobody).alias("k"),
                       F.coalesce(F.col("text"), F.lit("")).alias("text"),
                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     base = own.withColumn("seq", F.row_number().over(W.partitionBy("k").orderBy("text")))
-    found = (base.mapInArrow(_runs_of(depth, gram), RUNS).repartition("g").sortWithinPartitions("g", "sig", "k", "at")
-             .mapInArrow(_split(depth), FOUND))
+    found = (base.mapInArrow(_runs_of(depth, gram, piece), RUNS).repartition("g").sortWithinPartitions("g", "sig", "k", "at")
+             .mapInArrow(_split(depth, most_runs), FOUND))
     open_runs = found.where("open").groupBy("k").agg(F.collect_list(F.struct("at", "g", "lo", "hi")).alias("open_runs"))
-    equal = (base.join(open_runs.hint("merge"), "k").mapInArrow(_suffixes(depth), "g long, k long, at long, lo int, hashes binary")
+    equal = (base.join(open_runs.hint("merge"), "k").mapInArrow(_suffixes(depth, piece), "g long, k long, at long, lo int, hashes binary")
              .repartition("g").sortWithinPartitions("g", "k", "at").mapInArrow(_equal, "k long, at long, lo int, hi int"))
     spans = (found.where("not open").select("k", "at", "lo", "hi").unionByName(equal)
              .groupBy("k").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("spans")))

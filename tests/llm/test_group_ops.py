@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from skyhealth.llm import chat, components, context_tree, sharding, simhash, suffix_dedup
+from skyhealth.llm import chat, common, components, context_tree, sharding, simhash, suffix_dedup
 
 from .conftest import ODD
 
@@ -35,9 +35,9 @@ def plain_dedup(rows, depth=100):
     return [out[i] for i in range(len(rows))]
 
 
-def check_dedup(docs_of, rows):
+def check_dedup(docs_of, rows, **how):
     rows = [r[:2] for r in rows]
-    got = suffix_dedup.dedup(docs_of(rows)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    got = suffix_dedup.dedup(docs_of(rows), **how).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(key, got)) == sorted(key((r[0], *d)) for r, d in zip(rows, plain_dedup(rows)))
 
@@ -46,7 +46,8 @@ def test_suffix_dedup_odd(docs_of):
     check_dedup(docs_of, [r for r in ODD if r[0] != 8] + [(8, "The end.\n" * 300)])
 
 
-def test_suffix_dedup_random(docs_of):
+@pytest.mark.parametrize("most_runs", [suffix_dedup.MOST_RUNS, 1])
+def test_suffix_dedup_random(docs_of, most_runs):
     rnd = random.Random(3)
     words = ["".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 6))) for _ in range(300)]
     passages = [" ".join(rnd.choice(words) for _ in range(rnd.randint(15, 60))) for _ in range(6)]
@@ -56,14 +57,46 @@ def test_suffix_dedup_random(docs_of):
                  " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 80))) for _ in range(rnd.randint(1, 4))]
         rows.append((rnd.randint(0, 50), rnd.choice([" ", ""]).join(parts)))
     rows += [(99, "ab" * 400), (98, "ab" * 90), (97, "a" * 500), (97, "a" * 500), (96, "b" + "a" * 120)]
-    check_dedup(docs_of, rows)
+    check_dedup(docs_of, rows, most_runs=most_runs)
 
 
-def test_suffix_dedup_long_text(docs_of, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "PIECE", 1000)
+def test_suffix_dedup_one_passage_in_many_contexts(docs_of, spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9)))
+    passage = " ".join(word() for _ in range(25))
+    rows = [(i, " ".join([word() for _ in range(9)] + [passage] + [word() for _ in range(9)])) for i in range(300)]
+    # Small batches, so that the passage's runs come to a task in parts.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        check_dedup(docs_of, rows, most_runs=30)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_suffix_dedup_rows_of_nobody(docs_of):
+    copy = "".join(random.Random(9).choice("abcdef ") for _ in range(400))
+    texts = [copy, copy, "x" + copy, copy[50:], "short"]
+    got = suffix_dedup.dedup(docs_of([(None, t) for t in texts] + [(1, copy)])).collect()
+    assert sum(r.n_bytes - r.n_removed for r in got) < 400 + 100 + 5 + 100
+    assert next(r for r in got if r.row.doc_id == 1).n_removed == 400
+
+
+def test_by_key_in_parts():
+    import pyarrow as pa
+
+    rows = [1] + [2] * 7 + [3, 4, 4] + [5] * 12 + [6]
+    batches = [pa.RecordBatch.from_pydict({"g": pa.array(rows[i:i + 3])}) for i in range(0, len(rows), 3)]
+    got = [(list(c["g"]), large) for c, large in common.by_key_in_parts(iter(batches), "g", ["g"], 4)]
+    assert [x for part, _ in got for x in part] == rows
+    for value, large in ((1, False), (2, True), (3, False), (4, False), (5, True), (6, False)):
+        assert {m for part, m in got if value in part} == {large}
+        assert large or sum(value in part for part, _ in got) == 1
+
+
+def test_suffix_dedup_long_text(docs_of):
     rnd = random.Random(4)
     part = "".join(rnd.choice("abcdefgh ") for _ in range(2500))
-    check_dedup(docs_of, [(1, part + "x" * 50 + part[300:1900]), (2, part[1000:] + "tail"), (3, "z" * 30 + part[:1500])])
+    check_dedup(docs_of, [(1, part + "x" * 50 + part[300:1900]), (2, part[1000:] + "tail"), (3, "z" * 30 + part[:1500])], piece=1000)
 
 
 def test_suffix_dedup_stage(odd, no_docs):
