@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skyhealth.llm.common import staged
+
 SHARDS = 16
 #: Ranges aimed at; a range over twice the mean is subdivided.
 RANGES = 1024
@@ -79,7 +81,8 @@ def quantiles(drawn: pd.DataFrame, parts: int, hot: set[int]) -> pd.DataFrame:
 
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (null)."""
-    rows = records(docs)
+    # Sizes and hashes only; the passes below never read a text again.
+    rows = staged(records(docs), "records")
     totals = rows.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = totals.b or 0, totals.n
     out = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
