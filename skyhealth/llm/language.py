@@ -18,11 +18,11 @@ only the named columns are read.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ GROUP_BYTES = 4 << 20
 FOLDS, HELD_OUT = 4, 2
 
 _SPACES = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:

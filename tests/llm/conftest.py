@@ -24,7 +24,7 @@ def sample_docs(spark, sf_small):
 
 #: Nulls, empty and very long texts, ties and repeated rows.
 ODD = [(None, "lost words of nobody"), (None, None), (1, None), (2, ""), (3, "   \n\t"), (4, "one"), (4, "one"), (4, "two other words here"),
-       (5, "a" * 300), (6, "naïve café " * 60), (7, "x" * 99), (8, "The end.\n" * 40_000), (9, "123 456"), (9, "123 456"),
+       (5, "a" * 300), (6, "naïve café " * 60), (7, "x" * 99), (8, "The end.\n" * 40_000), (9, "123 456"), (9, "123 456"), (11, "½ ² Ⅷ"),
        (10, "long " * 30 + "\U0001f642 tail")]
 
 
