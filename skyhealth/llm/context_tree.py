@@ -26,6 +26,7 @@ only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -324,24 +325,26 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     word = right["word"].to_numpy()
     key, value = right["key"].to_numpy().view(np.uint64), right["value"].to_numpy()
     grams, terms = Lookup(key[~word], value[~word]), Lookup(key[word], value[word], right["known"].to_numpy()[word].astype(float))
-    n_words, n_known, base, score = [], [], [], []
+    n_bytes, n_words, n_known, base, score = [], [], [], [], []
     for batch in left.to_batches():
         for _, _, data, offsets in _groups(batch["text"]):
             keys, at = strings(data, offsets)
+            n_bytes.append(np.diff(at) - 1)
             score.append(_sums(grams(keys)[0], at))
             keys, at = words(data, offsets)
             n_words.append(np.diff(at))
             found = terms(keys) if len(keys) else [np.zeros(0), np.zeros(0)]
             base.append(_sums(found[0], at))
             n_known.append(_sums(found[1], at).astype(np.int64))
-    return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"],
+    return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_bytes": pa.array(np.concatenate(n_bytes)),
                      "n_words": pa.array(np.concatenate(n_words).astype(np.int64)), "known_words": pa.array(np.concatenate(n_known)),
                      "base": pa.array(np.concatenate(base)), "score": pa.array(np.concatenate(score))})
 
 
 def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
-    bits_per_byte of every document."""
+    bits_per_byte (the code length, its end symbol included, over the bytes of
+    the text, of an empty one over one) of every document."""
     model = train(docs)
     sizes = docs.agg(F.sum(F.octet_length("text")).alias("b"),
                      F.count_if(~held_out(F.col("doc_id"))).alias("n")).first()
@@ -363,11 +366,12 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         "block", "word", "key", F.when(F.col("word"), F.log10(F.col("c") + 0.5)).otherwise(F.col("log_p")).alias("value"),
         known.alias("known"))
     found = base.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score, "doc_id long, held_out boolean, n_words long, known_words long, base double, score double")
+        _score, "doc_id long, held_out boolean, n_bytes long, n_words long, known_words long, base double, score double")
     n = F.col("words") + F.lit(train_docs)
     v = F.col("distinct") + F.lit(int(train_docs > 0))
     n_tokens = F.col("n_words") + 1
     return found.crossJoin(F.broadcast(totals)).select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"), (F.col("known_words") + F.lit(int(train_docs > 0))).alias("n_known"),
         n.alias("train_tokens"),
-        (F.col("base") + F.log10(F.lit(train_docs + 0.5)) - n_tokens * F.log10(n + 0.5 * (v + 1))).alias("base_score"), "score")
+        (F.col("base") + F.log10(F.lit(train_docs + 0.5)) - n_tokens * F.log10(n + 0.5 * (v + 1))).alias("base_score"), "score",
+        (-F.col("score") / math.log10(2) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))

@@ -280,6 +280,9 @@ def test_scores(docs_of, no_docs):
     for block_bytes in (context_tree.BLOCK_BYTES, 500):
         got = context_tree.score(docs, block_bytes=block_bytes).collect()
         tokens = [(t or "").encode().translate(context_tree.ASCII_LOWER).split() + [None] for _, t in rows]
+        for r in got:
+            size = max(1, len((dict(rows[:30]).get(r.doc_id) or "").encode()))
+            assert r.doc_id is None or r.doc_id >= 30 or r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / size)
         seen = Counter()
         for (i, _), own in zip(rows, tokens):
             if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
