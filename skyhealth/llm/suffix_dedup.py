@@ -307,7 +307,8 @@ def dedup(docs: DataFrame, with_text: bool = True, depth: int = DEPTH, gram: int
     if not gram <= depth < gram + 64:
         raise ValueError("gram must be at most depth and over depth - 64")
     rest = [c for c in docs.columns if c != "text"]
-    nobody = F.lit(LOWEST) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    # Never null, so that no join filters its side and all share one shuffle.
+    nobody = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(LOWEST))
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), nobody).alias("k"),
                       F.coalesce(F.col("text"), F.lit("")).alias("text"),
                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
