@@ -9,7 +9,8 @@ smallest conv_id. The maximal ones are then rendered.
 
 No group is gathered whole: turns are folded per (conversation, turn) before
 the shuffle, rolled within segments of ``SEGMENT`` turn numbers with a second
-roll over the segments, and rendered one row per segment.
+roll over the segments, and rendered one row per segment, or per part of
+``SEGMENT`` rows where turn numbers repeat in a segment.
 
 Edge cases: turns are ordered by (turn, role, text), nulls first; two turns
 with the same number belong to the same prefix step; a turn row repeated in a
@@ -75,16 +76,20 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 
 def render(turns: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row per segment of every kept conversation: conv_id, segment (of 512
-    turn numbers), n_turns (of the conversation), copies and the text."""
+    """Every kept conversation, a row per segment (512 turn numbers) and part
+    of it (512 rows): conv_id, segment, part (from 0), n_turns (of the
+    conversation), copies and the text."""
     own = turns.select("conv_id", "turn", "role", "text", _segment().alias("segment"))
     kept = kept.withColumnRenamed("conv_id", "k")
     own = own.join(kept, F.col("conv_id").eqNullSafe(F.col("k"))).drop("k")
+    # Ties are equal rows, so any order of them renders the same.
+    place = F.row_number().over(W.partitionBy("conv_id", "segment").orderBy("turn", "role", "text"))
+    own = own.withColumn("part", F.floor((place - 1) / SEGMENT).cast("long"))
     said = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"),
                     F.coalesce("text", F.lit("")), F.lit("\n<|end|>\n"))
-    return (own.groupBy("conv_id", "segment", "n_turns", "copies")
+    return (own.groupBy("conv_id", "segment", "part", "n_turns", "copies")
             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", said.alias("said")))).alias("t"))
-            .select("conv_id", "segment", "n_turns", "copies",
+            .select("conv_id", "segment", "part", "n_turns", "copies",
                     F.array_join(F.transform("t", lambda t: t["said"]), "").alias("rendered")))
 
 
@@ -100,9 +105,14 @@ c AS (SELECT min(conv_id) AS conv_id, ts, n_turns, count(*) AS copies FROM t GRO
 m AS (
   SELECT * FROM c WHERE NOT EXISTS (
     SELECT 1 FROM (SELECT ts[1:k] AS p FROM (SELECT ts, unnest(range(1, n_turns)) AS k FROM c)) q WHERE q.p = c.ts))
-SELECT conv_id, CAST(floor(turn / 512) AS BIGINT) AS segment, n_turns, copies,
+SELECT conv_id, segment, part, n_turns, copies,
        string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10),
-                  '' ORDER BY turn, role, text) AS rendered
-FROM conversations JOIN (SELECT conv_id, n_turns, copies FROM m) USING (conv_id)
+                  '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rendered
+FROM (
+  SELECT conv_id, segment, turn, role, text,
+         (row_number() OVER (PARTITION BY conv_id, segment
+                             ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1) // 512 AS part
+  FROM (SELECT *, CAST(floor(turn / 512) AS BIGINT) AS segment FROM conversations))
+JOIN (SELECT conv_id, n_turns, copies FROM m) USING (conv_id)
 GROUP BY ALL
 """

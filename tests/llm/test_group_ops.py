@@ -202,6 +202,19 @@ def test_chat(spark):
     assert chat.format_chats(turns.limit(0)).count() == 0
 
 
+def test_chat_renders_a_crowded_turn_in_parts(spark):
+    """Many rows of one turn number, or of none, are never one group."""
+    rows = [(n, t, "user", f"{i:04d}") for n, t in ((1, 3), (2, None), (None, 0)) for i in range(1200)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_chats(turns).collect()
+    assert len(out) == 9
+    for conv in (1, 2, None):
+        parts = sorted((r.part, r.rendered) for r in out if r.conv_id == conv)
+        assert [p for p, _ in parts] == [0, 1, 2]
+        assert [t.count("<|user|>") for _, t in parts] == [512, 512, 176]
+        assert "".join(t for _, t in parts) == "".join(f"<|user|>\n{i:04d}\n<|end|>\n" for i in range(1200))
+
+
 @pytest.mark.parametrize("ranges", [4, 64])
 def test_sharding(docs_of, no_docs, sample_docs, ranges):
     rows = [tuple(r) for r in sample_docs.select("doc_id", "text").collect()] + [(1000 + i, "hot copy " * 40) for i in range(300)] + [r[:2] for r in ODD]
