@@ -367,10 +367,11 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         known.alias("known"))
     found = base.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score, "doc_id long, held_out boolean, n_bytes long, n_words long, known_words long, base double, score double")
-    n = F.col("words") + F.lit(train_docs)
-    v = F.col("distinct") + F.lit(int(train_docs > 0))
+    total = totals.select(F.struct("words", "distinct")).scalar()
+    n = total["words"] + F.lit(train_docs)
+    v = total["distinct"] + F.lit(int(train_docs > 0))
     n_tokens = F.col("n_words") + 1
-    return found.crossJoin(F.broadcast(totals)).select(
+    return found.select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"), (F.col("known_words") + F.lit(int(train_docs > 0))).alias("n_known"),
         n.alias("train_tokens"),
         (F.col("base") + F.log10(F.lit(train_docs + 0.5)) - n_tokens * F.log10(n + 0.5 * (v + 1))).alias("base_score"), "score",
