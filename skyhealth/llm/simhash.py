@@ -168,7 +168,7 @@ def keep_first(docs: DataFrame, bits: int = MAX_BITS, size: int = SHINGLE_WORDS)
     nameless = found.where(F.col("component_id").isNull()).groupBy("fingerprint").agg(first)
     winners = named.select("w").unionByName(nameless.select("w")).select(
         F.coalesce("w.doc_id", F.lit(LOWEST)).alias("_id"), F.col("w.h").alias("_h")).distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("d"), F.coalesce(F.col("doc_id"), F.lit(LOWEST)).alias("_id"), own.alias("_h"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.coalesce(F.col("doc_id"), F.lit(LOWEST)).alias("_id"), own.alias("_h"))
     one = W.partitionBy("_id", "_h").orderBy(F.lit(1))
     return (keyed.join(winners, ["_id", "_h"]).withColumn("_n", F.row_number().over(one))
             .where(F.col("_n") == 1).select("d.*"))
