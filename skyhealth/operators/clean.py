@@ -42,11 +42,11 @@ def median_fill(df: DataFrame, cols: Iterable[str], keys=("site_id",),
     keys = list(keys)
     med = (lambda c: F.percentile_approx(c, 0.5)) if approximate else (lambda c: F.median(c))
     meds = df.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(*[med(c).alias(f"__med_{c}") for c in cols])
-    if keys:
-        same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
-        out = df.join(meds, same, "left")
-    else:
-        out = df.crossJoin(F.broadcast(meds))    # one row
+    if not keys:
+        whole = meds.select(F.struct("*")).scalar()
+        return df.withColumns({c: F.coalesce(F.col(c), whole[f"__med_{c}"]) for c in cols})
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    out = df.join(meds, same, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})
     return out.drop(*[f"__key_{k}" for k in keys], *[f"__med_{c}" for c in cols])
 

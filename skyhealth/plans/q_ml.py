@@ -15,6 +15,7 @@ from skyhealth.plans.q_forecast import forecast_features_df
 from skyhealth.plans.registry import register
 from skyhealth.session import cut_lineage
 from skyhealth.sources.driver import pollution_daily, weather_daily
+from skyhealth.sources.tables import state_of
 
 _MODELS: dict = {}
 
@@ -23,19 +24,27 @@ FEATS = ["temperature", "humidity", "wind", "heat_index", "pm25", "pm10", "aqi",
          "nitrogen_dioxide", "temp_range", "heat_stress_peak", "dust_risk_index",
          "rain_wash_effect"]
 NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in FEATS + ["health_category"])
+def _inputs(spark, sf_dir):
+    """What a cached table or model was made from: the session's application
+    and the files as they were then, so changed files are never served stale."""
+    root = sf_dir.rstrip("/")
+    return (spark.sparkContext.applicationId, root,
+            *[state_of(spark, f"{root}/{t}.parquet") for t in ("lineitem", "orders")])
+
+
 def model_input(spark, sf_dir):
     """The gold table as the model reads it: materialised once in the shared
     checkpoint folder (the forest makes many passes; a written table also
     keeps the wide rule expressions out of every training plan)."""
-    key = ("gold", spark.sparkContext.applicationId, sf_dir)
+    key = ("gold", *_inputs(spark, sf_dir))
     if key not in _MODELS:
         _MODELS[key] = cut_lineage(gold_features(spark, sf_dir))
     return _MODELS[key]
 
 
 def trained(spark, sf_dir):
-    """Train once per (session, input) and reuse across the model queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Train once per (session, input files) and reuse across the model queries."""
+    key = _inputs(spark, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = R.train(model_input(spark, sf_dir))
     return _MODELS[key]

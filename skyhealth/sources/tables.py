@@ -95,6 +95,13 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path)
 
 
+def state_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and bytes of a stored table: another pair, another content."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).getModificationTime(), fs.getContentSummary(p).getLength()
+
+
 def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows of (K4, K6); ``df`` may
     read those partitions itself, as its files are moved in after the job."""

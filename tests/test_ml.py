@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyhealth.functions.constants import PROB_COLUMNS
 from skyhealth.ml import risk_model as R
+from skyhealth.plans import q_ml
 from skyhealth.plans.daily import gold_features
 from skyhealth.session import cut_lineage
 
@@ -38,3 +39,12 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2, "health_category string")
     w = {r.health_category: r.weight for r in R.class_weights(df).collect()}
     assert w == {"a": 8 / (2 * 6), "b": 8 / (2 * 2)}
+
+
+def test_changed_files_are_another_model_input(spark, sf_small, tmp_path):
+    for t in ("lineitem", "orders"):
+        spark.read.parquet(f"{sf_small}/{t}.parquet").limit(5).write.parquet(f"{tmp_path}/{t}.parquet")
+    before = q_ml._inputs(spark, str(tmp_path))
+    assert q_ml._inputs(spark, f"{tmp_path}/") == before
+    spark.read.parquet(f"{sf_small}/orders.parquet").limit(9).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert q_ml._inputs(spark, str(tmp_path)) != before
