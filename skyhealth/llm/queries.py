@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import (bpe, chat, context_tree, decontaminate, language, quality, sharding, simhash,
+from skyhealth.llm import (bpe, chat, context_tree, decontaminate, divergence, language, quality, sharding, simhash,
                            suffix_dedup, token_counts)
 from skyhealth.llm.common import read_table
 
@@ -74,3 +74,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_context_tree")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_divergence", divergence.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
