@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyhealth.llm import (bpe, chat, context_tree, decontaminate, divergence, language, quality, sharding, simhash,
-                           suffix_dedup, token_counts)
+                           suffix_dedup, token_counts, vector_codes)
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_divergence", divergence.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes", vector_codes.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
