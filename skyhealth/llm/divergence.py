@@ -39,6 +39,8 @@ TOP = 10
 SCALE = 1_000_000_000
 #: Counts of a language in a bucket, about.
 BUCKET_ROWS = 1 << 16
+#: Parts of a language in the join with its totals.
+SALTS = 256
 #: Distinct terms that a worker holds before it sends them on.
 HELD_TERMS = 200_000
 #: Leaves of the pairs that are walked at a time, at most.
@@ -236,12 +238,14 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, bucket_rows: int = BUCKET_R
     kept = staged(kept.where(~is_term | (c("all") >= min_docs)).drop("all"), "terms")
     langs = kept.groupBy("lang").agg(F.count_if(is_term & c("first")).alias("v"),
                                      F.greatest(F.lit(1), F.ceil(F.count_if(is_term) / bucket_rows)).cast("int").alias("buckets"))
-    # No hint: a table of languages that proves small is broadcast, else the join is merged, with its skew split.
-    dealt = kept.where(is_term).join(langs, "lang").select(
+    # A language may hold most rows, so it is joined in SALTS parts by term, and its buckets are dealt anew.
+    salted = langs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = kept.where(is_term).withColumn("salt", F.pmod(F.xxhash64("term", F.lit(1)), F.lit(SALTS)).cast("int")).join(
+        salted, ["lang", "salt"]).select(
         "lang", F.pmod(F.xxhash64("term"), c("buckets")).cast("int").alias("bucket"), "source", "term", "n", "v")
     groups = kept.groupBy("lang", "source").agg(F.sum("n").alias("n")).join(langs, "lang").select(
         "lang", F.explode(F.sequence(F.lit(0), c("buckets") - 1)).alias("bucket"), "source", F.lit("").alias("term"), "n", "v")
-    priced = dealt.unionByName(groups).groupBy("lang", "bucket").applyInArrow(
+    priced = dealt.unionByName(groups).repartition("lang", "bucket").groupBy("lang", "bucket").applyInArrow(
         _price, "lang string, source string, part string, item string, value long")
     priced = priced.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     turned = F.when(c("part") == "pair", F.array(F.struct("source", "item"), F.struct(c("item").alias("source"), c("source").alias("item")))
