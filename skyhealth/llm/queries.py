@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyhealth.llm import (bpe, chat, context_tree, decontaminate, divergence, language, quality, sharding, simhash,
-                           suffix_dedup, token_counts, vector_codes)
+from skyhealth.llm import (bpe, chat, context_tree, decontaminate, divergence, language, privacy, quality, sharding,
+                           simhash, suffix_dedup, token_counts, vector_codes)
 from skyhealth.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_vector_codes", vector_codes.SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_privacy", privacy.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
