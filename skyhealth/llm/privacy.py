@@ -182,8 +182,9 @@ def verdicts(windows: DataFrame, words: DataFrame, docs: DataFrame, total: int)
     pairs = keys.groupBy("digest", "entity", "key").agg(F.max("n").alias("n")).groupBy("entity", "key").agg(F.sum("n").alias("c"))
     pairs = pairs.where(c("c") >= MIN_DOCS).join(entities, "entity").join(documents_of_terms(docs), "key")
     big = lambda x: x.cast("decimal(12,0)")                               # noqa: E731  three of them fit 38 digits
-    pairs = pairs.select("entity", "key", "c", "e", "d").where(
-        big(F.lit(total)) * big(c("c")) * big(c("c")) >= big(c("e")) * big(c("d")) * big(c("d")))
+    # Written once: terms and classes below would each count the corpus again.
+    pairs = staged(pairs.where(
+        big(F.lit(total)) * big(c("c")) * big(c("c")) >= big(c("e")) * big(c("d")) * big(c("d"))).select("entity", "key"), "disclosed")
     is_class = c("key").endswith("*")
     terms = pairs.where(~is_class).select("entity", c("key").alias("term"), class_of(c("key")).alias("class"))
     classes = pairs.where(is_class).select("entity", c("key").alias("class"), F.lit(True).alias("told"))
