@@ -198,9 +198,9 @@ def test_sanitise_odd_rows(odd):
 
 
 def test_overlapping_spans_are_rewritten_once(docs_of):
-    text = "x +1 4465758382889437 y"
+    text = "x +4222222222222 y"
     (r,) = privacy.sanitise(docs_of([(1, text + " 5"), (2, "none")])).where("doc_id = 1").collect()
-    assert r.text == "x +1 [CARD] y 5"
+    assert r.text == "x [PHONE] y 5"
 
 
 def test_prefix_sums_in_blocks(spark):
