@@ -45,7 +45,10 @@ DEPTH = 5
 ROOT = 2
 FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 40 << 20
-GROUP_BYTES = 1 << 20
+#: Text whose strings a worker holds at a time.
+GROUP_BYTES = 1 << 18
+#: Distinct numbers a worker adds before it folds them.
+FOLD = 1 << 18
 _LOWER = np.frombuffer(ASCII_LOWER, np.uint8)
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
@@ -103,7 +106,7 @@ class Counts:
                 k, n = np.unique(chosen, return_counts=True)
                 self.parts.append((k, n * weight))
                 self.size += len(k)
-        if self.size > 2 * self.folded + (1 << 20):
+        if self.size > 1.5 * self.folded + FOLD:
             self.fold()
 
     def fold(self) -> tuple[np.ndarray, np.ndarray]:
@@ -131,27 +134,32 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct strings (word false) and words (word true) per block, with the
-    block's training count (of words; strings are counted already)."""
-    found: dict[int, tuple[Counts, Counts]] = {}
+    block's training count (of words; strings are counted already). The rows
+    come sorted by block, so one block's numbers are held at a time."""
+    block, both = None, (Counts(), Counts())
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         blocks = batch["block"].to_numpy(zero_copy_only=False)
-        order = np.argsort(blocks, kind="stable")
-        for own in np.split(order, runs(blocks[order])[1:]) if len(order) else []:
-            grams, terms = found.setdefault(int(blocks[own[0]]), (Counts(), Counts()))
-            for first, end, data, offsets in _groups(batch["text"].take(pa.array(own))):
-                keys, _ = strings(data, offsets)
-                grams.add(keys, np.zeros(len(keys), bool))
+        first_rows = runs(blocks)
+        for start, stop in zip(first_rows, [*first_rows[1:], len(blocks)]):
+            if blocks[start] != block:
+                yield from _asked(block, both)
+                block, both = int(blocks[start]), (Counts(), Counts())
+            for first, end, data, offsets in _groups(batch["text"].slice(start, stop - start)):
+                both[0].add(strings(data, offsets)[0], np.zeros(offsets[-1] + end - first, bool))
                 keys, at = words(data, offsets)
-                terms.add(keys, np.repeat(train[own[first:end]], np.diff(at)))
-    for block, both in found.items():
-        for word, counts in enumerate(both):
-            keys, n = counts.fold()
-            for i in range(0, len(keys), 1 << 16):
-                k = keys[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_pydict({
-                    "word": pa.array(np.full(len(k), bool(word))), "key": pa.array(k.view(np.int64)),
-                    "block": pa.array(np.full(len(k), block, np.int32)), "n": pa.array(n[i:i + (1 << 16)])})
+                both[1].add(keys, np.repeat(train[start + first:start + end], np.diff(at)))
+    yield from _asked(block, both)
+
+
+def _asked(block: int | None, both: tuple[Counts, Counts]) -> Iterator[pa.RecordBatch]:
+    for word, counts in enumerate(both):
+        keys, n = counts.fold()
+        for i in range(0, len(keys), 1 << 16):
+            k = keys[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({
+                "word": pa.array(np.full(len(k), bool(word))), "key": pa.array(k.view(np.int64)),
+                "block": pa.array(np.full(len(k), block, np.int32)), "n": pa.array(n[i:i + (1 << 16)])})
 
 
 # --- the trees -------------------------------------------------------------
@@ -181,9 +189,11 @@ def share(log_ratio: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """The trees below some two-byte contexts, from all their strings."""
+    """The trees below some two-byte contexts, from all their strings. Depths
+    are solved from the deepest up, and a prediction mixes them in that order,
+    so of every depth only what the next one needs is held."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray):
+    def __init__(self, keys: np.ndarray, n: np.ndarray, predict: bool):
         keys = keys.view(np.uint64)
         # Contexts with the nearest byte first, so a shorter one is a prefix.
         turned = np.zeros(len(keys), np.uint64)
@@ -191,10 +201,14 @@ class Forest:
             turned = turned << np.uint64(8) | (keys >> np.uint64(8 * i)) & np.uint64(255)
         self.byte = (keys & np.uint64(255)).astype(np.int64)
         self.context = turned.astype(np.int64)
-        self.nodes: dict[tuple[int, int], tuple] = {}
+        #: Probability of each string's j-th decision, mixed down to ROOT.
+        self.mixed = [np.zeros(len(keys)) for _ in range(8)] if predict else []
+        #: The two-byte nodes: node, zeros, ones and log of the weighted probability.
+        self.roots: list[tuple[np.ndarray, ...]] = []
         below: list = [None] * 8
         for depth in range(DEPTH, ROOT - 1, -1):
-            pair = (self.context >> 8 * (DEPTH - depth)) << 8 | self.byte
+            prefix = self.context >> 8 * (DEPTH - depth)
+            pair = prefix << 8 | self.byte
             order = np.argsort(pair, kind="stable")
             first = runs(pair[order])
             pair, count = pair[order][first], np.add.reduceat(n[order], first) if len(first) else n
@@ -213,19 +227,22 @@ class Forest:
                     rest = np.bincount(np.searchsorted(node, parent), log_p, len(node))
                     weight, total = share(own - rest), np.logaddexp(own, rest) - np.log(2)
                 below[j] = node, total
-                self.nodes[depth, j] = node, (one + 0.5) / (zero + one + 1), weight, zero, one
-        self.roots = below
+                if depth == ROOT:
+                    self.roots.append((node, zero, one, total))
+                if predict:
+                    at = np.searchsorted(node, prefix << 8 | self.byte >> (8 - j))
+                    p = ((one + 0.5) / (zero + one + 1))[at]
+                    self.mixed[j] = mix(weight[at], np.where(self.byte >> (7 - j) & 1, p, 1 - p), self.mixed[j])
 
     def tops(self) -> dict[str, np.ndarray]:
         """What the two-byte nodes pass up, by (nearest byte, node of 255)."""
         out: dict[str, list] = {c: [] for c in ("byte", "node", "n0", "n1", "log_p")}
-        for j in range(8):
-            node, _, _, zero, one = self.nodes[ROOT, j]
+        for j, (node, zero, one, total) in enumerate(self.roots):
             out["byte"].append(node >> 16)
             out["node"].append((1 << j) | node & 255)
             out["n0"].append(zero)
             out["n1"].append(one)
-            out["log_p"].append(self.roots[j][1])
+            out["log_p"].append(total)
         return {c: np.concatenate(v) for c, v in out.items()}
 
     def log10(self, top: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -234,19 +251,18 @@ class Forest:
         nearest = self.context >> 8 * (DEPTH - 1)
         out = np.zeros(len(self.byte))
         for j in range(8):
-            bit = self.byte >> (7 - j) & 1
-            p = np.zeros(len(bit))
-            for depth in range(DEPTH, ROOT - 1, -1):
-                node, one, weight, _, _ = self.nodes[depth, j]
-                at = np.searchsorted(node, (self.context >> 8 * (DEPTH - depth)) << 8 | self.byte >> (8 - j))
-                p = weight[at] * np.where(bit, one[at], 1 - one[at]) + (1 - weight[at]) * p
+            bit, p = self.byte >> (7 - j) & 1, self.mixed[j]
             at = (1 << j) | self.byte >> (8 - j)
             for one, weight in ((one1[nearest, at], weight1[nearest, at]), (one0[at], weight0[at])):
-                p = weight * np.where(bit, one, 1 - one) + (1 - weight) * p
+                p = mix(weight, np.where(bit, one, 1 - one), p)
             out += np.log10(p)
         return out
 
 
+def mix(weight: np.ndarray, own: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    return weight * own + (1 - weight) * deeper
+
+
 def solve_top(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
     """Estimates and weights of the nodes at depths 1 and 0 (arrays by nearest
     byte and node; by node)."""
@@ -262,14 +278,14 @@ def solve_top(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
 
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in by_key(batches, "root", ["key", "n"]):
-        yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in Forest(r["key"], r["n"]).tops().items()})
+        yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in Forest(r["key"], r["n"], False).tops().items()})
 
 
 def _log_probabilities(top: tuple[np.ndarray, ...]):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in by_key(batches, "root", ["key", "n"]):
             # Single precision: a string's digits beyond it only cost shuffle.
-            value = Forest(r["key"], r["n"]).log10(top).astype(np.float32).astype(float)
+            value = Forest(r["key"], r["n"], True).log10(top).astype(np.float32).astype(float)
             yield pa.RecordBatch.from_pydict({"key": pa.array(r["key"]), "log_p": pa.array(value)})
 
     return over
@@ -279,7 +295,8 @@ def train(docs: DataFrame) -> DataFrame:
     """key and log_p (log10 of its last byte in its context) of every string
     that occurs in any document, learned from those not held out."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"))
-    counted = staged(rows.mapInArrow(_count_strings, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "strings")
+    # Dealt by string before they are added up: workers have folded them, so an aggregate ahead of the exchange finds no copies.
+    counted = staged(rows.mapInArrow(_count_strings, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n")), "strings")
     by_root = (counted.withColumn("root", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
                .repartition("root").sortWithinPartitions("root"))
     tops = by_root.mapInArrow(_tops, "byte long, node long, n0 long, n1 long, log_p double").groupBy("byte", "node").agg(
@@ -354,7 +371,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         F.pmod(F.xxhash64("doc_id", F.crc32(text.cast("binary"))), F.lit(n_blocks)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     base = base.repartition("block")
-    asked = base.mapInArrow(_ask, "word boolean, key long, block int, n long")
+    asked = base.sortWithinPartitions("block").mapInArrow(_ask, "word boolean, key long, block int, n long")
     # A key's rows are one a block.
     same = W.partitionBy("word", "key")
     asked = asked.select("word", "key", "block", "n", F.sum("n").over(same).alias("c"),
