@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyhealth.functions.columns import keep_existing, nan_to_null
+from skyhealth.operators.quantiles import exact_quantiles
 from skyhealth.schemas import (POLLUTION_COLUMNS, POLLUTION_RENAMES,
                                WEATHER_COLUMNS, WEATHER_CRITICAL,
                                WEATHER_RENAMES)
+from skyhealth.session import cut_lineage
 
 
 def parse_date(c: Column | str) -> Column:
@@ -33,18 +35,23 @@ def median_fill(df: DataFrame, cols: Iterable[str], keys=("site_id",),
     interpolated, NULL-skipping; ``approximate=True`` uses
     ``percentile_approx``).
 
-    The medians are an aggregate (one small row per key) joined back, so no
-    task holds all rows of a site.
+    The exact medians are found by counting (``quantiles``), so no task holds
+    the values of a key; they are joined back, one small row per key.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     keys = list(keys)
-    med = (lambda c: F.percentile_approx(c, 0.5)) if approximate else (lambda c: F.median(c))
-    meds = df.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(*[med(c).alias(f"__med_{c}") for c in cols])
+    if approximate:
+        meds = df.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5).alias(f"__med_{c}") for c in cols])
+    else:
+        df = cut_lineage(df)                                    # read once a round of counting
+        long = exact_quantiles(df, cols, [0.5], keys)
+        meds = long.groupBy(*keys).agg(*[F.max(F.when(F.col("column_name") == c, F.col("q0"))).alias(f"__med_{c}") for c in cols])
     if not keys:
         whole = meds.select(F.struct("*")).scalar()
         return df.withColumns({c: F.coalesce(F.col(c), whole[f"__med_{c}"]) for c in cols})
+    meds = meds.withColumnsRenamed({k: f"__key_{k}" for k in keys})
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
     out = df.join(meds, same, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})

@@ -6,6 +6,7 @@ the already tiny aggregate tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyhealth.functions.columns import stable_round
+from skyhealth.operators.quantiles import exact_quantiles
 from skyhealth.session import cut_lineage
 
 
@@ -99,20 +101,28 @@ def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site_id"
             approximate: bool = False) -> DataFrame:
     """Per key and column — count, NULLs, mean, std, min, quartiles, max.
 
-    Unpivoted to (key, column_name, value) and aggregated in one pass.
-    Exact quartiles buffer distinct values per (key, column); pass
-    ``approximate=True`` when a key's history is unbounded.
+    Counts and moments are one aggregate over (key, column_name, value). The
+    quartiles are exact, found by counting (``quantiles``), or those of
+    ``percentile_approx`` with ``approximate=True``.
     """
     keys = list(keys)
+    if not approximate:
+        df = cut_lineage(df.select(*keys, *cols))               # read once a round of counting
     long = df.unpivot(keys, list(cols), "column_name", "value")
     v = F.col("value")
-    q = (lambda p: F.percentile_approx(v, p)) if approximate else (lambda p: F.percentile(v, p))
     r = lambda c: stable_round(c, 6)
-    return long.groupBy(*keys, "column_name").agg(
+    quartiles = (0.25, 0.5, 0.75)
+    some = [F.percentile_approx(v, q).alias(f"q{i}") for i, q in enumerate(quartiles)] if approximate else []
+    stats = long.groupBy(*keys, "column_name").agg(
         F.count(v).alias("count"), F.count_if(v.isNull()).alias("null_count"),
-        r(F.avg(v)).alias("mean"), r(F.stddev_samp(v)).alias("std"), F.min(v).alias("min"),
-        r(q(0.25)).alias("q25"), r(q(0.5)).alias("q50"), r(q(0.75)).alias("q75"),
-        F.max(v).alias("max"))
+        r(F.avg(v)).alias("mean"), r(F.stddev_samp(v)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), *some)
+    if not approximate:
+        of = [*keys, "column_name"]
+        found = exact_quantiles(df, cols, quartiles, keys).withColumnsRenamed({k: f"__of_{k}" for k in of})
+        same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in of])
+        stats = stats.join(found, same, "left")
+    return stats.select(*keys, "column_name", "count", "null_count", "mean", "std", "min", r(F.col("q0")).alias("q25"),
+                        r(F.col("q1")).alias("q50"), r(F.col("q2")).alias("q75"), "max")
 
 
 def describe_columns(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from skyhealth.plans.registry import register
 from skyhealth.session import scratch_path
 from skyhealth.streaming.rollup import daily_events, run_insert_if_absent, run_rollup
@@ -22,12 +24,20 @@ def stream_daily_rollup(spark, sf_dir):
 
 
 @register("stream_insert_if_absent", """
-SELECT CAST(user_id % 10 AS INTEGER) AS site_id, CAST(ts AS DATE) AS date,
-  MIN(event_id) AS first_event_id, COUNT(*) AS n_events
-FROM events GROUP BY 1, 2""")
+SELECT site_id, date, MIN(event_id) AS first_event_id, COUNT(*) AS n_events FROM (
+  SELECT DISTINCT CAST(user_id % 10 AS INTEGER) AS site_id, CAST(ts AS DATE) AS date,
+    CASE WHEN event_id % 50 <> 0 THEN event_id END AS event_id, ts, event_type, value,
+    CASE WHEN event_type = 'purchase' THEN (CAST(json_extract_string(props, '$.k') AS DOUBLE) % 8) * 0.25 ELSE 0.0 END AS rain
+  FROM events) e
+GROUP BY 1, 2""")
 def stream_insert_if_absent(spark, sf_dir):
-    """Events land in several files, one a micro-batch."""
+    """Events land in several files, one a micro-batch: some without an id,
+    some again in a later file, and the whole folder a second time."""
     landing = scratch_path(spark, f"landing-{uuid.uuid4().hex[:12]}")
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    events.repartition(4, "event_id").write.parquet(landing)
-    return daily_events(spark.read.parquet(run_insert_if_absent(spark, landing, max_files=1)))
+    events = events.withColumn("event_id", F.when(F.col("event_id") % 50 != 0, F.col("event_id")))
+    events.repartition(3, "event_id").write.parquet(landing)
+    again = events.where((F.col("event_id") % 7 == 0) | F.col("event_id").isNull())
+    again.coalesce(1).write.mode("append").parquet(landing)
+    table = run_insert_if_absent(spark, landing, max_files=1)
+    return daily_events(spark.read.parquet(run_insert_if_absent(spark, landing, table)))

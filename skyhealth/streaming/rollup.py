@@ -2,8 +2,8 @@
 
 X1 rolls intra-day slot records up to daily tumbling windows per site with
 a watermark for late slots. X2 appends events idempotently
-(insert-if-absent by event_id) from ``foreachBatch``, so replays never
-duplicate an event and late ones are never lost; days are summed on read. Both run with ``trigger(availableNow=True)`` for
+(insert-if-absent by key) from ``foreachBatch``, so replays never duplicate
+an event and late ones are never lost; days are summed on read. Both run with ``trigger(availableNow=True)`` for
 scheduled daily jobs; the same code runs continuously with a processing
 trigger.
 """
@@ -91,21 +91,45 @@ def _merge_batch(target_path: str, keys: list[str]):
     return fn
 
 
+def keyed_events(slots: DataFrame) -> DataFrame:
+    """Events with their ``date``, ``month`` and ``event_key``. An event is its
+    event_id on its day (a repeat carries the same ts). A row without event_id
+    is told by its whole content: rows that agree in every column are one
+    event, any others are different ones. Rows without ts are of month 0."""
+    day = F.col("ts").cast("date")
+    content = F.sha2(F.to_json(F.struct(*slots.columns), {"ignoreNullFields": "false"}), 256)
+    key = F.when(F.col("event_id").isNotNull(), F.concat_ws("@", "event_id", F.coalesce(day.cast("string"), F.lit("-"))))
+    return slots.withColumns({"date": day, "month": F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0)),
+                              "event_key": F.coalesce(key, content)})
+
+
+def absent_events(events: DataFrame, target: DataFrame | None) -> DataFrame:
+    """The keyed ``events`` that ``target`` (partitioned by month) lacks, each
+    once. A key holds its day, so only the months of ``events`` are read."""
+    new = events.dropDuplicates(["event_key"])
+    if target is None:
+        return new
+    # One value a month of the calendar that the batch touches.
+    months = [r.month for r in events.select("month").distinct().collect()]
+    return rows_to_insert(new, target.where(F.col("month").isin(months)), ["month", "event_key"])
+
+
 def _insert_batch(target_path: str):
     def fn(batch: DataFrame, _epoch: int) -> None:
-        # One row an event: a day's later events are new rows of their own.
-        events = batch.withColumn("date", F.col("ts").cast("date")).dropDuplicates(["event_id"])
-        current = read_if_exists(batch.sparkSession, target_path)
-        new = events if current is None else rows_to_insert(events, current, ["event_id"])
-        new.write.mode("append").parquet(target_path)
+        # Read for its months and again for its rows: cut once.
+        events = cut_lineage(keyed_events(batch))
+        new = absent_events(events, read_if_exists(batch.sparkSession, target_path))
+        new.write.mode("append").partitionBy("month").parquet(target_path)
     return fn
 
 
 def run_insert_if_absent(spark: SparkSession, path: str, target_path: str | None = None,
                          max_files: int | None = None) -> str:
-    """Stream → per-batch insert-if-absent of events into a parquet table,
-    whichever files, order or days they come in. Running it again over the same
-    files, or over more of them, adds only events the table lacks."""
+    """Stream → per-batch insert-if-absent of events into a parquet table
+    partitioned by month, whichever files, order or days they come in. Running
+    it again over the same files, or over more of them, adds only events the
+    table lacks; a batch cut off in its write is completed by its replay. A
+    batch reads and writes only the months it has events of."""
     run = uuid.uuid4().hex[:12]
     target = target_path or scratch_path(spark, f"insert-{run}/table")
     q = (slot_stream(spark, path, None, max_files).writeStream
