@@ -9,12 +9,16 @@
 * :func:`forecast_run` — forecast features, scoring with probabilities (M6)
   and the MERGE into the forecast table (K6).
 
-Every write is a staged replace or an append of anti-joined rows, so a job
-re-run after a failure produces the same tables (idempotent).
+The feature table is partitioned by ``live`` (1: landed live rows) and
+``month``, the others by ``month``. A refresh rewrites the historical
+partitions and leaves the live files alone; an append compares its rows with
+the months it touches and reads no others; so a daily run costs a day, whatever
+the history. Re-running a job after a failure gives the same tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +36,8 @@ from skyhealth.plans.daily import build_features, join_daily
 from skyhealth.plans.forecast import engineer, require_rows
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
 from skyhealth.session import cut_lineage
-from skyhealth.sources.tables import read_if_exists, replace_partitions, replace_table, write_if_not_empty, write_table
+from skyhealth.sources.tables import (month_of, read_if_exists, refresh_partitions, replace_partitions, write_if_not_empty,
+                                      write_table)
 
 KEYS = ["site_id", "date"]
 FORECAST_KEYS = ["site_id", "forecast_date", "forecast_horizon"]
@@ -62,11 +67,37 @@ class Warehouse:
     def missing(self): return self.path("staging/missing_pollution_dates")   # noqa: E704
 
 
-def _append_new(spark: SparkSession, rows: DataFrame, path: str, keys) -> None:
-    """Append only rows whose key is not in the table yet."""
+GOLD_LAYOUT = ["live", "month"]
+
+
+def laid_out(rows: DataFrame, live: bool = False) -> DataFrame:
+    """Rows with their partition columns (``live`` only for the feature table)."""
+    out = rows.withColumn("month", month_of())
+    return out.withColumn("live", M.is_live().cast("int")) if live else out
+
+
+def touched(table: DataFrame, rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The partitions of ``table`` that ``rows`` has values of: the months and
+    sources of a run, a handful for a daily one, read as partition filters."""
+    for c in partition_by:
+        table = table.where(F.col(c).isin([r[0] for r in rows.select(c).distinct().collect()]))
+    return table
+
+
+def append_new(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Append the rows whose key the table lacks, reading only the
+    partitions they are of; the rows that were new."""
+    rows = cut_lineage(rows)
     current = read_if_exists(spark, path)
-    new = rows if current is None else M.rows_to_insert(rows, current, keys)
-    write_table(new, path, mode="append")
+    new = rows if current is None else cut_lineage(
+        M.rows_to_insert(rows, touched(current, rows, partition_by), [*keys, *partition_by]))
+    write_table(new, path, mode="append", partition_by=partition_by)
+    return new
+
+
+def refresh_historical(gold: DataFrame, path: str) -> None:
+    """K4: the historical partitions become ``gold``; live ones keep their files."""
+    refresh_partitions(cut_lineage(laid_out(gold.select(*GOLD_COLUMNS), live=True)), path, GOLD_LAYOUT, "live=0/month=*")
 
 
 def historical_load(spark: SparkSession, weather_raw: DataFrame, pollution_raw: DataFrame,
@@ -75,17 +106,20 @@ def historical_load(spark: SparkSession, weather_raw: DataFrame, pollution_raw:
     weather = cut_lineage(clean_weather(weather_raw))
     pollution = cut_lineage(clean_pollution(pollution_raw))
     write_if_not_empty(missing_dates(weather, pollution), wh.missing, fmt="parquet")   # K3
-    gold = build_features(join_daily(weather, pollution))
-    current = read_if_exists(spark, wh.features)
-    content = gold if current is None else M.partial_refresh(current, gold)
-    replace_table(spark, content.select(*GOLD_COLUMNS), wh.features)                  # K4
+    refresh_historical(build_features(join_daily(weather, pollution)), wh.features)    # K4
     ef = spark.read.parquet(wh.features)
     existing = read_if_exists(spark, wh.dim_date)
     write_table(dim_from_facts(ef, existing=existing), wh.dim_date, mode="append")     # J7/K8
-    _append_new(spark, ef.select(*KEYS, *WEATHER_COLUMNS, "heat_index", "source"),
-                wh.silver_weather, KEYS)                                               # P17
-    _append_new(spark, ef.select(*KEYS, *POLLUTION_COLUMNS, "pollution_level", "source"),
-                wh.silver_pollution, KEYS)
+    append_new(spark, laid_out(ef.select(*KEYS, *WEATHER_COLUMNS, "heat_index", "source")),
+               wh.silver_weather, KEYS, ["month"])                                     # P17
+    append_new(spark, laid_out(ef.select(*KEYS, *POLLUTION_COLUMNS, "pollution_level", "source")),
+               wh.silver_pollution, KEYS, ["month"])
+
+
+def _predictions(model, todo: DataFrame, features: Sequence[str], run_ts: Column | None) -> DataFrame:
+    scored = R.score(model, todo.drop("health_category"), features, run_ts)
+    return scored.select(*KEYS, *features, F.col("predicted_category").alias("health_category"),
+                         "model_version", *(["predicted_at"] if run_ts is not None else []), month_of().alias("month"))
 
 
 def append_live(spark: SparkSession, weather_today: DataFrame, pollution_today: DataFrame,
@@ -94,26 +128,25 @@ def append_live(spark: SparkSession, weather_today: DataFrame, pollution_today:
     live = classify(live_features(join_daily(weather_today, pollution_today)), "live")
     live = live.select(*[F.col(c) if c in live.columns else F.lit(None).cast("double").alias(c)
                          for c in GOLD_COLUMNS])
-    _append_new(spark, live, wh.features, KEYS + ["source"])                           # K5
+    live = cut_lineage(laid_out(live, live=True))
+    append_new(spark, live, wh.features, [*KEYS, "source"], GOLD_LAYOUT)               # K5
     if model is not None:
-        scored = R.score(model, live.drop("health_category"), features, run_ts)
-        _append_new(spark, scored.select(*KEYS, *features,
-                                         F.col("predicted_category").alias("health_category"),
-                                         "model_version", *(["predicted_at"] if run_ts is not None else [])),
-                    wh.predictions, KEYS)                                              # M7
+        append_new(spark, _predictions(model, live.drop(*GOLD_LAYOUT), features, run_ts),
+                   wh.predictions, KEYS, ["month"])                                    # M7
 
 
 def score_new_days(spark: SparkSession, wh: Warehouse, model, features,
-                   run_ts: Column | None = None) -> None:
-    """J6 → F17 → transform → append (M5)."""
+                   run_ts: Column | None = None, months: Sequence[int] | None = None) -> None:
+    """J6 → F17 → transform → append (M5). ``months`` (yyyymm) bounds a daily
+    run to the months it has rows of, in both tables; without it all are swept."""
     ef = spark.read.parquet(wh.features).where(F.col("date").isNotNull())
     done = read_if_exists(spark, wh.predictions)
-    todo = ef if done is None else M.rows_to_insert(ef, done, KEYS)
-    scored = R.score(model, todo.drop("health_category"), features, run_ts)
-    cols = [*KEYS, *features, F.col("predicted_category").alias("health_category"), "model_version"]
-    if run_ts is not None:
-        cols.append("predicted_at")
-    write_table(scored.select(*cols), wh.predictions, mode="append")
+    if months is not None:
+        ef = ef.where(F.col("month").isin(list(months)))
+        done = None if done is None else done.where(F.col("month").isin(list(months)))
+    todo = ef if done is None else M.rows_to_insert(ef, done, [*KEYS, "month"])
+    write_table(_predictions(model, todo.drop(*GOLD_LAYOUT), features, run_ts), wh.predictions, mode="append",
+                partition_by=["month"])
 
 
 def forecast_run(spark: SparkSession, weather_fc: DataFrame, pollution_fc: DataFrame,

@@ -10,8 +10,9 @@ from skyhealth.operators import merge as M
 from skyhealth.plans.daily import gold_features
 from skyhealth.plans.oracle import GOLD_CHAIN, GOLD_COLS, JOINED, live_case, with_ctes
 from skyhealth.plans.q_rules import LIVE_SQL, live_rows
-from skyhealth.plans.registry import register
-from skyhealth.session import scratch_path
+from skyhealth.plans import jobs
+from skyhealth.plans.registry import ORACLES, register
+from skyhealth.session import cut_lineage, scratch_path
 from skyhealth.sources.tables import write_table
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
 from skyhealth.sources.driver import forecast_log
@@ -84,6 +85,34 @@ def insert_if_absent(spark, sf_dir):
     return M.insert_if_absent(target, live, ["site_id", "date", "source"]).select(*GOLD_COLUMNS)
 
 
+@register("partitioned_refresh", ORACLES["partial_refresh"])
+def partitioned_refresh(spark, sf_dir):
+    """K4 over a stored table by source and month: historical partitions are
+    overwritten or dropped, live ones keep their files."""
+    hist, live = _hist_and_live(spark, sf_dir)
+    m = F.month("date")
+    old = hist.where(m <= 6).unionByName(hist.where(m.between(7, 9)).withColumn("source", F.lit("csv")))
+    old = old.unionByName(live, allowMissingColumns=True).select(*GOLD_COLUMNS)
+    path = scratch_path(spark, f"gold-{uuid.uuid4().hex[:12]}")
+    write_table(jobs.laid_out(old, live=True), path, partition_by=jobs.GOLD_LAYOUT)
+    jobs.refresh_historical(hist, path)
+    return spark.read.parquet(path).select(*GOLD_COLUMNS)
+
+
+@register("partitioned_append", ORACLES["insert_if_absent"])
+def partitioned_append(spark, sf_dir):
+    """K5/J5 over a stored table, run twice: the anti-join and the write touch
+    only the sources and months of the new rows."""
+    hist, live = _hist_and_live(spark, sf_dir)
+    old = hist.unionByName(live.where(F.month("date") <= 6), allowMissingColumns=True).select(*GOLD_COLUMNS)
+    path = scratch_path(spark, f"gold-{uuid.uuid4().hex[:12]}")
+    write_table(jobs.laid_out(old, live=True), path, partition_by=jobs.GOLD_LAYOUT)
+    rows = cut_lineage(jobs.laid_out(hist.limit(0).unionByName(live, allowMissingColumns=True).select(*GOLD_COLUMNS), live=True))
+    for _ in range(2):
+        jobs.append_new(spark, rows, path, ["site_id", "date", "source"], jobs.GOLD_LAYOUT)
+    return spark.read.parquet(path).select(*GOLD_COLUMNS)
+
+
 LATEST_AB = """fa AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY forecast_date, forecast_horizon ORDER BY generated_at DESC, event_id DESC) AS rn
       FROM flog WHERE hour(generated_at) < 12) t WHERE rn = 1),

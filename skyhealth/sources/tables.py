@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +110,37 @@ def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str])
     df.sparkSession.catalog.refreshByPath(target)
 
 
+def month_of(date: Column | str = "date") -> Column:
+    """Partition value of a day: yyyymm, 0 for a row without a date."""
+    d = F.col(date) if isinstance(date, str) else date
+    return F.coalesce(F.year(d) * 100 + F.month(d), F.lit(0)).cast("int")
+
+
+def partition_folders(spark: SparkSession, target: str, pattern: str) -> list[str]:
+    """Partition folders of a stored table that match ``pattern``
+    (``live=0/month=*``), relative to it. Names only; no data is read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{pattern}")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    depth = pattern.count("/") + 1
+    return ["/".join(f.getPath().toString().rstrip("/").split("/")[-depth:]) for f in found]
+
+
+def refresh_partitions(df: DataFrame, target: str, partition_by: Sequence[str], pattern: str) -> None:
+    """K4: the partitions under ``pattern`` become the content of ``df``, which
+    has rows of no others; every other partition keeps its files. Those that
+    ``df`` has no rows of are dropped after the write, so a run that fails
+    before leaves whole old partitions, and its replay ends the work."""
+    spark = df.sparkSession
+    replace_partitions(df, target, partition_by)
+    written = {"/".join(f"{c}={v}" for c, v in zip(partition_by, r)) for r in df.select(*partition_by).distinct().collect()}
+    for folder in partition_folders(spark, target, pattern):
+        if folder not in written:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{folder}")
+            if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True):
+                raise OSError(f"{p.toString()} could not be dropped")
+    spark.catalog.refreshByPath(target)
+
+
 def read_named_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV read by column name, in any order (S1, S2): every column is
     taken as a string, cast with ``try_cast``, and NULL where the file has none."""
