@@ -58,8 +58,9 @@ def median_fill(df: DataFrame, cols: Iterable[str], keys=("site_id",),
     return out.drop(*[f"__key_{k}" for k in keys], *[f"__med_{c}" for c in cols])
 
 
-def clean_weather(raw: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Raw weather (source names, tz-suffixed date string) -> clean daily weather."""
+def clean_weather(raw: DataFrame, keys=("site_id",), fill: bool = True) -> DataFrame:
+    """Raw weather (source names, tz-suffixed date string) -> clean daily weather.
+    ``fill=False`` leaves the medians out, for uses that need the dates alone."""
     df = raw.dropDuplicates()                                   # W3 on the raw row
     df = df.withColumnsRenamed({k: v for k, v in WEATHER_RENAMES.items() if k in df.columns})
     df = keep_existing(df, list(keys) + ["date"] + WEATHER_COLUMNS)   # P2
@@ -67,11 +68,12 @@ def clean_weather(raw: DataFrame, keys=("site_id",)) -> DataFrame:
     df = nan_to_null(df)
     df = df.dropna(subset=[c for c in WEATHER_CRITICAL if c in df.columns])  # P6
     rest = [c for c in df.columns if c not in WEATHER_CRITICAL and c not in keys]
-    return median_fill(df, rest, keys)                          # A5
+    return median_fill(df, rest, keys) if fill else df          # A5
 
 
-def clean_pollution(raw: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Raw air quality (pm2_5, us_aqi, ISO date string) -> clean daily air quality."""
+def clean_pollution(raw: DataFrame, keys=("site_id",), fill: bool = True) -> DataFrame:
+    """Raw air quality (pm2_5, us_aqi, ISO date string) -> clean daily air quality
+    (``fill`` as in ``clean_weather``)."""
     df = raw.dropDuplicates()
     df = df.withColumnsRenamed({k: v for k, v in POLLUTION_RENAMES.items() if k in df.columns})
     df = keep_existing(df, list(keys) + ["date"] + POLLUTION_COLUMNS)
@@ -79,7 +81,7 @@ def clean_pollution(raw: DataFrame, keys=("site_id",)) -> DataFrame:
     df = nan_to_null(df)
     df = df.dropna(subset=["date"])                             # P7
     rest = [c for c in df.columns if c != "date" and c not in keys]
-    return median_fill(df, rest, keys)
+    return median_fill(df, rest, keys) if fill else df
 
 
 def typed_conversion(raw: DataFrame, types: Mapping[str, T.DataType],

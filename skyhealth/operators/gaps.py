@@ -3,7 +3,7 @@
 Every operator is keyed by site. Per-site work is bounded by the calendar
 (one row per site per day), never by raw row counts: raw inputs are reduced
 to distinct (site, date) pairs with partial aggregation before any per-site
-step.
+step. Date sets are bitmaps (U1, U2, J3, A19).
 """
 
 from __future__ import annotations
@@ -22,65 +22,89 @@ def date_set(df: DataFrame, keys=("site_id",)) -> DataFrame:
     return df.select(*keys, "date").where(F.col("date").isNotNull()).distinct()
 
 
-def common_dates(a: DataFrame, b: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Dates present in both inputs."""
-    return date_set(a, keys).intersect(date_set(b, keys))
-
-
 def calendar(start: Column, end: Column) -> Column:
     """One element per day from start to end inclusive; an empty range
     (start after end, e.g. two date sets that do not overlap) gives no rows."""
     return F.explode(F.when(start <= end, F.sequence(start, end, F.expr("INTERVAL 1 DAY"))))
 
 
+# Days are numbered from the first of year 1 and kept as bitmaps of
+# BITMAP_DAYS days, one per key and bucket: what is shuffled is a bitmap a task,
+# not the dates.
+FIRST_DAY = "0001-01-01"
+BITMAP_DAYS = 32_768
+
+
+def day_number(date: Column | str) -> Column:
+    return F.datediff(date, F.lit(FIRST_DAY).cast("date")).cast("long")
+
+
+def date_bitmaps(df: DataFrame, keys=("site_id",)) -> DataFrame:
+    """U4 as bitmaps: per key its first and last day, the number of its days,
+    and ``days``, a map from bucket to bitmap."""
+    keys = list(keys)
+    n = day_number("date") + 1
+    per_bucket = (df.where(F.col("date").isNotNull()).groupBy(*keys, F.bitmap_bucket_number(n).alias("bucket"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("b"), F.min("date").alias("first"), F.max("date").alias("last")))
+    # The calendar bounds a key's buckets (one for 89 years).
+    return per_bucket.groupBy(*keys).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum(F.bitmap_count("b")).alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("bucket", "b"))).alias("days"))
+
+
+def has_day(days: Column, date: Column) -> Column:
+    """Whether a map of bitmaps holds a day."""
+    n = day_number(date)
+    bit = F.pmod(n, F.lit(BITMAP_DAYS))
+    bitmap = F.try_element_at(days, F.floor(n / BITMAP_DAYS).cast("long") + 1)
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))).cast("int") % 2 == 1, F.lit(False))
+
+
+def _both(weather: DataFrame, pollution: DataFrame, keys: list[str]) -> DataFrame:
+    """The bitmaps of both inputs for keys that have either's dates in both."""
+    sides = [date_bitmaps(df, keys).withColumnsRenamed({c: f"{tag}_{c}" for c in ("first", "last", "n", "days")})
+             for tag, df in (("w", weather), ("p", pollution))]
+    return sides[0].join(sides[1], keys, "inner").withColumns({
+        "overlap_start": F.greatest("w_first", "p_first"), "overlap_end": F.least("w_last", "p_last")})
+
+
+def common_dates(a: DataFrame, b: DataFrame, keys=("site_id",)) -> DataFrame:
+    """Dates present in both inputs."""
+    keys = list(keys)
+    both = _both(a, b, keys).select(*keys, "w_days", "p_days", calendar(F.col("overlap_start"), F.col("overlap_end")).alias("date"))
+    return both.where(has_day(F.col("w_days"), F.col("date")) & has_day(F.col("p_days"), F.col("date"))).select(*keys, "date")
+
+
 def overlap_ranges(weather: DataFrame, pollution: DataFrame, keys=("site_id",)) -> DataFrame:
     """Per-site overlap [max(min), min(max)] of the two date sets."""
-    keys = list(keys)
-    w = weather.groupBy(*keys).agg(F.min("date").alias("w_min"), F.max("date").alias("w_max"))
-    p = pollution.groupBy(*keys).agg(F.min("date").alias("p_min"), F.max("date").alias("p_max"))
-    return (w.join(p, keys, "inner")
-            .select(*keys, F.greatest("w_min", "p_min").alias("overlap_start"),
-                    F.least("w_max", "p_max").alias("overlap_end")))
+    return _both(weather, pollution, list(keys)).select(*keys, "overlap_start", "overlap_end")
 
 
 def missing_dates(weather: DataFrame, pollution: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Days of the per-site overlap that have no air-quality row."""
+    """Days of the per-site overlap that have no air-quality row: the
+    calendar of the overlap, tested against the site's bitmap in place."""
     keys = list(keys)
-    rng = overlap_ranges(weather, pollution, keys)
-    expected = rng.select(*keys, calendar(F.col("overlap_start"), F.col("overlap_end")).alias("date"))
-    return expected.join(date_set(pollution, keys), keys + ["date"], "left_anti")
+    expected = _both(weather, pollution, keys).select(
+        *keys, "p_days", calendar(F.col("overlap_start"), F.col("overlap_end")).alias("date"))
+    return expected.where(~has_day(F.col("p_days"), F.col("date"))).select(*keys, "date")
 
 
 def overlap_stats(weather: DataFrame, pollution: DataFrame, keys=("site_id",)) -> DataFrame:
-    """Per-site distinct counts, ranges, common count, overlap and gap size."""
+    """Per-site distinct counts, ranges, common count, overlap and gap
+    size, all counted on the bitmaps."""
     keys = list(keys)
-    wd, pd_ = date_set(weather, keys), date_set(pollution, keys)
-    tagged = (wd.withColumn("in_w", F.lit(1)).withColumn("in_p", F.lit(0))
-              .unionByName(pd_.withColumn("in_w", F.lit(0)).withColumn("in_p", F.lit(1))))
-    per_day = tagged.groupBy(*keys, "date").agg(F.max("in_w").alias("w"), F.max("in_p").alias("p"))
-    s = per_day.groupBy(*keys).agg(
-        F.sum("w").alias("weather_dates"),
-        F.min(F.when(F.col("w") == 1, F.col("date"))).alias("weather_min"),
-        F.max(F.when(F.col("w") == 1, F.col("date"))).alias("weather_max"),
-        F.sum("p").alias("pollution_dates"),
-        F.min(F.when(F.col("p") == 1, F.col("date"))).alias("pollution_min"),
-        F.max(F.when(F.col("p") == 1, F.col("date"))).alias("pollution_max"),
-        F.sum(F.col("w") * F.col("p")).alias("common_dates"))
-    s = s.withColumns({
-        "overlap_start": F.greatest("weather_min", "pollution_min"),
-        "overlap_end": F.least("weather_max", "pollution_max")})
-    s = s.withColumn("expected_days",
-                     F.greatest(F.datediff("overlap_end", "overlap_start") + 1, F.lit(0)))
-    # Pollution days inside the overlap, counted on the tagged per-day table.
-    inside = (per_day.where("p = 1").join(s.select(*keys, "overlap_start", "overlap_end"), keys)
-              .where(F.col("date").between(F.col("overlap_start"), F.col("overlap_end")))
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("p_inside")))
-    s = s.join(inside, keys, "left")
-    s = s.withColumn("missing_days",
-                     (F.col("expected_days") - F.coalesce("p_inside", F.lit(0))).cast("long"))
-    return s.drop("p_inside").withColumns({c: F.col(c).cast("long") for c in
-                                           ["weather_dates", "pollution_dates", "common_dates",
-                                            "expected_days"]})
+    both = _both(weather, pollution, keys)
+    in_overlap = F.when(F.col("overlap_start") <= F.col("overlap_end"),
+                        F.sequence("overlap_start", "overlap_end")).otherwise(F.array().cast("array<date>"))
+    # Days of both lie in the overlap, so its calendar counts them all.
+    count = lambda test: F.size(F.filter("__days", test)).cast("long")
+    return both.withColumn("__days", in_overlap).select(
+        *keys, F.col("w_n").alias("weather_dates"), F.col("w_first").alias("weather_min"), F.col("w_last").alias("weather_max"),
+        F.col("p_n").alias("pollution_dates"), F.col("p_first").alias("pollution_min"), F.col("p_last").alias("pollution_max"),
+        count(lambda d: has_day(F.col("w_days"), d) & has_day(F.col("p_days"), d)).alias("common_dates"),
+        "overlap_start", "overlap_end", F.size("__days").cast("long").alias("expected_days"),
+        count(lambda d: ~has_day(F.col("p_days"), d)).alias("missing_days"))
 
 
 def chunk_dates(dates: DataFrame, size: int = GAP_CHUNK_DAYS, keys=("site_id",)) -> DataFrame:

@@ -6,6 +6,7 @@ totals) are joined as tiny aggregates, never through the driver.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,9 +129,11 @@ def relative_windows(df: DataFrame, presets: Sequence[int] = (7, 30, 90, 180, 36
     the rows themselves (no row multiplication), then the per-key result is
     unpivoted to one row per preset."""
     keys = list(keys)
-    # Each key's max date as a window over its daily rows (bounded by the calendar).
-    j = df.select(*keys, "date", "aqi").withColumn(
-        "__max", F.max("date").over(Window.partitionBy(*keys)))
+    # Each key's last day is an aggregate, joined back: no key is one window.
+    rows = df.select(*keys, "date", "aqi")
+    ends = rows.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(F.max("date").alias("__max"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    j = rows.join(ends, same)
     aggs = []
     for n in presets:
         inside = F.col("date") >= F.date_sub(F.col("__max"), n)

@@ -59,12 +59,12 @@ CLEAN_WEATHER_CHAIN = [WD, W_RAW, W_CLEAN]
 CLEAN_POLLUTION_CHAIN = [PD, P_RAW, P_CLEAN]
 
 
-def clean_weather_df(spark, sf_dir):
-    return clean_weather(weather_raw(spark, sf_dir))
+def clean_weather_df(spark, sf_dir, fill=True):
+    return clean_weather(weather_raw(spark, sf_dir), fill=fill)
 
 
-def clean_pollution_df(spark, sf_dir):
-    return clean_pollution(pollution_raw(spark, sf_dir))
+def clean_pollution_df(spark, sf_dir, fill=True):
+    return clean_pollution(pollution_raw(spark, sf_dir), fill=fill)
 
 
 @register("clean_weather_median_fill", with_ctes(CLEAN_WEATHER_CHAIN, "SELECT * FROM wclean"))

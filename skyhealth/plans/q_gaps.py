@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from skyhealth.operators import gaps
 from skyhealth.plans.oracle import avg_dec, with_ctes
 from skyhealth.plans.q_clean import (CLEAN_POLLUTION_CHAIN, CLEAN_WEATHER_CHAIN, P_COLS,
                                      clean_pollution_df, clean_weather_df)
 from skyhealth.plans.registry import register
-from skyhealth.session import cut_lineage, scratch_path
+from skyhealth.session import scratch_path
 from skyhealth.sources.driver import HOURLY_VALUE_COLUMNS, hourly_air_quality
 from skyhealth.sources.tables import write_if_not_empty
 
@@ -48,9 +46,13 @@ def _fetched_daily(spark, sf_dir):
     return gaps.hourly_to_daily(hourly_air_quality(spark, sf_dir), HOURLY_VALUE_COLUMNS, scale=2)
 
 
-def _missing(spark, sf_dir, pollution=None):
-    return gaps.missing_dates(clean_weather_df(spark, sf_dir),
-                              pollution if pollution is not None else clean_pollution_df(spark, sf_dir))
+def _dated(spark, sf_dir):
+    """Both cleaned inputs for what needs their dates alone (no medians)."""
+    return clean_weather_df(spark, sf_dir, fill=False), clean_pollution_df(spark, sf_dir, fill=False)
+
+
+def _missing(spark, sf_dir):
+    return gaps.missing_dates(*_dated(spark, sf_dir))
 
 
 @register("missing_dates", with_ctes(CLEAN_BOTH + [MISSING], "SELECT site_id, date FROM missing"))
@@ -63,15 +65,13 @@ def missing_date_list(spark, sf_dir):
     """K3: the list is written where it has rows, and read back."""
     path = scratch_path(spark, f"missing-{uuid.uuid4().hex[:12]}")
     missing = _missing(spark, sf_dir)
-    if write_if_not_empty(missing, path, "parquet"):
-        return spark.read.parquet(path)
-    return missing
+    return spark.read.schema(missing.schema).parquet(path) if write_if_not_empty(missing, path, "parquet") else missing.limit(0)
 
 
 @register("common_dates", with_ctes(CLEAN_BOTH, """
 SELECT DISTINCT w.site_id, w.date FROM wclean w JOIN pclean p ON w.site_id = p.site_id AND w.date = p.date"""))
 def common_dates(spark, sf_dir):
-    return gaps.common_dates(clean_weather_df(spark, sf_dir), clean_pollution_df(spark, sf_dir))
+    return gaps.common_dates(*_dated(spark, sf_dir))
 
 
 @register("date_overlap_stats", with_ctes(CLEAN_BOTH + [RANGES], """
@@ -90,7 +90,7 @@ JOIN (SELECT site_id, COUNT(DISTINCT date) AS n, MIN(date) AS mn, MAX(date) AS m
   ON w.site_id = p.site_id
 JOIN rng r ON r.site_id = w.site_id"""))
 def date_overlap_stats(spark, sf_dir):
-    return gaps.overlap_stats(clean_weather_df(spark, sf_dir), clean_pollution_df(spark, sf_dir))
+    return gaps.overlap_stats(*_dated(spark, sf_dir))
 
 
 @register("gap_fetch_chunks", with_ctes(CLEAN_BOTH + [MISSING], """
@@ -127,12 +127,7 @@ gapfilled AS (SELECT k.site_id, k.date, {fills} FROM merged k JOIN gmed m ON k.s
 @register("gap_fill_merge", with_ctes(CLEAN_BOTH + [MISSING, HOURLY, GAP_FILL],
                                       "SELECT * FROM gapfilled"))
 def gap_fill_merge(spark, sf_dir):
-    # The cleaned air-quality table feeds the gap list, the merge and the
-    # medians: stage it once in the shared checkpoint folder (as the
-    # staging table it is) instead of re-deriving it from raw three times.
-    pollution = cut_lineage(clean_pollution_df(spark, sf_dir))
-    return gaps.gap_fill_merge(pollution, _fetched_daily(spark, sf_dir),
-                               _missing(spark, sf_dir, pollution))
+    return gaps.gap_fill_merge(clean_pollution_df(spark, sf_dir), _fetched_daily(spark, sf_dir), _missing(spark, sf_dir))
 
 
 @register("gap_still_missing", with_ctes(CLEAN_BOTH + [MISSING, HOURLY], """
@@ -141,5 +136,3 @@ WHERE NOT EXISTS (SELECT 1 FROM hdaily h WHERE h.site_id = m.site_id AND h.date
 def gap_still_missing(spark, sf_dir):
     return gaps.still_missing(_missing(spark, sf_dir), _fetched_daily(spark, sf_dir))
 
-
-__all__ = ["F"]

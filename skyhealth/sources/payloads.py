@@ -8,7 +8,7 @@ same flattening serves files, Kafka values or table columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,22 +125,30 @@ def latest_record_asof(records: DataFrame, calendar: DataFrame, keys: list[str],
     """For every (key, as_of) day use the record of that day, else the
     latest earlier one (lexicographic file-date order = date order).
 
-    Implemented as a union of calendar and record rows and a per-key
-    ``last(..., ignorenulls)`` window: the per-key group is bounded by the
-    calendar (one row per day).
+    A carry in two levels, so that no key is one window: the last record of
+    each month is an aggregate, the carry over a key's months is a window of one
+    row a month, and inside a month the days are scanned from that carry. Of
+    several records of a day the greatest is used.
     """
-    from pyspark.sql import Window
     payload = [c for c in records.columns if c not in keys and c != record_date]
-    rec = records.select(*keys, F.col(record_date).alias("__d"),
-                         F.struct(F.col(record_date).alias("file_date"), *payload).alias("__r"),
-                         F.lit(1).alias("__is_rec"))
-    cal = calendar.select(*keys, F.col(as_of).alias("__d"),
-                          F.lit(None).cast(rec.schema["__r"].dataType).alias("__r"),
-                          F.lit(0).alias("__is_rec"))
-    w = (Window.partitionBy(*keys).orderBy(F.col("__d"), F.col("__is_rec").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = rec.unionByName(cal).withColumn("__pick", F.last("__r", ignorenulls=True).over(w))
-    return (u.where(F.col("__is_rec") == 0).where(F.col("__pick").isNotNull())
+    month = lambda d: F.year(d) * 12 + F.month(d)                         # noqa: E731
+    rec = records.where(F.col(record_date).isNotNull()).select(
+        *keys, F.col(record_date).alias("__d"), F.struct(F.col(record_date).alias("file_date"), *payload).alias("__r"))
+    rec = rec.withColumn("__m", month("__d"))
+    cal = calendar.select(*keys, F.col(as_of).alias("__d"), month(as_of).alias("__m")).where("__d IS NOT NULL")
+    none = F.lit(None).cast(rec.schema["__r"].dataType)
+    ends = rec.groupBy(*keys, "__m").agg(F.max("__r").alias("__r"))
+    months = ends.unionByName(cal.select(*keys, "__m").distinct().withColumn("__r", none)).groupBy(*keys, "__m").agg(F.max("__r").alias("__r"))
+    by_month = Window.partitionBy(*keys).orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)
+    carry = months.withColumn("__r", F.last("__r", ignorenulls=True).over(by_month)).where("__r IS NOT NULL")
+    # 0: what came before the month, 1: a record, 2: a day that asks.
+    rows = (carry.select(*keys, "__m", F.lit(None).cast("date").alias("__d"), F.lit(0).alias("__k"), "__r")
+            .unionByName(rec.select(*keys, "__m", "__d", F.lit(1).alias("__k"), "__r"))
+            .unionByName(cal.select(*keys, "__m", "__d", F.lit(2).alias("__k"), none.alias("__r"))))
+    in_month = (Window.partitionBy(*keys, "__m").orderBy("__d", "__k", "__r")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    picked = rows.withColumn("__pick", F.last("__r", ignorenulls=True).over(in_month))
+    return (picked.where("__k = 2 AND __pick IS NOT NULL")
             .select(*keys, F.col("__d").alias(as_of), "__pick.*"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,11 +79,19 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
 
 
 def write_if_not_empty(df: DataFrame, target: str, fmt: str = "csv") -> bool:
-    """K3: the missing-date list is only written when it has rows."""
-    if not df.limit(1).take(1):
-        return False
-    write_table(df, target, fmt, options={"header": "true"} if fmt == "csv" else None)
-    return True
+    """K3: the missing-date list is only written when it has rows; an empty one
+    leaves what is there. The rows are computed once, by the write that counts
+    them, next to the target."""
+    spark, written = df.sparkSession, Observation()
+    staged = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+    write_table(df.observe(written, F.count(F.lit(1)).alias("n")), staged, fmt,
+                options={"header": "true"} if fmt == "csv" else None)
+    if written.get["n"]:
+        _swap(spark, staged, target)
+        return True
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return False
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -154,14 +162,18 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     """K4/K7/K8: replace a table's content with ``df``, which may read the
     table itself. The new content is written next to the target, then the
     old directory is swapped out with two renames (Hadoop FileSystem)."""
+    staged = target.rstrip("/") + f".staging-{uuid.uuid4().hex[:12]}"
+    write_table(df, staged, fmt, "overwrite", partition_by)
+    _swap(spark, staged, target, keep_old)
+
+
+def _swap(spark: SparkSession, staged: str, target: str, keep_old: bool = False) -> None:
+    """Put a written folder in a target's place."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     tgt = jvm.org.apache.hadoop.fs.Path(target)
     fs = tgt.getFileSystem(conf)
-    tag = uuid.uuid4().hex[:12]
-    staged = target.rstrip("/") + f".staging-{tag}"
-    write_table(df, staged, fmt, "overwrite", partition_by)
-    old = jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + f".old-{tag}")
+    old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
     had = fs.exists(tgt)
     if had and not fs.rename(tgt, old):
         raise OSError(f"{target} could not be set aside; the new content is in {staged}")
