@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +97,39 @@ def row_count_match(pairs: Mapping[str, tuple[DataFrame, DataFrame]],
     return sides.withColumn("match", same)
 
 
+def _content(df: DataFrame) -> list[Column]:
+    """Rows, an order-independent checksum, and the NULLs of every column."""
+    names = sorted(df.columns)
+    return [F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in names]).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(names)]]
+
+
+def observed_copy(df: DataFrame, path: str) -> Row:
+    """Write ``df`` as Parquet and measure it in that same pass (A17, A18):
+    the metrics are of the rows written, and the source is computed once."""
+    seen = Observation()
+    df.observe(seen, *_content(df)).write.mode("overwrite").parquet(path)
+    return Row(**seen.get)
+
+
+def copies_match(spark: SparkSession, copies: Mapping[str, tuple[Row, DataFrame]]) -> DataFrame:
+    """What was observed while each table was written against what its
+    copy holds: rows, NULLs and checksum."""
+    out = None
+    for name, (seen, copy) in copies.items():
+        held = copy.agg(*_content(copy))
+        nulls = [c for c in held.columns if c.startswith("nulls_")]
+        total = lambda cs: sum(cs, F.lit(0))                              # noqa: E731
+        side = held.select(
+            F.lit(name).alias("table_name"), F.lit(seen["rows"]).cast("long").alias("source_rows"), F.col("rows").alias("target_rows"),
+            F.lit(sum(seen[c] for c in nulls)).cast("long").alias("source_nulls"), total([F.col(c) for c in nulls]).cast("long").alias("target_nulls"),
+            ((F.col("rows") == seen["rows"]) & (F.col("checksum") == seen["checksum"])
+             & F.forall(F.array(*[F.col(c) == seen[c] for c in nulls]), lambda x: x)).alias("match"))
+        out = side if out is None else out.unionByName(side)
+    return out
+
+
 def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("site_id",),
             approximate: bool = False) -> DataFrame:
     """Per key and column — count, NULLs, mean, std, min, quartiles, max.

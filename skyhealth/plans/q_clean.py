@@ -11,7 +11,8 @@ from skyhealth.plans.oracle import PD, WD, with_ctes
 from skyhealth.plans.registry import ORACLES, register
 from skyhealth.session import scratch_path
 from skyhealth.sources.driver import pollution_raw, read_table, weather_raw
-from skyhealth.sources.tables import read_named_csv, read_weather_csv, write_table
+from skyhealth.sources import flat_files
+from skyhealth.sources.tables import read_named_csv, read_pollution_csv, read_weather_csv, write_table
 
 W_NONCRIT = ["pressure", "cloud_cover", "temp_max", "temp_min", "apparent_temp_max",
              "apparent_temp_min", "apparent_temp_mean", "humidity_max", "humidity_min",
@@ -90,6 +91,15 @@ def clean_weather_from_csv(spark, sf_dir):
     return clean_weather(read_weather_csv(spark, path).select(*raw.columns))
 
 
+@register("clean_pollution_from_csv", with_ctes(CLEAN_POLLUTION_CHAIN, "SELECT * FROM pclean"))
+def clean_pollution_from_csv(spark, sf_dir):
+    """S2 → P1-P8 over a landed CSV whose columns come in another order."""
+    raw = pollution_raw(spark, sf_dir)
+    path = scratch_path(spark, f"pollution-csv-{uuid.uuid4().hex[:12]}")
+    write_table(raw.select(*reversed(raw.columns)), path, "csv", options={"header": "true"})
+    return clean_pollution(read_pollution_csv(spark, path).select(*raw.columns))
+
+
 @register("clean_pollution_median_fill", with_ctes(CLEAN_POLLUTION_CHAIN, "SELECT * FROM pclean"))
 def clean_pollution_median_fill(spark, sf_dir):
     return clean_pollution_df(spark, sf_dir)
@@ -115,3 +125,48 @@ def typed_conversion_rejects(spark, sf_dir):
                                         "value": "double"}, row_id="event_id")
     return rejects.select(F.col("event_id").cast("bigint").alias("event_id"),
                           "column_name", "raw_value")
+
+
+ARABIC = {"click": "يوم آمن", "view": "خطر معتدل", "purchase": "كمامة", "signup": "غبار، شديد", "error": "تجنب"}
+FRENCH = {"click": "journée sûre", "view": "modéré", "purchase": "masque", "signup": "poussière — forte", "error": "à éviter"}
+PAGES = {"windows-1256": ARABIC, "windows-1252": FRENCH}
+FLAT_TYPES = {"event_id": "bigint", "label": "string", "value": "double"}
+
+
+def _label_sql():
+    per = " ".join(f"WHEN event_id % 2 = {i} AND event_type = '{k}' THEN '{v}'"
+                   for i, names in enumerate(PAGES.values()) for k, v in names.items())
+    return f"CASE {per} END"
+
+
+def landed_pages(spark, sf_dir):
+    """Events landed as text files in two code pages, half in each: a value
+    that is no number now and then, and records cut short."""
+    e = read_table(spark, sf_dir, "events")
+    found = None
+    for i, (page, names) in enumerate(PAGES.items()):
+        label = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in names.items()])
+        value = F.when(F.col("event_id") % 17 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+        line = F.when(F.col("event_id") % 23 == 0, F.concat_ws(";", "event_id", label)).otherwise(
+            F.concat_ws(";", "event_id", label, value))
+        path = scratch_path(spark, f"flat-{uuid.uuid4().hex[:12]}")
+        flat_files.write_lines(e.where(F.col("event_id") % 2 == i), line, "event_id;label;value", path, page)
+        rows = flat_files.read_flat_file(spark, path, FLAT_TYPES, page, sep=";")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@register("flat_file_rows", f"""
+SELECT event_id, {_label_sql()} AS label, value FROM events WHERE event_id % 17 <> 0 AND event_id % 23 <> 0""")
+def flat_file_rows(spark, sf_dir):
+    """Typed rows of flat files in windows-1256 and windows-1252."""
+    return flat_files.accepted(landed_pages(spark, sf_dir))
+
+
+@register("flat_file_rejects", f"""
+SELECT event_id, CASE WHEN event_id % 23 = 0 THEN '_record' ELSE 'value' END AS column_name,
+  CASE WHEN event_id % 23 = 0 THEN CAST(event_id AS VARCHAR) || ';' || {_label_sql()} ELSE 'n/a' END AS raw_value
+FROM events WHERE event_id % 17 = 0 OR event_id % 23 = 0""")
+def flat_file_rejects(spark, sf_dir):
+    """The cells that do not convert and the records that are cut short."""
+    return flat_files.rejected(landed_pages(spark, sf_dir), "event_id")

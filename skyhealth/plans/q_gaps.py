@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from skyhealth.operators import gaps
 from skyhealth.plans.oracle import avg_dec, with_ctes
 from skyhealth.plans.q_clean import (CLEAN_POLLUTION_CHAIN, CLEAN_WEATHER_CHAIN, P_COLS,
                                      clean_pollution_df, clean_weather_df)
 from skyhealth.plans.registry import register
 from skyhealth.session import scratch_path
+from skyhealth.schemas import HOURLY_COLUMNAR_PAYLOAD
+from skyhealth.sources.payloads import explode_hourly_columnar, read_json
 from skyhealth.sources.driver import HOURLY_VALUE_COLUMNS, hourly_air_quality
 from skyhealth.sources.tables import write_if_not_empty
 
@@ -108,6 +112,21 @@ def hourly_daily_mean(spark, sf_dir):
     return _fetched_daily(spark, sf_dir)
 
 
+@register("hourly_columnar_mean", with_ctes([HOURLY], "SELECT * FROM hdaily"))
+def hourly_columnar_mean(spark, sf_dir):
+    """Landed documents of a site's hours (500 at most) as parallel arrays
+    under ``hourly``; read as JSON files, zipped into rows and averaged."""
+    rows = hourly_air_quality(spark, sf_dir)
+    batch = F.floor(F.monotonically_increasing_id() / 500)
+    docs = rows.withColumn("batch_seq", batch).groupBy("site_id", "batch_seq").agg(
+        F.collect_list(F.struct("time", *HOURLY_VALUE_COLUMNS)).alias("h"))
+    hourly = F.struct(*[F.col(f"h.{c}").alias(c) for c in ["time", *HOURLY_VALUE_COLUMNS]])
+    path = scratch_path(spark, f"hourly-json-{uuid.uuid4().hex[:12]}")
+    docs.select("site_id", "batch_seq", hourly.alias("hourly")).write.json(path)
+    landed = read_json(spark, path, HOURLY_COLUMNAR_PAYLOAD, multiline=False)
+    return gaps.hourly_to_daily(explode_hourly_columnar(landed), HOURLY_VALUE_COLUMNS, scale=2)
+
+
 GAP_FILL = """fetched AS (
   SELECT h.* FROM hdaily h WHERE EXISTS (SELECT 1 FROM missing m WHERE m.site_id = h.site_id AND m.date = h.date)),
 comb AS (

@@ -13,7 +13,7 @@ from skyhealth.plans.q_rules import LIVE_SQL, live_rows
 from skyhealth.plans import jobs
 from skyhealth.plans.registry import ORACLES, register
 from skyhealth.session import cut_lineage, scratch_path
-from skyhealth.sources.tables import write_table
+from skyhealth.sources.tables import drop_versions, publish, write_table
 from skyhealth.schemas import GOLD_COLUMNS, POLLUTION_COLUMNS, WEATHER_COLUMNS
 from skyhealth.sources.driver import forecast_log
 
@@ -168,6 +168,20 @@ def table_copy(spark, sf_dir):
     return spark.read.parquet(path).select(*GOLD_COLUMNS)
 
 
+@register("published_table", ORACLES["partial_refresh"])
+def published_table(spark, sf_dir):
+    """K7, K8: the feature table is published twice, the second time from its
+    own first version; readers go by the catalog's name."""
+    hist, live = _hist_and_live(spark, sf_dir)
+    name = f"features_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(spark, name)
+    first = hist.where(F.month("date") <= 6).unionByName(live, allowMissingColumns=True).select(*GOLD_COLUMNS)
+    publish(spark, first, name, root)
+    kept = publish(spark, M.partial_refresh(spark.table(name), hist).select(*GOLD_COLUMNS), name, root)
+    drop_versions(spark, root, [kept])
+    return spark.table(name)
+
+
 @register("delete_by_predicate", with_ctes(MERGE_CHAIN, f"""
 SELECT {GOLD_COLS} FROM (SELECT {GOLD_COLS} FROM gold UNION ALL SELECT {GOLD_COLS} FROM live_gold) t
 WHERE NOT COALESCE(source = 'api_daily' AND date >= DATE '1998-01-01', FALSE)"""))

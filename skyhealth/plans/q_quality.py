@@ -10,7 +10,7 @@ from skyhealth.functions.rules import category_expr
 from skyhealth.operators import quality as Q
 from skyhealth.operators.merge import copy_table
 from skyhealth.plans.daily import gold_features
-from skyhealth.plans.oracle import GOLD_CHAIN, v1_case, with_ctes
+from skyhealth.plans.oracle import GOLD_CHAIN, GOLD_COLS, v1_case, with_ctes
 from skyhealth.plans.q_clean import CLEAN_WEATHER_CHAIN
 from skyhealth.plans.q_merge import LIVE_GOLD
 from skyhealth.plans.q_rules import LIVE_SQL, live_rows
@@ -105,6 +105,28 @@ def row_count_match(spark, sf_dir):
     return Q.row_count_match(pairs, checksum=True).select("table_name", "source_rows", "target_rows", "match")
 
 
+def _nulls_sql(table):
+    return f"(SELECT CAST(SUM(len(list_filter([{', '.join(f'CAST({c.strip()} AS VARCHAR)' for c in GOLD_COLS.split(','))}], lambda x: x IS NULL))) AS BIGINT) FROM {table})"
+
+
+@register("observed_copies", with_ctes(GOLD_CHAIN + [LIVE_SQL, LIVE_GOLD], f"""
+SELECT *, TRUE AS match FROM (
+  SELECT 'environmental_features' AS table_name, (SELECT COUNT(*) FROM gold) AS source_rows, (SELECT COUNT(*) FROM gold) AS target_rows,
+    {_nulls_sql('gold')} AS source_nulls, {_nulls_sql('gold')} AS target_nulls
+  UNION ALL SELECT 'live_rows', (SELECT COUNT(*) FROM live_gold), (SELECT COUNT(*) FROM live_gold),
+    {_nulls_sql('live_gold')}, {_nulls_sql('live_gold')})"""))
+def observed_copies(spark, sf_dir):
+    """Each table is measured by the write that copies it, and the
+    copy against that."""
+    gold = gold_features(spark, sf_dir)
+    live = gold.limit(0).unionByName(live_rows(spark, sf_dir), allowMissingColumns=True).select(*gold.columns)
+    copies = {}
+    for name, table in (("environmental_features", gold), ("live_rows", live)):
+        path = scratch_path(spark, f"observed-{name}-{uuid.uuid4().hex[:12]}")
+        copies[name] = (Q.observed_copy(table, path), spark.read.parquet(path))
+    return Q.copies_match(spark, copies)
+
+
 PROFILE_COLS = ["temperature", "humidity", "wind", "pressure", "cloud_cover", "temp_max",
                 "temp_min", "humidity_min", "wind_max", "precipitation"]
 

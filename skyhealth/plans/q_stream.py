@@ -6,9 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from skyhealth.plans.oracle import with_ctes
+from skyhealth.plans.q_slots import SLOT_CHAIN
 from skyhealth.plans.registry import register
-from skyhealth.session import scratch_path
-from skyhealth.streaming.rollup import daily_events, run_insert_if_absent, run_rollup
+from skyhealth.session import cut_lineage, scratch_path
+from skyhealth.sources.driver import pollution_slot_payloads, weather_slot_payloads
+from skyhealth.streaming.rollup import daily_events, run_document_rollup, run_insert_if_absent, run_rollup
 
 
 @register("stream_daily_rollup", """
@@ -41,3 +44,32 @@ def stream_insert_if_absent(spark, sf_dir):
     again.coalesce(1).write.mode("append").parquet(landing)
     table = run_insert_if_absent(spark, landing, max_files=1)
     return daily_events(spark.read.parquet(run_insert_if_absent(spark, landing, table)))
+
+
+def _landed_documents(spark, payloads):
+    """Documents in four files, one a range of slot days and a day in ten of
+    them up to five days late, so in a later file than its days."""
+    path = scratch_path(spark, f"documents-{uuid.uuid4().hex[:12]}")
+    day = F.to_date(F.timestamp_seconds(F.get_json_object("payload", "$.list[0].dt").cast("long")))
+    docs = cut_lineage(payloads.select("payload", F.date_add(day, F.when(F.col("event_id") % 10 == 0, F.lit(5)).otherwise(F.lit(0))).alias("landed")))
+    first, last = docs.agg(F.min("landed"), F.max("landed")).first()
+    step = F.floor(F.datediff("landed", F.lit(first)) * 4 / ((last - first).days + 1)) if first else F.lit(0)
+    for i in range(4):
+        docs.where(step == i).select("payload").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+@register("stream_weather_documents", with_ctes(SLOT_CHAIN, "SELECT * FROM wfd"))
+def stream_weather_documents(spark, sf_dir):
+    """X1, S3 → A1: a file a micro-batch, the watermark at eight days."""
+    path = _landed_documents(spark, weather_slot_payloads(spark, sf_dir))
+    out = run_document_rollup(spark, path, "weather", "8 days", max_files=1)
+    return spark.read.parquet(out).drop("month")
+
+
+@register("stream_pollution_documents", with_ctes(SLOT_CHAIN, "SELECT * FROM pfd"))
+def stream_pollution_documents(spark, sf_dir):
+    """X1, S4 → A2."""
+    path = _landed_documents(spark, pollution_slot_payloads(spark, sf_dir))
+    out = run_document_rollup(spark, path, "pollution", "8 days", max_files=1)
+    return spark.read.parquet(out).drop("month")

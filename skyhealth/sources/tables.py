@@ -19,10 +19,10 @@ from skyhealth.schemas import POLLUTION_RAW_SCHEMA, WEATHER_RAW_SCHEMA
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             all_strings: bool = False, encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV with an explicit schema (S1, S2, S10, S11), or every column
-    as a string (flat-file source, S15; e.g. ``encoding="windows-1256"``)."""
-    r = spark.read.option("header", True).option("encoding", encoding)
+             all_strings: bool = False) -> DataFrame:
+    """UTF-8 header CSV with an explicit schema (S1, S2, S10, S11), or every
+    column as a string; files in a code page (S15) are ``flat_files``' matter."""
+    r = spark.read.option("header", True)
     if all_strings:
         return r.option("inferSchema", False).csv(path)
     return r.schema(schema).csv(path) if schema is not None else r.csv(path)
@@ -190,3 +190,32 @@ def _swap(spark: SparkSession, staged: str, target: str, keep_old: bool = False)
         fs.delete(old, True)
     # Readers created after the swap must list the new files, not cached ones.
     spark.catalog.refreshByPath(target)
+
+
+def publish(spark: SparkSession, df: DataFrame, table: str, root: str) -> str:
+    """K7, K8: a new version of a catalog table, whose folder it returns. ``df``
+    (which may read the table) is written whole into a folder of its own under
+    ``root``; only then is the table's location switched to it, one entry of
+    the catalog. A reader has the old version or the new one, and nothing is
+    renamed, so it holds where a rename is a copy. Old folders stay until
+    ``drop_versions``."""
+    folder = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=spark.read.parquet(folder).schema)
+    spark.catalog.refreshTable(table)
+    return folder
+
+
+def drop_versions(spark: SparkSession, root: str, keep: Sequence[str]) -> None:
+    """Delete the version folders under ``root`` but those to ``keep`` (the
+    published one, and any that a running job may still read)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = path(f"{root.rstrip('/')}/v-*")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+    for found in fs.globStatus(p) or []:
+        if found.getPath().getName() not in kept and not fs.delete(found.getPath(), True):
+            raise OSError(f"{found.getPath().toString()} could not be dropped")

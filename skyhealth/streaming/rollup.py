@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyhealth.operators.merge import rows_to_insert, upsert
+from skyhealth.operators.slots import forecast_window, pollution_slots_to_daily, weather_slots_to_daily
+from skyhealth.schemas import POLLUTION_SLOTS_PAYLOAD, WEATHER_SLOTS_PAYLOAD
 from skyhealth.session import cut_lineage, scratch_path
+from skyhealth.sources.payloads import explode_pollution_slots, explode_weather_slots
 from skyhealth.sources.tables import read_if_exists, replace_partitions
 
 EVENTS_SCHEMA = T.StructType([
@@ -79,6 +82,34 @@ def run_rollup(spark: SparkSession, path: str, mode: str = "update",
     return out
 
 
+SLOT_DOCUMENTS = {"weather": (WEATHER_SLOTS_PAYLOAD, explode_weather_slots, weather_slots_to_daily),
+                  "pollution": (POLLUTION_SLOTS_PAYLOAD, explode_pollution_slots, pollution_slots_to_daily)}
+
+
+def document_slots(spark: SparkSession, path: str, kind: str, watermark: str, max_files: int | None = None) -> DataFrame:
+    """Landed forecast documents (S3, S4; a JSON line each) as a stream of
+    their slots, exploded inside the stream, with event time ``ts``."""
+    schema, explode, _ = SLOT_DOCUMENTS[kind]
+    reader = spark.readStream.schema(schema)
+    docs = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).json(path)
+    return explode(docs).withColumn("ts", F.timestamp_seconds("dt")).withWatermark("ts", watermark)
+
+
+def run_document_rollup(spark: SparkSession, path: str, kind: str, watermark: str = "2 days",
+                        max_files: int | None = None) -> str:
+    """X1 over landed documents: the daily records of A1 or A2 per site and
+    run, as the documents come in; the output path. A day is open until the
+    watermark has passed it; a document later than that is too late for it."""
+    run = uuid.uuid4().hex[:12]
+    out, ckpt = scratch_path(spark, f"documents-{run}/out"), scratch_path(spark, f"documents-{run}/ckpt")
+    slots = forecast_window(document_slots(spark, path, kind, watermark, max_files))
+    days = slots.withColumn("w", F.window("ts", "1 day"))
+    daily = SLOT_DOCUMENTS[kind][2](days, keys=("site_id", "run_date", "w")).drop("w")
+    (daily.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).outputMode("update")
+     .foreachBatch(_merge_batch(out, ["site_id", "run_date", "date"])).start().awaitTermination())
+    return out
+
+
 def _merge_batch(target_path: str, keys: list[str]):
     """Upsert of a micro-batch; a replayed batch gives the same table."""
     def fn(batch: DataFrame, _epoch: int) -> None:
