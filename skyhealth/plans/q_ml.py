@@ -131,11 +131,28 @@ def rf_scored_keys(spark, sf_dir):
 SELECT 0 AS bad_sum, 0 AS bad_confidence, 0 AS bad_label""")
 def rf_probability_checks(spark, sf_dir):
     """Forecast scores: probabilities add up to 1, the confidence is the
-    largest of them, and the label is the class that has it."""
+    largest of them, and the label is the class that has it (one outside the
+    known classes is bad)."""
     p = rf_forecast_probs(spark, sf_dir)
     probs = [F.col(c) for c in PROB_COLUMNS.values()]
     top = F.greatest(*probs)
     own = F.coalesce(*[F.when(F.col("predicted_category") == k, F.col(c)) for k, c in PROB_COLUMNS.items()])
     return p.agg(F.count_if(F.abs(sum(probs[1:], probs[0]) - 1) > 1e-3).cast("int").alias("bad_sum"),
                  F.count_if(F.abs(top - F.col("confidence")) > 1e-3).cast("int").alias("bad_confidence"),
-                 F.count_if(own < top - 1e-3).cast("int").alias("bad_label"))
+                 F.count_if(own.isNull() | (own < top - 1e-3)).cast("int").alias("bad_label"))
+
+
+@register("rf_holdout_margin", """SELECT TRUE AS beats_majority""")
+def rf_holdout_margin(spark, sf_dir):
+    """M1-M5 learned something: on the hold-out the forest is right at least
+    half as often again as the commonest class would be, or misses less than a
+    tenth. One trained on shuffled labels is not."""
+    model, features, rows = trained(spark, sf_dir)
+    return holdout_margin(R.score(model, rows.where(F.col("is_test")), features))
+
+
+def holdout_margin(scored):
+    hits = scored.groupBy("health_category").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("health_category") == F.col("predicted_category")).alias("hit"))
+    share = F.sum("hit") / F.sum("n")
+    return hits.agg((share >= F.least(F.lit(0.9), F.max("n") / F.sum("n") * 1.5)).alias("beats_majority"))

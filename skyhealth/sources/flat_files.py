@@ -50,7 +50,8 @@ def read_flat_file(spark: SparkSession, path: str, types: Mapping[str, str], enc
     (column_name, raw_value) with the cells that are present but do not convert;
     a record with too few or too many fields rejects as a whole, as ``_record``.
     Columns that the file lacks are NULL."""
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", BYTES)
+    # A quote inside quotes is doubled.
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", "\"").option("encoding", BYTES)
     columns = reader.csv(path).columns
     names = [f"_c{i}" for i in range(len(columns))]
     raw = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD).schema(
