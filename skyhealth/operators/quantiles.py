@@ -27,25 +27,20 @@ BUCKETS = 256
 
 def _with_intervals(df: DataFrame, cols: Sequence[str], keys: list[str], intervals: DataFrame) -> DataFrame:
     """keys, column_name, v and ``s``: the interval that each value lies in."""
-    own = intervals.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(F.map_from_entries(F.collect_list(
-        F.struct("column_name", "list"))).alias("__s"))
+    # Two intervals for each quantile and column at most.
+    own = intervals.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(
+        F.collect_list(F.struct("column_name", "lo", "hi", "before", "ranks", "total")).alias("__s"))
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
     rows = df.select(*keys, *cols).join(own, same)
 
     def item(c: str) -> Column:
-        v = F.col(c).cast("double")
-        held = F.filter(F.try_element_at("__s", F.lit(c)), lambda s: (s["lo"] <= v) & (v <= s["hi"]))
+        v = F.col(c)
+        held = F.filter("__s", lambda s: (s["column_name"] == c) & (s["lo"] <= v) & (v <= s["hi"]))
         return F.struct(F.lit(c).alias("column_name"), v.alias("v"), F.get(held, F.lit(0)).alias("s"))
 
     return rows.select(*keys, F.inline(F.array(*map(item, cols)))).where("s IS NOT NULL")
 
 
-def _grouped(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    """A key's and column's intervals as a list, two for each quantile at most."""
-    return intervals.groupBy(*keys, "column_name").agg(
-        F.collect_list(F.struct("lo", "hi", "before", "ranks", "total")).alias("list"))
-
-
 def _counted(found: DataFrame, keys: list[str], by: str) -> DataFrame:
     """Counts by ``by`` within each interval, with the number before each and
     the ranks that fall into it."""
@@ -61,7 +56,7 @@ def _counted(found: DataFrame, keys: list[str], by: str) -> DataFrame:
 
 
 def _narrowed(df: DataFrame, cols: Sequence[str], keys: list[str], wide: DataFrame, buckets: int) -> DataFrame:
-    found = _with_intervals(df, cols, keys, _grouped(wide, keys))
+    found = _with_intervals(df, cols, keys, wide)
     # Halves, as the whole width may leave a double's range; the ends are told apart first.
     share = F.try_divide(F.col("v") / 2 - F.col("s.lo") / 2, F.col("s.hi") / 2 - F.col("s.lo") / 2)
     part = F.when(F.col("v") == F.col("s.hi"), F.lit(buckets - 1)).when(F.col("v") == F.col("s.lo"), F.lit(0)).otherwise(
@@ -89,11 +84,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     wide = (F.col("n") > few) & (F.col("lo") < F.col("hi"))
     while not intervals.where(wide).isEmpty():
         intervals = cut_lineage(intervals.where(~wide).unionByName(_narrowed(df, cols, keys, intervals.where(wide), buckets)))
-    one = intervals.where("lo = hi").select(*keys, "column_name", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v"))
-    left = _counted(_with_intervals(df, cols, keys, _grouped(intervals.where("lo < hi"), keys)), keys, "v")
-    left = left.select(*keys, "column_name", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v"))
-    values = one.unionByName(left).groupBy(*keys, "column_name", "total").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("m"))
+    left = _counted(_with_intervals(df, cols, keys, intervals), keys, "v")
+    values = left.select(*keys, "column_name", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v")).groupBy(
+        *keys, "column_name", "total").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("m"))
 
     def quantile(p: float) -> Column:
         x = F.lit(float(p)) * (F.col("total") - 1).cast("double")
