@@ -3,13 +3,16 @@
 The `tokenizers` library encodes the pieces of whole Arrow batches, each piece
 being one match of the split pattern. Its model works on characters, so every byte is mapped to one printable character (the usual
 byte-level table) and the rank file's byte strings are turned into a vocabulary
-and merges over those characters. Decoding reverses the table byte by byte, so
-a character split over several tokens comes back whole.
+and merges over those characters. Decoding joins the ids' characters and takes
+each back to its byte by the reversed table, so a character of the text that is
+split over several tokens comes back whole. Offsets follow from the decoded
+bytes: a token spans every character that it holds a byte of.
 
 Edge cases: a null text is empty (no ids, and the digests of nothing); special
 token strings in a text are ordinary text; repeated rows are encoded each;
-unpaired or unusual characters are just their bytes; only the named columns are
-read.
+unpaired or unusual characters are just their bytes; a very long text is split
+in one piece and encoded by its distinct pieces; an empty table gives no rows;
+an input column that has the name of a new one is returned as ``<name>_input``.
 """
 
 from __future__ import annotations
@@ -81,7 +84,13 @@ class Codec:
         # A piece comes already split, so only its bytes are mapped here.
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.bytes_of = {r: t for t, r in ranks.items()}
+        self.chars_of = {r: chars[t] for t, r in ranks.items()}
+        self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        for t, r in ranks.items():
+            self.size_of[r] = len(t)
+        #: The byte of each character of the table; the characters lie below 512.
+        self.byte_of = np.zeros(512, np.uint8)
+        self.byte_of[[ord(c) for c in letter]] = np.arange(256)
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
@@ -101,20 +110,17 @@ class Codec:
                     yield np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
                 first, size = i + 1, 0
 
-    def offsets(self, text: str) -> tuple[list[int], list[int]]:
+    def decode(self, ids: list[int]) -> bytes:
+        """The bytes of the ids, by the reversed byte table."""
+        chars = "".join(map(self.chars_of.__getitem__, ids)).encode("utf-16-le")
+        return self.byte_of[np.frombuffer(chars, np.uint16)].tobytes()
+
+    def offsets(self, ids: np.ndarray, decoded: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Each token's first and end character in the text; a token that
         holds part of a character spans all of it."""
-        starts, ends, at = [], [], 0
-        pieces = self.pieces(text)
-        for p, e in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            starts += [at + a for a, _ in e.offsets]
-            ends += [at + b for _, b in e.offsets]
-            at += len(p)
-        return starts, ends
-
-    def decode(self, ids: list[int]) -> bytes:
-        """The bytes of the ids; characters split over ids come back whole."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        ends = np.cumsum(self.size_of[ids])
+        begun = np.cumsum((np.frombuffer(decoded, np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+        return begun[ends - self.size_of[ids]] - 1, begun[ends - 1]
 
 
 @functools.cache
@@ -127,31 +133,40 @@ def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def apart(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with its own columns of these names as ``<name>_input``."""
+    return df.withColumnsRenamed({c: f"{c}_input" for c in names if c in df.columns})
+
+
 def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>`` and, if asked, ``starts`` and ``ends``
     (each token's character offsets in its text)."""
     path = path or default_path()
-    cols = [c for c in docs.columns if c not in ("ids", "starts", "ends")]
-    more = {"ids": pa.int32()} | ({"starts": pa.int32(), "ends": pa.int32()} if offsets else {})
+    more = ["ids", "starts", "ends"] if offsets else ["ids"]
+    docs = apart(docs, more)
+    cols = docs.columns
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in small(batches):
             found: dict[str, list] = {c: [] for c in more}
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            found["ids"] = [ids.astype(np.int32) for ids in own.encode(texts)]
-            if offsets:
-                found["starts"], found["ends"] = map(list, zip(*map(own.offsets, texts))) if texts else ([], [])
+            for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
+                found["ids"].append(ids.astype(np.int32))
+                if offsets:
+                    starts, ends = own.offsets(ids, own.decode(ids.tolist()))
+                    found["starts"].append(starts)
+                    found["ends"].append(ends)
             yield pa.RecordBatch.from_pydict(
-                {c: batch[c] for c in cols} | {c: pa.array(v, pa.list_(more[c])) for c, v in found.items()})
+                {c: batch[c] for c in cols} | {c: pa.array(v, pa.list_(pa.int32())) for c, v in found.items()})
 
-    return docs.select(*cols).mapInArrow(over, schema_of(docs, cols, ", ".join(f"{c} array<int>" for c in more)))
+    return docs.mapInArrow(over, schema_of(docs, cols, ", ".join(f"{c} array<int>" for c in more)))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded binary``: the bytes of its ``ids``."""
     path = path or default_path()
-    cols = [c for c in encoded.columns if c != "decoded"]
+    encoded = apart(encoded, ["decoded"])
+    cols = encoded.columns
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
@@ -159,33 +174,37 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             back = [own.decode(ids or []) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in cols} | {"decoded": pa.array(back, pa.binary())})
 
-    return encoded.select(*cols).mapInArrow(over, schema_of(encoded, cols, "decoded binary"))
+    return encoded.mapInArrow(over, schema_of(encoded, cols, "decoded binary"))
 
 
 def digests(docs: DataFrame, keep: list[str], with_ids: bool = False, path: str | None = None) -> DataFrame:
     """Encode and decode in one pass over the batches: the ``keep`` columns,
-    the token count, the digests of ids and of the decoded bytes, and the ids
-    themselves if asked."""
+    the token count, the digests of ids, of the decoded bytes and of the offsets
+    (each token's first and end character, as little-endian 32-bit pairs), and
+    the ids themselves if asked."""
     path = path or default_path()
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in small(batches):
-            n, of_ids, of_text, kept = [], [], [], []
+            n, of_ids, of_text, of_offsets, kept = [], [], [], [], []
             for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                of_text.append(hashlib.sha256(own.decode(ids.tolist())).hexdigest())
+                decoded = own.decode(ids.tolist())
+                of_text.append(hashlib.sha256(decoded).hexdigest())
+                of_offsets.append(hashlib.sha256(np.stack(own.offsets(ids, decoded), axis=1).astype("<i4").tobytes()).hexdigest())
                 if with_ids:
                     kept.append(ids.astype(np.int32))
             yield pa.RecordBatch.from_pydict(
                 {c: batch[c] for c in keep}
                 | {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()),
-                   "decoded_sha256": pa.array(of_text, pa.string())}
+                   "decoded_sha256": pa.array(of_text, pa.string()), "offsets_sha256": pa.array(of_offsets, pa.string())}
                 | ({"ids": pa.array(kept, pa.list_(pa.int32()))} if with_ids else {}))
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, schema_of(
-        docs, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")))
+        docs, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string"
+        + (", ids array<int>" if with_ids else "")))
 
 
 def round_trips(encoded: DataFrame) -> DataFrame:

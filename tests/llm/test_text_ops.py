@@ -62,6 +62,22 @@ def tik():
                              special_tokens={})
 
 
+def plain_offsets(tik, text):
+    """First and end character of each token, byte by byte."""
+    char = [i for i, c in enumerate(text) for _ in c.encode()]
+    out, at = [], 0
+    for token in tik.decode_tokens_bytes(tik.encode_ordinary(text)):
+        out.append((char[at], char[at + len(token) - 1] + 1))
+        at += len(token)
+    return out
+
+
+def test_bpe_keeps_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([("a b", 1, 2)], "text string, ids int, decoded int")
+    row = bpe.decode(bpe.encode(docs)).first()
+    assert (row.ids_input, row.decoded_input, bytes(row.decoded)) == (1, 2, b"a b")
+
+
 def test_bpe_is_tiktokens_and_comes_back(docs_of, tik, sample_docs):
     odd = ODD + [(30, "<|endoftext|> it's\r\n  \x1c\x85 ١٢ ab=====" + " " * 70 + "é́漢字🙂"), (31, "aaa" * 99)]
     for docs, keep in ((docs_of(odd), ["doc_id", "text"]), (sample_docs, ["doc_id", "text"])):
@@ -70,6 +86,7 @@ def test_bpe_is_tiktokens_and_comes_back(docs_of, tik, sample_docs):
             assert r.ids == ids and r.n_tokens == len(ids)
             assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+            assert r.offsets_sha256 == hashlib.sha256(np.array(plain_offsets(tik, r.text or ""), "<i4").tobytes()).hexdigest()
 
 
 def test_bpe_offsets_and_decode(docs_of, no_docs):
