@@ -1,62 +1,70 @@
 """Benchmark decontamination.
 
-The benchmark's normalised word windows are a hash set, broadcast in blocks of
-a fixed size; one pass over the documents looks every window of known words up
-in it, verifies hits word by word, and marks the words hit. Documents are never
-shuffled.
+The benchmark's normalised word windows are a hash set. It is read in blocks of
+bounded text; a block is broadcast, one pass over the documents looks every
+window of known words up in it, verifies hits word by word, and writes the
+words hit, and the broadcast is destroyed before the next. So neither the
+driver nor a worker ever holds more than a block, whatever the benchmark's
+size. Hits are kept by a digest of the text, as they depend on it alone; the
+documents meet them in a join at the end, which moves no text unless asked to.
 
 Edge cases: a null text has no words, so no hits; an empty benchmark hits
 nothing; a null ``item_id`` counts as the empty string; rows repeated in either
-table are judged (documents) or merged by ``item_id`` (items); only the columns
-named here are read, so extra columns cannot clash.
+table are judged (documents) or merged by ``item_id`` (items); a very long text
+is scanned whole, in windows of a slice at a time; an empty table of documents
+gives no rows; only the columns named here are read, so extra columns cannot
+clash.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, small, unpacked
+from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, small, staged, unpacked
 
 WINDOW = 13
 #: Words keep ASCII letters, digits and every non-ASCII character.
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 NORMAL = bytes(b if b in _KEEP else 32 for b in ASCII_LOWER)
-#: Benchmark text held by one broadcast block.
-BLOCK_BYTES = 8 << 20
+#: Benchmark text of one broadcast block, about; twice that at most, or one item.
+BLOCK_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-VERDICT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-           "hits array<struct<first:int,end:int>>, items array<string>")
-
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(NORMAL).split() if text else []
 
 
 class Windows:
-    """The window hash set of one benchmark block: windows by length, each a
-    row of word ids, with the items it occurs in."""
+    """The window hash set of one benchmark block: the distinct windows of each
+    length as rows of word ids, and the items that each occurs in."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
-        found: dict[int, dict[tuple, set[str]]] = {}
-        for item_id, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
+        found: dict[int, list] = {}
+        for item, (_, text) in enumerate(items):
+            ids = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)], np.int32)
             size = min(window, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                found.setdefault(size, {}).setdefault(tuple(ids[i:i + size]), set()).add(item_id)
+            if size:
+                rows = np.lib.stride_tricks.sliding_window_view(ids, size)
+                found.setdefault(size, []).append((rows, np.full(len(rows), item, np.int32)))
+        self.names = [name for name, _ in items]
         self.by_size = {}
-        for size, grams in found.items():
-            rows = np.array(list(grams), np.int32).reshape(-1, size)
+        for size, parts in found.items():
+            rows, item = (np.concatenate(x) for x in zip(*parts))
             hashes = self.hash(rows)
-            order = np.argsort(hashes, kind="stable")
-            self.by_size[size] = hashes[order], rows[order], [sorted(g) for g in np.array(list(grams.values()), object)[order]]
+            order = np.lexsort((item, *rows.T[::-1], hashes))
+            rows, item, hashes = rows[order], item[order], hashes[order]
+            first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
+            self.by_size[size] = hashes[first], rows[first], np.r_[first, len(rows)], item
 
     @staticmethod
     def hash(rows: np.ndarray) -> np.ndarray:
@@ -72,7 +80,7 @@ class Windows:
         gaps = np.flatnonzero(ids == 0)
         known = np.diff(np.r_[-1, gaps, len(ids)]) - 1
         starts = np.r_[0, gaps + 1]
-        for size, (hashes, rows, items) in self.by_size.items():
+        for size, (hashes, rows, first, item) in self.by_size.items():
             long = known >= size
             if not long.any():
                 continue
@@ -89,84 +97,130 @@ class Windows:
                     k = pos[i]
                     while k < len(hashes) and hashes[k] == h[i]:
                         if (rows[k] == seen[i]).all():
-                            yield int(part[i]), size, items[k]
+                            yield int(part[i]), size, sorted({self.names[j] for j in item[first[k]:first[k + 1]]})
                         k += 1
 
 
-def _digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+@functools.lru_cache(maxsize=1)
+def _windows(block: Broadcast, window: int) -> Windows:
+    """A worker builds a block's hash set once and holds one at a time."""
+    return Windows(block.value, window)
+
+
+def digest(text: str | None) -> bytes:
+    return hashlib.sha256((text or "").encode()).digest()
+
+
+HITS = "digest binary, hits array<struct<first:int,end:int>>, items array<string>"
 
 
-def _scan(block: Windows, last: bool, keep: list[str]):
-    """Adds one block's hits to ``hits`` and ``items``; the last block also
-    derives the verdict. ``keep`` are passed through."""
+def _hits(block: Broadcast, window: int):
+    """The words of a text hit by a block, as spans, with the items; texts
+    that have any."""
+    span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = block.vocab.get
+        own = _windows(block, window)
+        get = own.vocab.get
         for batch in small(batches):
             texts = batch["text"].to_pylist()
             ids, first = [], [0]
             for text in texts:
-                words = words_of(text)
-                ids.extend([get(w, 0) for w in words])
+                ids.extend([get(w, 0) for w in words_of(text)])
                 ids.append(0)
                 first.append(len(ids))
             ids, first = np.array(ids, np.int32), np.array(first)
             spans: dict[int, list] = {}
             named: dict[int, set] = {}
-            for at, size, items in block.scan(ids):
+            for at, size, items in own.scan(ids):
                 doc = int(np.searchsorted(first, at, "right")) - 1
                 spans.setdefault(doc, []).append((at - int(first[doc]), at - int(first[doc]) + size))
                 named.setdefault(doc, set()).update(items)
-            old_spans, old_items = batch["hits"].to_pylist(), batch["items"].to_pylist()
-            n_words = np.diff(first) - 1
-            hits, who = [], []
-            for d in range(len(texts)):
-                mine = [(s["first"], s["end"]) for s in old_spans[d] or []] + spans.get(d, [])
-                merged: list[list[int]] = []
-                for a, b in sorted(mine):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], b)
-                    else:
-                        merged.append([a, b])
-                hits.append([{"first": a, "end": b} for a, b in merged])
-                who.append(sorted({*(old_items[d] or []), *named.get(d, ())}))
-            cols = {c: batch[c] for c in keep}
-            if last:
-                n_hit = np.array([sum(s["end"] - s["first"] for s in h) for h in hits], np.int64).reshape(-1)
-                cols |= {"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit),
-                         "n_items": pa.array([len(w) for w in who], pa.int64()),
-                         "items_sha256": pa.array([_digest(w) for w in who], pa.string()),
-                         "contaminated": pa.array((n_hit > 0) & (20 * n_hit >= n_words))}
-            span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
-            cols |= {"hits": pa.array(hits, span), "items": pa.array(who, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_pydict(cols)
+            yield pa.RecordBatch.from_pydict({
+                "digest": pa.array([digest(texts[d]) for d in spans], pa.binary()),
+                "hits": pa.array([[{"first": a, "end": b} for a, b in merged(s)] for s in spans.values()], span),
+                "items": pa.array([sorted(named[d]) for d in spans], pa.list_(pa.string()))})
+
+    return over
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping and adjoining spans as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def _counted(keep: list[str]):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = batch["text"].to_pylist()
+            yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {
+                "n_words": pa.array([len(words_of(t)) for t in texts], pa.int64()), "digest": pa.array(list(map(digest, texts)), pa.binary())})
 
     return over
 
 
+def benchmark_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
+    """The items in blocks of about ``block_bytes`` of text, one at a time: the
+    number of blocks grows until the largest holds twice that at most, or
+    little more than the largest item."""
+    sizes = items.agg(F.sum(F.octet_length("text")).alias("b"), F.max(F.octet_length("text")).alias("most")).first()
+    if sizes.b is None:
+        return
+    n, most = 1 + sizes.b // block_bytes, max(2 * block_bytes, sizes.most + block_bytes)
+    while True:
+        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+        if items.groupBy(block.alias("block")).agg(F.sum(F.octet_length("text")).alias("b")).where(F.col("b") > most).isEmpty():
+            break
+        n *= 2
+    for b in range(n):
+        rows = [(r.item_id, r.text) for r in items.where(block == b).select("item_id", "text").distinct().collect()]
+        if rows:
+            yield rows
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """digest, hits and items (sorted) of every text with a hit, a written table."""
+    spark = docs.sparkSession
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").where("text IS NOT NULL")
+    found = spark.createDataFrame([], HITS)
+    for rows in benchmark_blocks(items, block_bytes):
+        block = spark.sparkContext.broadcast(rows)
+        # Copies of a text within a task are one row; of one text in two tasks, below.
+        one = docs.select("text").mapInArrow(_hits(block, window), HITS)
+        found = found.unionByName(staged(one, "hits"))
+        block.destroy()
+    # Adjoining spans meet again where blocks are put together.
+    spans = F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits"))))
+    last = lambda a: F.element_at(a, -1)                                  # noqa: E731
+    meet = lambda a, s: F.when((F.size(a) > 0) & (s["first"] <= last(a)["end"]), F.concat(                 # noqa: E731
+        F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last(a)["first"].alias("first"), F.greatest(last(a)["end"], s["end"]).alias("end"))))
+    ).otherwise(F.concat(a, F.array(s)))
+    whole = F.aggregate(spans, F.array().cast("array<struct<first:int,end:int>>"), meet)
+    return staged(found.groupBy("digest").agg(whole.alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")), "found")
+
+
 def judge(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every document with its ``keep`` columns, the contract's digest columns,
-    the word spans hit and the items found. ``keep`` may hold ``text``.
-
-    The benchmark is the stated query set: it is read in blocks of about
-    ``block_bytes``, whatever its size, and each block is broadcast alone."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
-    n_blocks = 1 + int(total // block_bytes)
-    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
-    inner = [c for c in dict.fromkeys([*keep, "text"])]
-    out = docs.select(*inner).withColumns({
-        "hits": F.lit(None).cast("array<struct<first:int,end:int>>"),
-        "items": F.lit(None).cast("array<string>")})
-    for b in range(n_blocks):
-        rows = items.where(F.col("block") == b).select("item_id", "text").collect()
-        last = b == n_blocks - 1
-        cols = keep if last else inner
-        schema = schema_of(docs, cols, VERDICT if last else VERDICT.split("boolean, ")[1])
-        out = out.mapInArrow(_scan(Windows([(r.item_id, r.text) for r in rows], window), last, cols), schema)
-    return out
+    the word spans hit and the items found. ``keep`` may hold ``text``."""
+    found = find(docs, benchmark, window, block_bytes).withColumnsRenamed({"digest": "__digest", "hits": "__hits", "items": "__items"})
+    own = packed(docs.select(*dict.fromkeys([*keep, "text"])))
+    counted = own.select("row", "text").mapInArrow(_counted(["row"]), schema_of(own, ["row"], "n_words long, digest binary"))
+    # No hint: a table of hits that its files show to be small is broadcast.
+    c = F.col
+    out = counted.join(found, c("digest") == c("__digest"), "left")
+    hits = F.coalesce(c("__hits"), F.array().cast("array<struct<first:int,end:int>>"))
+    items = F.coalesce(c("__items"), F.array().cast("array<string>"))
+    n_hit = F.aggregate(hits, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
+    return out.select(*[c(f"row.`{k}`").alias(k) for k in keep], "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                      F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                      ((n_hit > 0) & (20 * n_hit >= c("n_words"))).alias("contaminated"), hits.alias("hits"), items.alias("items"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

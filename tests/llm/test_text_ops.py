@@ -185,3 +185,11 @@ def test_phrases_are_the_longest_matches():
 
     for text in (b"abra", b"abracadabra", b"banabra", b"zzz", b"anancadx bana", b"a"):
         assert own.phrases([text])[0, 0] == plain(text, b"abracadabra banana"), text
+
+
+def test_decontamination_blocks_are_bounded(spark):
+    rows = [(str(i), " ".join(f"w{i}x{j}" for j in range(i % 50))) for i in range(400)] + [("900", "long " * 500), ("901", None)]
+    items = spark.createDataFrame(rows, "item_id string, text string").where("text IS NOT NULL")
+    blocks = list(decontaminate.benchmark_blocks(items, 2_000))
+    assert len(blocks) > 20 and sorted(x for b in blocks for x, _ in b) == sorted(i for i, t in rows if t is not None)
+    assert max(sum(len(t) for _, t in b) for b in blocks) <= max(2 * 2_000, 2_500 + 2_000)
