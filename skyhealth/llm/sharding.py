@@ -8,7 +8,7 @@ shards do not depend on the draw. The law held is ``bytes``.
 
 Equal texts have equal hashes, so a group of copies stays in one shard. Only a
 group larger than 1/20 of a shard (there are at most 20 per shard of them) is
-subdivided, by doc_id; so shards differ by at most about 1/20 of the mean plus
+subdivided, by doc_id, and its records say so (``group_split``); so shards differ by at most about 1/20 of the mean plus
 one record.
 
 Edge cases: a null text has size 1 and checksum 0 and groups with the empty
@@ -80,15 +80,18 @@ def quantiles(drawn: pd.DataFrame, parts: int, hot: set[int]) -> pd.DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard (null)."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard (null) and
+    group_split: whether the equal texts of the record are too many to stay
+    together under the law, so that doc_id divides them."""
     # Sizes and hashes only; the passes below never read a text again.
     rows = staged(records(docs), "records")
     totals = rows.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = totals.b or 0, totals.n
-    out = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    out = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "group_split")
     if not n:
         return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"),
-                           F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+                           F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+                           F.lit(False).alias("group_split"))
     # At most shards * WHOLE_GROUP groups can be that large.
     hot = {r.h for r in rows.groupBy("h").agg(F.sum("size").alias("b"))
            .where(F.col("b") * (shards * WHOLE_GROUP) > total).select("h").collect()}
@@ -119,13 +122,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFr
     placed = (rows.withColumn("r", range_of(bounds)).join(F.broadcast(offsets), "r")
               .withColumn("before", F.col("b0") + F.sum("size").over(own.rowsBetween(W.unboundedPreceding, 0)) - F.col("size"))
               .withColumn("place", F.col("n0") + F.row_number().over(own) - 1))
-    start = F.when(F.col("h").isin(sorted(hot)), F.col("before")).otherwise(F.min("before").over(group)) if hot \
-        else F.min("before").over(group)
+    split = F.col("h").isin(sorted(hot)) if hot else F.lit(False)
+    start = F.when(split, F.col("before")).otherwise(F.min("before").over(group))
     placed = placed.withColumn("shard", F.floor(start * shards / F.lit(total)).cast("int"))
     first = placed.groupBy("shard").agg(F.min("place").alias("p0"))
     return (placed.join(F.broadcast(first), "shard")
             .withColumn("law", F.lit("bytes")).withColumn("slot", F.col("place") - F.col("p0"))
-            .withColumn("grown_shard", F.lit(None).cast("int")).select(*out))
+            .withColumn("grown_shard", F.lit(None).cast("int")).withColumn("group_split", split).select(*out))
 
 
 def _ordinal(keys: pd.DataFrame) -> np.ndarray:
@@ -159,6 +162,7 @@ s AS (
   SELECT *, CAST(floor(CASE WHEN group_size * 320 > total THEN before ELSE min(before) OVER (PARTITION BY h) END
                        * 16 / total) AS INTEGER) AS shard FROM o)
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
-       CAST(row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard,
+       group_size * 320 > total AS group_split
 FROM s
 """

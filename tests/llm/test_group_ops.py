@@ -227,6 +227,11 @@ def test_sharding(docs_of, no_docs, sample_docs, ranges):
         sizes[r.shard] += r.size
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(16))
+    together = defaultdict(set)
+    for r in got:
+        together[r.size, r.text_crc32, r.group_split].add(r.shard)
+    assert all(len(shards) == 1 for (_, _, split), shards in together.items() if not split)
+    assert {r.group_split for r in got if (r.doc_id or 0) >= 1000} == {True}
     whole = [r for r in rows if r[0] != 8]
     got = sharding.shard(docs_of(whole), ranges=ranges).collect()
     sizes = Counter()
