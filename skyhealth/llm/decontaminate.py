@@ -28,12 +28,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, small, staged, unpacked
+from skyhealth.llm.common import ASCII_LOWER, packed, small, staged, unpacked
 
 WINDOW = 13
 #: Words keep ASCII letters, digits and every non-ASCII character.
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 NORMAL = bytes(b if b in _KEEP else 32 for b in ASCII_LOWER)
+#: A word before lower-casing, as ``words_of`` finds them.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Benchmark text of one broadcast block, about; twice that at most, or one item.
 BLOCK_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -155,16 +157,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _counted(keep: list[str]):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            texts = batch["text"].to_pylist()
-            yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {
-                "n_words": pa.array([len(words_of(t)) for t in texts], pa.int64()), "digest": pa.array(list(map(digest, texts)), pa.binary())})
-
-    return over
-
-
 def benchmark_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
     """The items in blocks of about ``block_bytes`` of text, one at a time: the
     number of blocks grows until the largest holds twice that at most, or
@@ -211,7 +203,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
     the word spans hit and the items found. ``keep`` may hold ``text``."""
     found = find(docs, benchmark, window, block_bytes).withColumnsRenamed({"digest": "__digest", "hits": "__hits", "items": "__items"})
     own = packed(docs.select(*dict.fromkeys([*keep, "text"])))
-    counted = own.select("row", "text").mapInArrow(_counted(["row"]), schema_of(own, ["row"], "n_words long, digest binary"))
+    # In the JVM, so a text that is kept does not pass through Python again.
+    text = F.coalesce(F.col("text"), F.lit(""))
+    counted = own.select("row", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.unhex(F.sha2(text, 256)).alias("digest"))
     # No hint: a table of hits that its files show to be small is broadcast.
     c = F.col
     out = counted.join(found, c("digest") == c("__digest"), "left")
