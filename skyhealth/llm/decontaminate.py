@@ -25,17 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import ASCII_LOWER, packed, small, staged, unpacked
+from skyhealth.llm.common import ASCII_LOWER, packed, schema_of, small, staged, unpacked
 
 WINDOW = 13
 #: Words keep ASCII letters, digits and every non-ASCII character.
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 NORMAL = bytes(b if b in _KEEP else 32 for b in ASCII_LOWER)
-#: A word before lower-casing, as ``words_of`` finds them.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Benchmark text of one broadcast block, about; twice that at most, or one item.
 BLOCK_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -113,7 +111,7 @@ def digest(text: str | None) -> bytes:
     return hashlib.sha256((text or "").encode()).digest()
 
 
-HITS = "digest binary, hits array<struct<first:int,end:int>>, items array<string>"
+HITS = "digest binary, n_words long, hits array<struct<first:int,end:int>>, items array<string>"
 
 
 def _hits(block: Broadcast, window: int):
@@ -140,6 +138,7 @@ def _hits(block: Broadcast, window: int):
                 named.setdefault(doc, set()).update(items)
             yield pa.RecordBatch.from_pydict({
                 "digest": pa.array([digest(texts[d]) for d in spans], pa.binary()),
+                "n_words": pa.array([int(first[d + 1] - first[d]) - 1 for d in spans], pa.int64()),
                 "hits": pa.array([[{"first": a, "end": b} for a, b in merged(s)] for s in spans.values()], span),
                 "items": pa.array([sorted(named[d]) for d in spans], pa.list_(pa.string()))})
 
@@ -157,6 +156,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _counted(keep: list[str]):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = batch["text"].to_pylist()
+            yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | {
+                "n_words": pa.array([len(words_of(t)) for t in texts], pa.int64()), "digest": pa.array(list(map(digest, texts)), pa.binary())})
+
+    return over
+
+
 def benchmark_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
     """The items in blocks of about ``block_bytes`` of text, one at a time: the
     number of blocks grows until the largest holds twice that at most, or
@@ -177,7 +186,7 @@ def benchmark_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """digest, hits and items (sorted) of every text with a hit, a written table."""
+    """digest, n_words, hits and items (sorted) of every text with a hit, a written table."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").where("text IS NOT NULL")
     found = spark.createDataFrame([], HITS)
@@ -194,33 +203,43 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
         F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last(a)["first"].alias("first"), F.greatest(last(a)["end"], s["end"]).alias("end"))))
     ).otherwise(F.concat(a, F.array(s)))
     whole = F.aggregate(spans, F.array().cast("array<struct<first:int,end:int>>"), meet)
-    return staged(found.groupBy("digest").agg(whole.alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")), "found")
+    return staged(found.groupBy("digest").agg(F.max("n_words").alias("n_words"), whole.alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")), "found")
+
+
+def words_hit(hits: Column) -> Column:
+    return F.aggregate(hits, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
+
+
+def contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every document with its ``keep`` columns, the contract's digest columns,
     the word spans hit and the items found. ``keep`` may hold ``text``."""
-    found = find(docs, benchmark, window, block_bytes).withColumnsRenamed({"digest": "__digest", "hits": "__hits", "items": "__items"})
+    found = find(docs, benchmark, window, block_bytes).drop("n_words").withColumnsRenamed({"digest": "__digest", "hits": "__hits", "items": "__items"})
     own = packed(docs.select(*dict.fromkeys([*keep, "text"])))
-    # In the JVM, so a text that is kept does not pass through Python again.
-    text = F.coalesce(F.col("text"), F.lit(""))
-    counted = own.select("row", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    counted = own.select("row", "text").mapInArrow(_counted(["row"]), schema_of(own, ["row"], "n_words long, digest binary"))
     # No hint: a table of hits that its files show to be small is broadcast.
     c = F.col
     out = counted.join(found, c("digest") == c("__digest"), "left")
     hits = F.coalesce(c("__hits"), F.array().cast("array<struct<first:int,end:int>>"))
     items = F.coalesce(c("__items"), F.array().cast("array<string>"))
-    n_hit = F.aggregate(hits, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
+    n_hit = words_hit(hits)
     return out.select(*[c(f"row.`{k}`").alias(k) for k in keep], "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                       F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-                      ((n_hit > 0) & (20 * n_hit >= c("n_words"))).alias("contaminated"), hits.alias("hits"), items.alias("items"))
+                      contaminated(n_hit, c("n_words")).alias("contaminated"), hits.alias("hits"), items.alias("items"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without the contaminated ones, columns unchanged."""
-    kept = judge(packed(docs), benchmark, ["row"], window).where(~F.col("contaminated"))
-    return unpacked(kept, docs.columns)
+    found = find(docs, benchmark, window)
+    bad = found.where(contaminated(words_hit(F.col("hits")), F.col("n_words"))).select(F.col("digest").alias("__digest"))
+    # Digests in the JVM: the kept texts do not pass through Python again.
+    own = packed(docs)
+    same = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)) == F.col("__digest")
+    return unpacked(own.join(bad, same, "left_anti"), docs.columns)
 
 
 SQL = r"""
