@@ -6,13 +6,15 @@ language's sample; few phrases mean a close language. The count is normalised
 by the bits a phrase costs (log2 of the sample's length), and the language with
 the least wins, ties by name. Texts are cut in blocks of ``BLOCK`` symbols and
 the blocks of a batch are parsed side by side, one symbol a step, so that the
-walk over the automata is vectorised; every block of every text is parsed.
+walk over the automata is vectorised. A block that began inside a phrase is then
+walked again from the state its predecessor ended in, until the two walks meet,
+so the count of a text of any length is that of its one parse from left to right.
 
 Only text and lang of the learning rows are used; a prediction sees the text
 alone. Edge cases: null text or text without a letter is ``und`` with score 0;
 rows with null lang are not learned from; without any learning row everything is
-``und``; with one language its score is 1; repeated rows are predicted each;
-only the named columns are read.
+``und``; with one language its score is 1; repeated rows are predicted each; an
+empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -125,6 +127,10 @@ class Model:
         # Full blocks first, so that the rest can drop out as they end.
         length = (grid != 0).sum(axis=1)
         order = np.argsort(-length, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        # The block of the same text before each one, -1 for a text's first.
+        before = np.where((order > 0) & (owner[order] == owner[order - 1]), place[order - 1], -1)
         grid, owner, length = np.ascontiguousarray(grid[order].T), owner[order], length[order]
         alive = len(owner) - np.searchsorted(length[::-1], np.arange(BLOCK), "right")
         for k, table in enumerate(self.tables):
@@ -136,8 +142,34 @@ class Model:
                 step = table[state[:n] * np.int32(self.width) + grid[t, :n]]
                 count[:n] += step >> 30
                 state[:n] = step & (FRESH - 1)
+            self._join(table, grid, length, before, state, count)
             np.add.at(out[:, k], owner, count)
 
+    def _join(self, table: np.ndarray, grid: np.ndarray, length: np.ndarray, before: np.ndarray, end: np.ndarray,
+              count: np.ndarray) -> None:
+        """Corrects ``count`` and ``end`` of blocks walked from the root to those
+        of a walk from their predecessors' ends. Where the old and the new walk
+        come to one state, the rest of the block is the same."""
+        entered, width = np.zeros_like(end), np.int32(self.width)
+        while True:
+            start = np.where(before >= 0, end[before], 0).astype(np.int32)
+            rows = np.flatnonzero(start != entered)
+            if not len(rows):
+                return
+            was, now = entered[rows], start[rows]
+            entered[rows] = now
+            t = 0
+            while len(rows):
+                symbol = grid[t, rows]
+                was, now = table[was * width + symbol], table[now * width + symbol]
+                count[rows] += (now >> 30) - (was >> 30)
+                was, now = was & (FRESH - 1), now & (FRESH - 1)
+                t += 1
+                over = length[rows] == t
+                end[rows[over]] = now[over]
+                apart = (was != now) & ~over
+                rows, was, now = rows[apart], was[apart], now[apart]
+
 
 _held: dict[tuple, Model] = {}
 

@@ -1,6 +1,7 @@
 """Decontamination, BPE, token counts, quality and language against plain Python."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -169,22 +170,42 @@ def test_language(spark, odd, no_docs, docs_of):
     assert {r.lang_pred for r in language.identify(docs_of([(i, "abc", None) for i in range(5)])).collect()} == {"und"}
 
 
-def test_phrases_are_the_longest_matches():
-    own = language.Model((("a", b"abracadabra banana"),))
+def plain_phrases(text, sample):
+    n, i = 0, 0
+    while i < len(text):
+        size = 1
+        while i + size < len(text) and text[i:i + size + 1] in sample:
+            size += 1
+        n, i = n + 1, i + size
+    return n
 
-    def plain(text, sample):
-        n, i = 0, 0
-        while i < len(text):
-            size = 1
-            while i + size < len(text) and text[i:i + size + 1] in sample:
-                size += 1
-            if text[i:i + 1] not in sample:
-                size = 1
-            n, i = n + 1, i + size
-        return n
 
+def test_phrases_are_the_longest_matches():
+    own = language.Model((("a", b"abracadabra banana"),))
     for text in (b"abra", b"abracadabra", b"banabra", b"zzz", b"anancadx bana", b"a"):
-        assert own.phrases([text])[0, 0] == plain(text, b"abracadabra banana"), text
+        assert own.phrases([text])[0, 0] == plain_phrases(text, b"abracadabra banana"), text
+
+
+@pytest.mark.parametrize("block", [1, 5, 64, language.BLOCK])
+def test_phrases_run_on_over_blocks(monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK", block)
+    rnd = np.random.default_rng(7)
+    samples = (("a", bytes(rnd.choice(list(b"abc "), 400).tolist())), ("b", b"ab" * 150), ("c", b"x"))
+    texts = [bytes(rnd.choice(list(b"abc d"), n).tolist()) for n in (0, 1, 4, 5, 6, 63, 64, 65, 700, 3000)]
+    texts += [b"ab" * 1200, samples[0][1] * 8, b"", samples[0][1][100:390] * 5, b"a", b"x" * 2049]
+    got = language.Model(samples).phrases(texts)
+    assert got.tolist() == [[plain_phrases(t, s) for _, s in samples] for t in texts]
+
+
+def test_language_of_a_text_is_that_of_fewest_phrases(spark, docs_of, sample_docs):
+    samples = language.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), 2000)
+    texts = [r.text for r in sample_docs.select("text").limit(40).collect()]
+    rows = [(i, t) for i, t in enumerate([*texts, " ".join(texts), "é", "x" * 5000, texts[0] * 20])]
+    for r in language.predict(docs_of(rows), samples, ["text"]).collect():
+        words = re.sub(rb"[^a-z\x80-\xff]+", b" ", r.text.lower().encode()).strip()
+        cost = sorted((plain_phrases(words, s) * math.log2(len(s)), name) for name, s in samples)
+        assert r.lang_pred == cost[0][1]
+        assert r.score == pytest.approx(cost[1][0] / (cost[0][0] + cost[1][0]))
 
 
 def test_decontamination_blocks_are_bounded(spark):
