@@ -102,14 +102,35 @@ def test_bpe_offsets_and_decode(docs_of, no_docs):
 
 @pytest.mark.parametrize("block_tokens", [7, 64, 1 << 18])
 def test_token_counts_match_encoding(docs_of, tik, block_tokens):
-    rows = [r for r in ODD if r[0] not in (4, 9, None)]
-    got = token_counts.count(token_counts.flat_blocks(docs_of(rows).coalesce(2), block_tokens=block_tokens)).collect()
-    assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((i, len(tik.encode_ordinary(t or ""))) for i, t in rows)
+    # With many small blocks, one shorter very long text.
+    rows = [(i, t[:3000] if t and block_tokens < 1000 else t) for i, t in ODD]
+    got = token_counts.of_documents(docs_of(rows).coalesce(2), block_tokens=block_tokens).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((i, len(tik.encode_ordinary(t or ""))) for i, t in rows)
     for f in {r.file_id for r in got}:
         own = sorted(r.doc_no for r in got if r.file_id == f)
         assert own == list(range(len(own)))
 
 
+def test_token_counts_of_no_documents(no_docs):
+    assert token_counts.of_documents(no_docs).count() == 0
+
+
+def test_token_counts_of_a_file_over_two_gigabytes(spark, tmp_path):
+    size = (1 << 31) + 4_000_000
+    with open(tmp_path / "large file", "wb") as f:  # sparse
+        for at in (10, 1 << 31, size - 2):
+            f.seek(at)
+            f.write(np.array([token_counts.END_OF_DOCUMENT], "<u2").tobytes())
+    got = token_counts.count(token_counts.read_files(spark, str(tmp_path), block_tokens=1 << 22)).orderBy("doc_no").collect()
+    assert [(r.doc_no, r.n_tokens) for r in got] == [(0, 5), (1, (1 << 30) - 6), (2, 2_000_000 - 2)]
+
+
+def test_token_blocks_keep_columns_of_their_own_names(spark):
+    blocks = spark.createDataFrame([(1, 0, bytearray(b"\x01\x00"), 5, "p")], "file_id long, block_no long, tokens binary, n_sep int, pieces string")
+    row = token_counts.scan_blocks(blocks).first()
+    assert (row.n_sep_input, row.pieces_input, row.n_sep, row.pieces) == (5, "p", 0, [1])
+
+
 def test_token_counts_of_real_files(spark, tmp_path):
     end = token_counts.END_OF_DOCUMENT
     files = {"a": [5] * 10 + [end, end] + [7] * 3, "b": [end], "c": [1] * 23 + [end] + [2] * 40 + [end], "d": []}
