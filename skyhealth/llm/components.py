@@ -29,19 +29,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("a <> b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (smallest node of its component) of every node in
     ``edges`` (columns a, b). The rounds end when nothing moves, which takes
     about log2 of the longest path; every round is a written table."""
     edges = staged(edges.select("a", "b").where("a <> b").distinct(), "edges")
     before = _state(edges)
-    for _ in range(rounds):
+    while True:
         edges = staged(_small_star(_large_star(edges)).select("a", "b"), "edges")
         now = _state(edges)
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
