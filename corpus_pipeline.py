@@ -2,6 +2,13 @@
 
 Every stage gets what its predecessor kept, written as Parquet and read again.
 All but the last return the columns of documents; the last returns token ids.
+A stage's input is deleted once its output is written whole.
+
+Edge cases: a null text, or one without a letter, has no language and goes in
+the first stage; near copies, repeated rows included, become one row; a text cut
+to nothing stays, as an empty one; very long texts are judged and encoded whole;
+an empty table gives no rows; extra columns are carried up to the last stage,
+whatever their names, which returns its own columns only.
 """
 
 from __future__ import annotations
@@ -9,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyhealth.llm import bpe, decontaminate, language, simhash, suffix_dedup
-from skyhealth.llm.common import read_table, staged
+from skyhealth.llm.common import discarded, read_table, staged, staging_path
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, held = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = staging_path(spark, name)
+        docs = staged(stage(spark, docs, sf_dir), name, path)
+        discarded(docs, held)
+        held = path
     return STAGES[-1][1](spark, docs, sf_dir)

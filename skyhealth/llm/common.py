@@ -23,14 +23,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back:
-    cuts the lineage, and every executor can read it."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+def staging_path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` (or at ``path``)
+    and read it back: cuts the lineage, and every executor can read it."""
+    path = path or staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame, path: str | None) -> None:
+    """Deletes a staged table that no later step reads."""
+    if path:
+        p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns as one struct ``row``, so that no name of theirs can clash
     with an operator's, beside ``text``."""
