@@ -17,7 +17,8 @@ with the same number belong to the same prefix step; a turn row repeated in a
 conversation counts as often as it occurs; a null role renders as ``unknown``
 and a null text as nothing, though both differ from the empty string in the
 hashes; a null conv_id is a conversation of its own; an empty table gives no
-rows; only the named columns are read.
+rows; a very long text is rendered whole, in its one row; only the named columns
+are read.
 """
 
 from __future__ import annotations

@@ -20,8 +20,9 @@ a text starts in a context of byte 0. Words are counted by a 64-bit hash.
 
 Edge cases: a null text is empty and costs its end symbol; a null doc_id is not
 held out; without training rows every symbol costs eight bits and every count
-is 0; repeated rows are counted and scored each; an empty table gives no rows;
-only the named columns are read.
+is 0; repeated rows are counted and scored each; a text longer than a
+block is a block of its own; an empty table gives no rows; only the named columns
+are read.
 """
 
 from __future__ import annotations

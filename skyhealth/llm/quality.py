@@ -10,7 +10,7 @@ no shuffle and no Python.
 Edge cases: a null text has no words, so it fails the base rule and its cleaned
 text is empty; lines without a word are dropped from the cleaned text and count
 for nothing; very long texts are arrays of their own row only; repeated rows
-are judged each; only the named columns are read.
+are judged each; an empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ subdivided, by doc_id, and its records say so (``group_split``); so shards diffe
 one record.
 
 Edge cases: a null text has size 1 and checksum 0 and groups with the empty
-text; null doc_ids sort first; repeated rows are placed one by one; an empty
+text; null doc_ids sort first; repeated rows are placed one by one; a very
+long text is one record, and no shard can hold less than it; an empty
 table gives no rows; only the named columns are read.
 """
 

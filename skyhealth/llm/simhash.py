@@ -11,8 +11,9 @@ join. Components of the links are found by star contraction.
 
 Edge cases: documents without words (null or empty text) share fingerprint zero
 and link like any other; a null doc_id is never a component's name unless the
-component has no other; repeated rows keep a row each; an empty table gives no
-rows; only doc_id and text are read.
+component has no other; repeated rows keep a row each; a very long text is one
+fingerprint like any other; an empty table gives no rows; only doc_id and text
+are read.
 """
 
 from __future__ import annotations

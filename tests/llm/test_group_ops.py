@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -133,7 +134,7 @@ def plain_components(rows, bits=3):
 
 
 def test_simhash(docs_of, sample_docs, no_docs):
-    rows = [tuple(r) for r in sample_docs.select("doc_id", "text").collect()] + [(500 + i if i else None, t) for i, t in [r for r in ODD if r[0] != 8]]
+    rows = [tuple(r) for r in sample_docs.select("doc_id", "text").collect()] + [(500 + i if i else None, t) for i, t, *_ in ODD]
     got = simhash.near_duplicates(docs_of(rows), ["doc_id"]).collect()
     want = plain_components(rows)
     assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter((r[0], *w) for r, w in zip(rows, want))
@@ -192,11 +193,14 @@ def test_chat(spark):
     say(8, long, first=510)                          # over a segment border
     say(None, [("user", "a")])
     rows += [(9, 0, "user", "a"), (9, 0, "user", "a"), (10, None, None, "x"), (10, 1, "user", "y"), (11, None, None, "x")]
-    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnRenamed("x", "n")
+    rows += [(12, 0, "user", "z" * 300_000), (12, 1, "assistant", "")]
+    turns = spark.createDataFrame([(*r, 1, "x", None, 7) for r in rows], "conv_id long, turn long, role string, text string, "
+                                  "segment int, rendered string, copies string, n_turns int")
     kept = {r.conv_id: (r.n_turns, r.copies) for r in chat.maximal(turns).collect()}
-    assert kept == {4: (4, 2), 6: (2, 1), 7: (3, 1), 8: (4, 1), 9: (2, 1), 10: (2, 1)}
+    assert kept == {4: (4, 2), 6: (2, 1), 7: (3, 1), 8: (4, 1), 9: (2, 1), 10: (2, 1), 12: (2, 1)}
     out = chat.format_chats(turns).collect()
     assert {(r.conv_id, r.segment) for r in out} >= {(8, 0), (8, 1), (4, 0)}
+    assert next(r for r in out if r.conv_id == 12).rendered.count("z") == 300_000
     four = next(r for r in out if r.conv_id == 4)
     assert four.rendered == "<|user|>\na\n<|end|>\n<|assistant|>\nb\n<|end|>\n<|user|>\nc\n<|end|>\n<|assistant|>\n\n<|end|>\n"
     assert chat.format_chats(turns.limit(0)).count() == 0
@@ -294,6 +298,8 @@ def test_scores(docs_of, no_docs):
     words = ["Alpha", "beta", "gamma", "déjà", "vu"]
     rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 25)))) for i in range(30)] + [
         (None, "alpha"), (40, None), (41, ""), (42, " \t\x00 unseen"), (42, "ALPHA beta"), (42, "ALPHA beta")]
+    # One text longer than a block of 500 bytes.
+    rows += [(None if i is None else 500 + i, t[:1500] if t else t) for i, t in ODD]
     docs = docs_of(rows)
     for block_bytes in (context_tree.BLOCK_BYTES, 500):
         got = context_tree.score(docs, block_bytes=block_bytes).collect()
@@ -336,4 +342,7 @@ def test_pipeline_runs(spark, sf_small, tmp_path):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     firsts = {w[1] for w in plain_components(rows)}
     assert {r.doc_id for r in out} <= firsts
+    # Of the stages' tables only the one that the result reads is left.
+    left = {p.name.rsplit("-", 1)[0] for p in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).iterdir()}
+    assert "benchmark_decontamination" in left and not left & {name for name, _ in corpus_pipeline.STAGES[:-2]}
     assert len(out) >= 0.9 * len(firsts)
