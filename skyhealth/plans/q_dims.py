@@ -55,7 +55,7 @@ SELECT d.is_weekend, d.day_of_week, COUNT(*) AS days, round_even(round_even(AVG(
 FROM gold g JOIN dim d ON g.date = d.date GROUP BY d.is_weekend, d.day_of_week"""))
 def fact_by_weekend(spark, sf_dir):
     g = gold_features(spark, sf_dir)
-    dim = dim_from_facts(g)          # one row per calendar day; size checked before broadcast
+    dim = dim_from_facts(g)          # one row per calendar day
     j = g.join(dim, ["date"], "inner")
     return (j.groupBy("is_weekend", "day_of_week")
             .agg(F.count(F.lit(1)).alias("days"),
