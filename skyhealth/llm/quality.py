@@ -2,7 +2,7 @@
 
 Every line is judged by itself: it must end like a sentence, not be navigation
 (separator marks between words), not be laden with symbols, not shout, and not
-be a boilerplate notice; a line equal to an earlier one goes as well. What is
+be a boilerplate notice (in four languages); a line equal to an earlier one goes as well. What is
 left is the cleaned text, and a document that lost too large a share of its
 words is rejected. All of it is column expressions over arrays inside one row:
 no shuffle and no Python.
@@ -15,6 +15,8 @@ are judged each; an empty table gives no rows; only the named columns are read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,43 +26,71 @@ SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 # Line rules.
+ENDS = list(".!?…。！？")
+CLOSERS = "\"'”’»)]"
 SENTENCE_END = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
 SEPARATORS = ["|", ">", "»", "•", "·", "/", "::"]
-BOILERPLATE = (r"all rights reserved|copyright|©|cookie|privacy policy|terms of (use|service)|javascript|subscribe"
-               r"|sign (in|up)|log ?in|powered by|click here|licen[cs]ed? under|under the [a-z0-9 -]+ licen[cs]e")
+#: Notices in English, French, German and Spanish; each stands at the start of a word.
+NOTICES = [
+    "all rights reserved", "copyright", "cookie", "privacy policy", "terms of use", "terms of service", "javascript", "subscribe",
+    "unsubscribe", "sign in", "sign up", "login", "log in", "powered by", "click here", "license under", "licensed under",
+    "licence under", "licenced under",
+    "tous droits réservés", "mentions légales", "politique de confidentialité", "conditions d'utilisation",
+    "conditions d’utilisation", "se connecter", "connectez-vous", "abonnez-vous", "inscrivez-vous", "cliquez ici",
+    "alle rechte vorbehalten", "impressum", "datenschutz", "nutzungsbedingungen", "jetzt anmelden", "einloggen",
+    "newsletter abonnieren", "hier klicken",
+    "todos los derechos reservados", "aviso legal", "política de privacidad", "términos de uso", "condiciones de uso",
+    "iniciar sesión", "inicia sesión", "suscríbete", "haz clic aquí"]
+BOILERPLATE = rf"©|(?:^|[^a-z])(?:{'|'.join(NOTICES)}|under the [a-z0-9 -]+ licen[cs]e)"
+#: What a line must contain for ``BOILERPLATE`` to match; plain searches are far cheaper.
+HINTS = ["©", "licen", *NOTICES]
 BOILERPLATE_WORDS = 30
 SHOUT_WORDS = 3
 LOST_PERCENT = 50
 
 
 def words_in(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+    for space in "\t\n\x0b\x0c\r":
+        line = F.replace(line, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
+
+
+def symbols_in(line: Column) -> Column:
+    """How many characters of ``SYMBOL`` a line has; each is one byte."""
+    return reduce(lambda x, y: x + y, (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(s), F.lit("")))
+                                       for s in SYMBOL.strip("[]")))
+
+
+def line_passes(line: Column, low: Column, n: Column) -> Column:
+    """The line rules over one line of ``n`` words, at least one; ``low`` is the
+    line in lower case. Plain searches come first; a line that fails a rule is
+    not read by the next."""
+    end = F.rtrim(F.rtrim(line, F.lit(" \t\n\x0b\x0c\r")), F.lit(CLOSERS))
+    sentence = any_of(F.endswith(end, F.lit(e)) for e in ENDS)
+    navigation = any_of(F.contains(line, F.lit(s)) for s in SEPARATORS) & (
+        F.size(F.filter(words_in(line), lambda w: w.isin(SEPARATORS))) * 5 > n)
+    symbols = symbols_in(line) * 4 > n
+    shouting = (n >= SHOUT_WORDS) & (F.length(F.regexp_replace(line, r"\P{Lu}+", "")) * 2
+                                     > F.length(F.regexp_replace(line, r"\P{L}+", "")))
+    boilerplate = (n <= BOILERPLATE_WORDS) & any_of(F.contains(low, F.lit(h)) for h in HINTS) & low.rlike(BOILERPLATE)
+    return sentence & ~navigation & ~symbols & ~shouting & ~boilerplate
 
 
-def line_passes(line: Column) -> Column:
-    """The line rules over one line that has a word."""
-    words = words_in(line)
-    n = F.size(words)
-    sentence = line.rlike(SENTENCE_END)
-    navigation = F.size(F.filter(words, lambda w: w.isin(SEPARATORS))) * 5 > n
-    symbols = F.regexp_count(line, F.lit(SYMBOL)) * 4 > n
-    shouting = (n >= SHOUT_WORDS) & (F.regexp_count(line, F.lit(r"\p{Lu}")) * 2 > F.regexp_count(line, F.lit(r"\p{L}")))
-    boilerplate = (n <= BOILERPLATE_WORDS) & F.lower(line).rlike(BOILERPLATE)
-    return sentence & ~navigation & ~symbols & ~shouting & ~boilerplate
+def any_of(tests) -> Column:
+    return reduce(lambda x, y: x | y, tests)
 
 
 def repeat_words(words: str) -> list[tuple[str, Column]]:
     """Steps that count the words lying in a 3-word window found twice or more:
-    sort the windows' hashes, keep the places of equal neighbours, and add up
-    what each place covers before the next."""
-    c = F.col
+    where the windows' hashes are not all different, sort them, keep the places
+    of equal neighbours, and add up what each place covers before the next."""
     n = F.size(words)
     none = F.array().cast("array<struct<h:bigint,i:int>>")
-    windows = F.when(n >= 3, F.transform(
-        F.arrays_zip(F.slice(words, F.lit(1), F.greatest(n - 2, F.lit(0))).alias("a"),
-                     F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))).alias("b"),
-                     F.slice(words, F.lit(3), F.greatest(n - 2, F.lit(0))).alias("c")),
-        lambda z, i: F.struct(F.xxhash64(z["a"], z["b"], z["c"]).alias("h"), i.alias("i")))).otherwise(none)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    windows = F.transform(F.slice("_h", F.lit(1), F.greatest(n - 2, F.lit(0))),
+                          lambda h, i: F.xxhash64(h, F.col("_h")[i + 1], F.col("_h")[i + 2]))
+    placed = F.when(F.size(F.array_distinct("_w")) < F.size("_w"), F.sort_array(
+        F.transform("_w", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(none)
     size = F.size("_s")
     pairs = F.when(size >= 2, F.zip_with(
         F.slice("_s", F.lit(1), F.greatest(size - 1, F.lit(0))), F.slice("_s", F.lit(2), F.greatest(size - 1, F.lit(0))),
@@ -69,7 +99,7 @@ def repeat_words(words: str) -> list[tuple[str, Column]]:
     covered = F.when(m > 0, F.aggregate(F.zip_with(
         F.slice("_p", F.lit(1), F.greatest(m - 1, F.lit(0))), F.slice("_p", F.lit(2), F.greatest(m - 1, F.lit(0))),
         lambda x, y: F.least(y - x, F.lit(3))), F.lit(3), lambda a, b: a + b)).otherwise(0)
-    return [("_s", F.sort_array(windows)),
+    return [("_h", hashes), ("_w", windows), ("_s", placed),
             ("_p", F.sort_array(F.array_distinct(F.flatten(F.coalesce(pairs, F.array().cast("array<array<int>>")))))),
             ("n_repeat_words", covered.cast("long"))]
 
@@ -83,17 +113,18 @@ def judge(docs: DataFrame) -> DataFrame:
     out = out.withColumn("_words", words_in(c("text")))
     out = out.withColumn("_lines", F.filter(F.split("text", "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]")))
     out = out.withColumn("_once", F.array_distinct("_lines"))
-    out = out.withColumn("_kept", F.filter("_once", line_passes))
+    lines = F.transform("_once", lambda l: F.struct(l.alias("line"), F.lower(l).alias("low"), F.size(words_in(l)).alias("n")))
+    out = out.withColumn("_kept", F.filter(lines, lambda l: line_passes(l["line"], l["low"], l["n"])))
     for name, step in repeat_words("_words"):
         out = out.withColumn(name, step)
-    kept_words = F.aggregate("_kept", F.lit(0), lambda a, l: a + F.size(words_in(l)))
+    kept_words = F.aggregate("_kept", F.lit(0), lambda a, l: a + l["n"])
     out = out.select(
         "doc_id", F.size("_words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", SPACE, "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        symbols_in(c("text")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size("_once")).cast("long").alias("n_dup_lines"),
         "n_repeat_words", kept_words.cast("long").alias("kept_words"),
-        F.array_join("_kept", "\n").alias("text"))
+        F.array_join("_kept.line", "\n").alias("text"))
     failed = (c("n_words") < MIN_WORDS) | (c("n_repeat_words") * 100 > c("n_words") * REPEAT_PERCENT)
     lost = (c("n_words") - c("kept_words")) * 100 > c("n_words") * LOST_PERCENT
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~lost)

@@ -165,7 +165,9 @@ def test_quality_counts(odd, no_docs, sample_docs):
 
 def test_quality_line_rules(docs_of):
     prose = "\n".join(f"Sentence{i} has{i} plain{i} different words{i} in it{i}." for i in range(12))
-    bad = ["Home | About | News | More.", "COOKIE settings here", "LOUD WORDS ARE HERE.", "no end mark in this line", "a### b$$$ c%%% d&&&."]
+    bad = ["Home | About | News | More.", "COOKIE settings here.", "Todos los derechos reservados.", "Alle Rechte vorbehalten.",
+           "(Tous droits réservés.)", "Under the Apache-2 licence.", "LOUD WORDS ARE HERE.", "no end mark in this line",
+           "a### b$$$ c%%% d&&&."]
     clean, mixed = quality.judge(docs_of([(1, prose), (2, prose + "\n" + "\n".join(bad))])).orderBy("doc_id").collect()
     assert clean.kept and clean.text == prose
     assert mixed.kept and mixed.text == prose
