@@ -45,7 +45,7 @@ DEPTH = 5
 #: Depth of the contexts whose trees are solved apart.
 ROOT = 2
 FOLDS, HELD_OUT = 5, 1
-BLOCK_BYTES = 40 << 20
+BLOCK_BYTES = 24 << 20
 #: Text whose strings a worker holds at a time.
 GROUP_BYTES = 1 << 18
 #: Distinct numbers a worker adds before it folds them.
