@@ -1,7 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
-The `tokenizers` library encodes the pieces of whole Arrow batches, each piece
-being one match of the split pattern. Its model works on characters, so every byte is mapped to one printable character (the usual
+Whole Arrow batches are cut between bytes where the split pattern always ends a
+match, and the distinct strings found are split by the pattern. The `tokenizers`
+library encodes the pieces, each being one match of the pattern. Its model works
+on characters, so every byte is mapped to one printable character (the usual
 byte-level table) and the rank file's byte strings are turned into a vocabulary
 and merges over those characters. Decoding joins the ids' characters and takes
 each back to its byte by the reversed table, so a character of the text that is
@@ -10,8 +12,8 @@ bytes: a token spans every character that it holds a byte of.
 
 Edge cases: a null text is empty (no ids, and the digests of nothing); special
 token strings in a text are ordinary text; repeated rows are encoded each;
-unpaired or unusual characters are just their bytes; a very long text is split
-in one piece and encoded by its distinct pieces; an empty table gives no rows;
+unpaired or unusual characters are just their bytes; a very long text is cut in
+windows and encoded by its distinct pieces; an empty table gives no rows;
 an input column that has the name of a new one is returned as ``<name>_input``.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -30,13 +33,74 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyhealth.llm.common import schema_of, small
+from skyhealth.llm.common import blobs, schema_of, small
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Text split at a time.
-CHUNK_CHARS = 1 << 20
-#: Pieces a worker keeps with their ids before it starts afresh.
-KNOWN_PIECES = 100_000
+#: Bytes of text taken at a time.
+WINDOW_BYTES = 2 << 20
+#: Strings a worker keeps with their ids before only the last window's stay,
+#: and the longest that it keeps.
+KNOWN_STRINGS = 100_000
+KNOWN_CHARS = 32
+#: Pieces in one call's string, and what separates them: no byte's character.
+PIECES_A_CALL = 64
+SEPARATOR = " "
+
+# Classes of bytes. No match of the pattern goes on over these pairs of ASCII
+# bytes, and none looks back; whitespace looks ahead, so nothing is cut after it.
+SPACE, LETTER, DIGIT, QUOTE, SIGN, OTHER = range(6)
+ENDS = {LETTER: (DIGIT, QUOTE, SIGN, SPACE), DIGIT: (LETTER, QUOTE, SIGN, SPACE), SIGN: (LETTER, DIGIT, SPACE),
+        QUOTE: (DIGIT, SPACE)}
+
+
+def byte_classes() -> np.ndarray:
+    """The class of each byte; OTHER, of which nothing is assumed, holds the
+    bytes beyond ASCII and 28 to 31, whitespace by some definitions."""
+    of = np.full(256, OTHER, np.uint8)
+    for b in (*range(28), *range(32, 128)):
+        c = chr(b)
+        of[b] = (SPACE if c in " \t\n\v\f\r" else LETTER if c.isalpha() else DIGIT if c.isdigit()
+                 else QUOTE if c == "'" else SIGN)
+    return of
+
+
+CLASS_OF = byte_classes()
+ENDS_AT = np.array([b in ENDS.get(a, ()) for a in range(6) for b in range(6)])
+#: The last byte of every whitespace character beyond ASCII, all of which begin
+#: with C2 (two bytes) or E1 to E3 (three bytes).
+SPACE_TAIL = np.isin(np.arange(256), [*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """For each byte, whether a match of the pattern surely ends before it."""
+    of = CLASS_OF[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = ENDS_AT[of[:-1] * np.uint8(6) + of[1:]]
+    # Whitespace after a character beyond ASCII that is none itself.
+    at = np.flatnonzero((of[1:] == SPACE) & (data[:-1] >= 0x80))
+    at = at[at >= 2]
+    first = data[at - 2]
+    cut[at[~(SPACE_TAIL[data[at]] & ((data[at - 1] == 0xC2) | ((first >= 0xE1) & (first <= 0xE3))))] + 1] = True
+    return cut
+
+
+def strings(data: np.ndarray, offsets: np.ndarray) -> Iterator[pa.Array]:
+    """The texts in ``data`` cut into strings that can be split by the pattern
+    one by one; a window's last one is left to the next."""
+    held = 0
+    for first in range(0, len(data), WINDOW_BYTES):
+        end, back = min(first + WINDOW_BYTES, len(data)), max(first - 3, 0)
+        cut = cuts(data[back:end])[first - back:]
+        starts = offsets[np.searchsorted(offsets, first):np.searchsorted(offsets, end)]
+        cut[starts - first] = True
+        bounds = np.flatnonzero(cut) + first
+        if end == len(data):
+            bounds = np.append(bounds, end)
+        if len(bounds) and bounds[-1] > held:
+            bounds = bounds if bounds[0] == held else np.append(held, bounds)
+            yield pa.LargeStringArray.from_buffers(
+                len(bounds) - 1, pa.py_buffer(bounds - held), pa.py_buffer(data[held:bounds[-1]]))
+            held = bounds[-1]
 
 
 def byte_characters() -> list[str]:
@@ -81,46 +145,101 @@ class Codec:
                 if len(pair) == 2:
                     merges.append((chars[pair[0]], chars[pair[1]]))
         self.tokenizer = Tokenizer(models.BPE({chars[t]: r for t, r in ranks.items()}, merges, cache_capacity=0))
-        # A piece comes already split, so only its bytes are mapped here.
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Pieces come already split and mapped.
+        self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(SEPARATOR)
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.chars_of = {r: chars[t] for t, r in ranks.items()}
-        self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.char_of = np.array([ord(c) for c in letter], np.uint16)
+        #: Each id's characters, and how many; none for an id without a token.
+        by_id = [""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
-            self.size_of[r] = len(t)
+            by_id[r] = chars[t]
+        self.chars_of = pa.array([c.encode("utf-16-le") for c in by_id], pa.large_binary())
+        self.size_of = np.array([len(c) for c in by_id], np.int32)
         #: The byte of each character of the table; the characters lie below 512.
         self.byte_of = np.zeros(512, np.uint8)
-        self.byte_of[[ord(c) for c in letter]] = np.arange(256)
+        self.byte_of[self.char_of] = np.arange(256)
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text. The library encodes each distinct piece once
-        while it stays known."""
-        first, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= CHUNK_CHARS or i == len(texts) - 1:
-                split = [self.pieces(t) for t in texts[first:i + 1]]
-                if len(self.known) > KNOWN_PIECES:
-                    self.known.clear()
-                new = list({p for pieces in split for p in pieces if p not in self.known})
-                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    self.known[p] = np.array(e.ids, "<u4").tobytes()
-                for pieces in split:
-                    yield np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
-                first, size = i + 1, 0
-
-    def decode(self, ids: list[int]) -> bytes:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin and end in them."""
+        data, offsets = blobs(texts)
+        found = [np.zeros(0, "<u4")]
+        for cut in strings(data, offsets):
+            coded = cut.dictionary_encode()
+            own = pa.array(self.ids_of(coded.dictionary.to_pylist()), pa.large_binary())
+            found.append(np.frombuffer(own.take(coded.indices).buffers()[2], "<u4"))
+        ids = np.concatenate(found)
+        return ids, self.bounds(ids, offsets)
+
+    def bounds(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where in the ids the byte offsets lie, the last being their end."""
+        ends = np.cumsum(self.size_of[ids], dtype=np.int64)
+        if (ends[-1] if len(ends) else 0) != offsets[-1]:
+            raise ValueError("the rank file does not cover every byte")
+        return np.searchsorted(ends, offsets, "right")
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each distinct string, as little-endian 32-bit numbers.
+        Each is split and encoded once while it stays known."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        # One optional space and letters are one piece.
+        several = {w: self.pieces(w) for w in new if not w.removeprefix(" ").isalpha()}
+        pieces = [w for w in new if w not in several]
+        pieces += {p for own in several.values() for p in own if p not in known}.difference(pieces)
+        known.update(zip(pieces, self.ids_of_pieces(pieces)))
+        for w, own in several.items():
+            if len(own) > 1:
+                known[w] = b"".join(map(known.__getitem__, own))
+        found = list(map(known.__getitem__, words))
+        if len(known) > KNOWN_STRINGS:
+            self.known = {w: ids for w, ids in zip(words, found) if len(w) <= KNOWN_CHARS}
+        else:
+            for w in {w for w in (*pieces, *several) if len(w) > KNOWN_CHARS}:
+                del known[w]
+        return found
+
+    def ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The library's ids of each piece, many pieces a call."""
+        if not pieces:
+            return []
+        coded = list(map(str.encode, pieces))
+        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        # A separator follows each piece; the calls take whole pieces.
+        chars = np.insert(self.char_of[np.frombuffer(b"".join(coded), np.uint8)], ends, ord(SEPARATOR))
+        text = chars.tobytes().decode("utf-16-le")
+        to = [*(ends + np.arange(1, len(ends) + 1))[PIECES_A_CALL - 1:-1:PIECES_A_CALL].tolist(), len(text)]
+        calls = [text[a:b] for a, b in zip([0, *to], to)]
+        ids = np.fromiter(itertools.chain.from_iterable(
+            e.ids for e in self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)), "<u4")
+        at = (4 * self.bounds(ids, np.append(0, ends))).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in itertools.pairwise(at)]
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids, by the reversed byte table."""
-        chars = "".join(map(self.chars_of.__getitem__, ids)).encode("utf-16-le")
-        return self.byte_of[np.frombuffer(chars, np.uint16)].tobytes()
-
-    def offsets(self, ids: np.ndarray, decoded: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's first and end character in the text; a token that
-        holds part of a character spans all of it."""
-        ends = np.cumsum(self.size_of[ids])
-        begun = np.cumsum((np.frombuffer(decoded, np.uint8) & 0xC0) != 0x80, dtype=np.int32)
-        return begun[ends - self.size_of[ids]] - 1, begun[ends - 1]
+        if not len(ids):
+            return np.zeros(0, np.uint8)
+        chars = self.chars_of.take(pa.array(ids)).buffers()[2]
+        if not self.size_of[ids].all():
+            raise KeyError("an id without a token")
+        return self.byte_of[np.frombuffer(chars, np.uint16)]
+
+    def offsets(self, ids: np.ndarray, at: np.ndarray, decoded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each token's first and end character in its text, the texts' ids
+        lying between the bounds ``at``; a token that holds part of a character
+        spans all of it."""
+        begun = np.cumsum((decoded & 0xC0) != 0x80, dtype=np.int32)
+        last = np.cumsum(self.size_of[ids], dtype=np.int64)
+        last -= 1
+        ends = begun[last]
+        last -= self.size_of[ids] - 1
+        starts = begun[last] - 1
+        held = np.diff(at)
+        before = np.repeat(starts[at[:-1][held > 0]], held[held > 0])
+        starts -= before
+        ends -= before
+        return starts, ends
 
 
 @functools.cache
@@ -138,6 +257,10 @@ def apart(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumnsRenamed({c: f"{c}_input" for c in names if c in df.columns})
 
 
+def lists(at: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.astype(np.int32, copy=False)))
+
+
 def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>`` and, if asked, ``starts`` and ``ends``
     (each token's character offsets in its text)."""
@@ -148,16 +271,10 @@ def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> D
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in small(batches):
-            found: dict[str, list] = {c: [] for c in more}
-            for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
-                found["ids"].append(ids.astype(np.int32))
-                if offsets:
-                    starts, ends = own.offsets(ids, own.decode(ids.tolist()))
-                    found["starts"].append(starts)
-                    found["ends"].append(ends)
-            yield pa.RecordBatch.from_pydict(
-                {c: batch[c] for c in cols} | {c: pa.array(v, pa.list_(pa.int32())) for c, v in found.items()})
+        for batch in small(batches, WINDOW_BYTES):
+            ids, at = own.encode(batch["text"])
+            found = [ids, *own.offsets(ids, at, own.decode(ids))] if offsets else [ids]
+            yield pa.RecordBatch.from_pydict({c: batch[c] for c in cols} | {c: lists(at, v) for c, v in zip(more, found)})
 
     return docs.mapInArrow(over, schema_of(docs, cols, ", ".join(f"{c} array<int>" for c in more)))
 
@@ -171,12 +288,20 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            back = [own.decode(ids or []) for ids in batch["ids"].to_pylist()]
+            ids = batch["ids"].flatten().to_numpy(zero_copy_only=False)
+            text, size = own.decode(ids).tobytes(), np.append(0, np.cumsum(own.size_of[ids], dtype=np.int64))
+            at = np.append(0, np.cumsum(batch["ids"].value_lengths().fill_null(0).to_numpy()))
+            back = [text[a:b] for a, b in itertools.pairwise(size[at].tolist())]
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in cols} | {"decoded": pa.array(back, pa.binary())})
 
     return encoded.mapInArrow(over, schema_of(encoded, cols, "decoded binary"))
 
 
+def sha256_of(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The digests of the rows of ``values`` between the bounds ``at``."""
+    return pa.array([hashlib.sha256(values[a:b]).hexdigest() for a, b in itertools.pairwise(at.tolist())], pa.string())
+
+
 def digests(docs: DataFrame, keep: list[str], with_ids: bool = False, path: str | None = None) -> DataFrame:
     """Encode and decode in one pass over the batches: the ``keep`` columns,
     the token count, the digests of ids, of the decoded bytes and of the offsets
@@ -186,21 +311,16 @@ def digests(docs: DataFrame, keep: list[str], with_ids: bool = False, path: str
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in small(batches):
-            n, of_ids, of_text, of_offsets, kept = [], [], [], [], []
-            for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                decoded = own.decode(ids.tolist())
-                of_text.append(hashlib.sha256(decoded).hexdigest())
-                of_offsets.append(hashlib.sha256(np.stack(own.offsets(ids, decoded), axis=1).astype("<i4").tobytes()).hexdigest())
-                if with_ids:
-                    kept.append(ids.astype(np.int32))
+        for batch in small(batches, WINDOW_BYTES):
+            ids, at = own.encode(batch["text"])
+            decoded = own.decode(ids)
+            spans = np.stack(own.offsets(ids, at, decoded), axis=1).astype("<i4", copy=False)
+            size = np.append(0, np.cumsum(own.size_of[ids], dtype=np.int64))
             yield pa.RecordBatch.from_pydict(
                 {c: batch[c] for c in keep}
-                | {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()),
-                   "decoded_sha256": pa.array(of_text, pa.string()), "offsets_sha256": pa.array(of_offsets, pa.string())}
-                | ({"ids": pa.array(kept, pa.list_(pa.int32()))} if with_ids else {}))
+                | {"n_tokens": pa.array(np.diff(at), pa.int64()), "ids_sha256": sha256_of(ids, at),
+                   "decoded_sha256": sha256_of(decoded, size[at]), "offsets_sha256": sha256_of(spans, at)}
+                | ({"ids": lists(at, ids)} if with_ids else {}))
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(over, schema_of(
         docs, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string"

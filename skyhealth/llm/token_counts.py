@@ -102,22 +102,20 @@ def write_files(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, Da
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, name, file, doc_no = bpe.codec(path), None, None, 0
-        mark = np.array([END_OF_DOCUMENT], DTYPE)
 
         def rows(doc_nos, doc_ids, lengths) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
                 "path": pa.array([name] * len(doc_nos), pa.string()), "doc_no": pa.array(doc_nos, pa.int64()),
                 "doc_id": pa.array(doc_ids, pa.int64()), "length": pa.array(lengths, pa.int64())})
 
-        for batch in small(batches):
+        for batch in small(batches, bpe.WINDOW_BYTES):
             if file is None:
                 name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
                 store, at = opened(name)
                 store.create_dir(os.path.dirname(at), recursive=True)
                 file = store.open_output_stream(at)
-            for ids in own.encode([t or "" for t in batch["text"].to_pylist()]):
-                file.write(ids.astype(DTYPE).tobytes())
-                file.write(mark.tobytes())
+            ids, at = own.encode(batch["text"])
+            file.write(np.insert(ids.astype(DTYPE), at[1:], END_OF_DOCUMENT).tobytes())
             n = batch.num_rows
             yield rows(range(doc_no, doc_no + n), batch["doc_id"].to_pylist(), [None] * n)
             doc_no += n

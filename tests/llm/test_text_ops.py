@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -100,6 +102,41 @@ def test_bpe_offsets_and_decode(docs_of, no_docs):
     assert bpe.encode(no_docs).count() == 0
 
 
+#: Whitespace in and beyond ASCII, letters that end in the same bytes, quotes, signs.
+AWKWARD = ["a", "b", "Z", "'", "'s", "'re", ".", ",", "1", "\0", "\n", "\t", "\r", "\x1c", "\x1f", "\x85", "\xa0", "é", "à",
+           "漢", "\u2003", "\u200b", "\u3000", "\u1680", "я", "e\u0301", "🙂", "١"] + [" "] * 6
+
+
+@pytest.mark.parametrize("window, kept", [(7, 3), (64, 10), (1 << 21, 100_000)])
+def test_bpe_cuts_nothing_the_pattern_joins(tik, monkeypatch, window, kept):
+    monkeypatch.setattr(bpe, "WINDOW_BYTES", window)
+    monkeypatch.setattr(bpe, "KNOWN_STRINGS", kept)
+    draw = random.Random(9)
+    own = bpe.Codec(bpe.default_path())
+    for _ in range(4):
+        texts = [None, "", *("".join(draw.choices(AWKWARD, k=draw.randrange(60))) for _ in range(400)), "漢字" * 40, ""]
+        ids, at = own.encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [tik.encode_ordinary(t or "") for t in texts]
+        assert own.decode(ids).tobytes() == "".join(t or "" for t in texts).encode()
+
+
+def test_bpe_splits_each_distinct_string_once():
+    own, seen = bpe.Codec(bpe.default_path()), []
+    split = own.pieces
+    own.pieces = lambda text: seen.append(text) or split(text)
+    line = "It's the 2nd café, at noon. "
+    for _ in range(2):
+        own.encode(pa.array([line * 200] * 20))
+    assert len(seen) == len(set(seen)) and sum(map(len, seen)) <= 2 * len(line)
+
+
+def test_bpe_decodes_null_and_empty_ids(spark):
+    rows = spark.createDataFrame([(1, [64, 65]), (2, None), (3, []), (4, [66])], "doc_id long, ids array<int>").coalesce(1)
+    ranks = {r: t for t, r in bpe.read_ranks(bpe.default_path()).items()}
+    assert {r.doc_id: bytes(r.decoded) for r in bpe.decode(rows).collect()} == {
+        1: ranks[64] + ranks[65], 2: b"", 3: b"", 4: ranks[66]}
+
+
 @pytest.mark.parametrize("block_tokens", [7, 64, 1 << 18])
 def test_token_counts_match_encoding(docs_of, tik, block_tokens):
     # With many small blocks, one shorter very long text.
